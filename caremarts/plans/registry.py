@@ -26,7 +26,12 @@ from caremarts.operators.prepare import (
     split_union,
 )
 from caremarts.operators.validate import REASONS_COL, Validation, ingest_summary
+from caremarts.operators import quality as Q
+from caremarts.plans import analytics as A
 from caremarts.plans import ingest
+from caremarts.plans import marts as M
+from caremarts.plans import proofs as P
+from caremarts.plans import scenarios as SC
 from caremarts.plans.models import Models
 from caremarts.session import configure
 from caremarts.sources.csv import na_token_recode
@@ -64,6 +69,10 @@ class Context:
             self._validations[table] = validate(self.prepared[table], CONTRACTS[table])
         return self._validations[table]
 
+    def valid(self, table: str) -> DataFrame:
+        """Validated rows of a raw table, not yet stamped."""
+        return self.validation(table).valid
+
     def raw(self, table: str) -> DataFrame:
         """The raw table after one full ingest at ``BATCH_1``."""
         return ingest.load_batch(self.validation(table), BATCH_1)
@@ -168,6 +177,81 @@ def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTRACT_TABLES = ingest.TABLE_ORDER
 
 
+# -- loads, incremental, history ------------------------------------------------------
+
+
+def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.upsert_merge(context(spark, sf_dir).valid("inpatient_claims"))
+
+
+def q_upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.upsert_twice(context(spark, sf_dir).valid("inpatient_claims"))
+
+
+def q_replace_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.replace_then(context(spark, sf_dir).valid("inpatient_claims"))
+
+
+def q_incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.incremental_claims(context(spark, sf_dir).valid).fct_b
+
+
+def q_incremental_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.incremental_claims(context(spark, sf_dir).valid, on_match="replace").fct_b
+
+
+def q_scd2_two_vintages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.history_two_vintages(context(spark, sf_dir).valid("providers"))[1]
+
+
+def q_scd2_hard_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SC.history_delete_reappear(context(spark, sf_dir).valid("providers"))[1]
+
+
+def q_provider_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = SC.history_two_vintages(context(spark, sf_dir).valid("providers"))[1]
+    return M.dim_provider_history(h)
+
+
+def q_label_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ctx = context(spark, sf_dir)
+    h = SC.history_two_vintages(ctx.valid("providers"))[1]
+    return A.label_as_of(SC.claims_with_arrival(ctx.valid), h, "ingested_at")
+
+
+# -- checks -------------------------------------------------------------------------------
+
+
+def _on_models(fn: Callable[[Models], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(context(spark, sf_dir).models)
+
+    return run
+
+
+def q_check_history_no_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = SC.history_two_vintages(context(spark, sf_dir).valid("providers"))[1]
+    return Q.check_history_no_overlap(M.dim_provider_history(h))
+
+
+def q_check_history_one_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = SC.history_delete_reappear(context(spark, sf_dir).valid("providers"))[0]
+    return Q.check_history_one_current(M.dim_provider_history(h))
+
+
+def q_proof_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.proof_incremental(context(spark, sf_dir).valid)
+
+
+def q_proof_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.proof_scd2(context(spark, sf_dir).valid("providers"))
+
+
+def q_first_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = SC.history_two_vintages(context(spark, sf_dir).valid("providers"))[1]
+    return A.first_flagged(h)
+
+
 def registry() -> dict[str, Query]:
     out: dict[str, Query] = {
         # staging
@@ -204,4 +288,74 @@ def registry() -> dict[str, Query]:
     for t in CONTRACT_TABLES:
         out[f"contract_valid_{t}"] = _valid(t)
         out[f"contract_rejects_{t}"] = _rejects(t)
+    out.update(
+        {
+            # loads, incremental facts, history
+            "upsert_merge": q_upsert_merge,
+            "upsert_idempotent": q_upsert_idempotent,
+            "replace_load": q_replace_load,
+            "incremental_append": q_incremental_append,
+            "incremental_replace": q_incremental_replace,
+            "scd2_two_vintages": q_scd2_two_vintages,
+            "scd2_hard_delete": q_scd2_hard_delete,
+            "provider_history": q_provider_history,
+            "label_as_of": q_label_as_of,
+            # data-quality checks
+            "check_unique": _on_models(lambda m: Q.check_unique(m.int_claims_unified, "claim_id")),
+            "check_not_null": _on_models(lambda m: Q.check_not_null(m.fct_claims, "bene_id")),
+            "check_accepted_values": _on_models(
+                lambda m: Q.check_accepted_values(m.stg_beneficiary, "race", Q.RACES)
+            ),
+            "check_relationships": _on_models(
+                lambda m: Q.check_relationships(
+                    m.fct_encounters, "patient_nbr", m.dim_patient, "patient_nbr"
+                )
+            ),
+            "check_relationships_warn": _on_models(
+                lambda m: Q.check_relationships(
+                    m.fct_claims, "bene_id", m.dim_beneficiary, "bene_id"
+                ).select("claim_id", "bene_id")
+            ),
+            "check_age_at_claim": _on_models(lambda m: Q.check_age_at_claim(m.int_claims_enriched)),
+            "check_claim_dates_ordered": _on_models(
+                lambda m: Q.check_claim_dates_ordered(m.int_claims_enriched)
+            ),
+            "check_reimbursement_non_negative": _on_models(
+                lambda m: Q.check_reimbursement_non_negative(m.fct_claims)
+            ),
+            "check_length_of_stay": _on_models(
+                lambda m: Q.check_length_of_stay(m.fct_hospital_admissions)
+            ),
+            "check_long_stay_flag": _on_models(
+                lambda m: Q.check_long_stay_flag(m.fct_hospital_admissions)
+            ),
+            "check_readmitted_flag": _on_models(lambda m: Q.check_readmitted_flag(m.fct_encounters)),
+            "check_history_no_overlap": q_check_history_no_overlap,
+            "check_history_one_current": q_check_history_one_current,
+            "check_mart_row_counts": _on_models(Q.mart_row_counts),
+            "check_suite": _on_models(Q.run_suite),
+            # seeded proofs
+            "proof_incremental": q_proof_incremental,
+            "proof_scd2": q_proof_scd2,
+            # analytical questions
+            "avg_stay_by_severity": _on_models(
+                lambda m: A.avg_stay_by_severity(m.fct_hospital_admissions, m.dim_severity)
+            ),
+            "providers_by_fraud_label": _on_models(
+                lambda m: A.providers_by_fraud_label(m.dim_provider)
+            ),
+            "readmission_rate": _on_models(lambda m: A.readmission_rate(m.fct_encounters)),
+            "long_stay_share": _on_models(lambda m: A.long_stay_share(m.fct_hospital_admissions)),
+            "claims_by_provider_label": _on_models(
+                lambda m: A.claims_by_provider_label(m.fct_claims, m.dim_provider)
+            ),
+            "first_flagged": q_first_flagged,
+            "repeat_admission_cohort": _on_models(
+                lambda m: A.repeat_admission_cohort(m.dim_hospital_patient)
+            ),
+            "encounters_by_admission_type": _on_models(
+                lambda m: A.encounters_by_admission_type(m.fct_encounters, m.dim_admission_type)
+            ),
+        }
+    )
     return out

@@ -8,6 +8,8 @@ from oracle.raw import BATCH_TS, NA, RULES, raw_ctes
 
 def with_ctes(final: str, extra: list[tuple[str, str]] | None = None) -> str:
     ctes = raw_ctes() + m.model_ctes() + (extra or [])
+    if final.lstrip().lower().startswith("with "):
+        final = f"select * from ({final})"
     return "with " + ",\n".join(f"{n} as ({body})" for n, body in ctes) + "\n" + final
 
 
@@ -95,5 +97,8 @@ def base() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
+    from oracle.stateful import checks_and_analytics
+
     out = base()
+    out.update(checks_and_analytics())
     return out
