@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremarts.functions.columns import recode, surrogate_key
-from caremarts.sources.csv import SOURCE_FILE_COL
+from caremarts.sources.csv import SOURCE_FILE_COL, quote, sql_string
 
 SPLIT_RANK_COL = "_split_rank"
 
@@ -60,10 +60,16 @@ def dedup_keep_first(df: DataFrame, key: str, order: list[str] | None = None) ->
 
 def sentinel_recode(df: DataFrame, sentinel: str = MISSING_SENTINEL) -> DataFrame:
     """Every string cell equal to ``sentinel`` becomes null."""
-    targets = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not targets:
-        return df
-    return df.na.replace([sentinel], None, subset=targets)
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    lit = sql_string(sentinel)
+    return df.selectExpr(
+        *[
+            f"CASE WHEN {quote(c)} = {lit} THEN NULL ELSE {quote(c)} END AS {quote(c)}"
+            if c in strings
+            else quote(c)
+            for c in df.columns
+        ]
+    )
 
 
 def bracket_recode(

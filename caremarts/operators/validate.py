@@ -26,6 +26,7 @@ from caremarts.operators.contracts import ColumnRule, Contract
 from caremarts.operators.joins import measure
 
 REASONS_COL = "_reject_reasons"
+REASON_SEP = ";"
 _DUP_PREFIX = "__dup_"
 
 
@@ -143,9 +144,13 @@ def validate(df: DataFrame, contract: Contract, *, persist: bool = True) -> Vali
     reasons: list[str] = []
     for name, rule in contract.columns.items():
         reasons.extend(rule_failures(name, rule, dup_flags.get(name)))
-    annotated = annotated.selectExpr(
+    # concat_ws skips the nulls of passing rules; unlike array_compact (a
+    # higher-order function, evaluated interpreted together with all its
+    # inputs) it stays inside whole-stage codegen.
+    text = f"concat_ws('{REASON_SEP}', {', '.join(reasons)})"
+    annotated = annotated.selectExpr(*[ident(c) for c in source_cols], f"{text} AS __reasons").selectExpr(
         *[ident(c) for c in source_cols],
-        f"array_compact(array({', '.join(reasons)})) AS {REASONS_COL}",
+        f"CASE WHEN __reasons = '' THEN array() ELSE split(__reasons, '{REASON_SEP}') END AS {REASONS_COL}",
     )
     if persist:
         annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)

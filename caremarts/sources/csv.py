@@ -63,7 +63,9 @@ def read_source(
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"No source files match {glob!r}") from exc
         raise
-    df = df.withColumn(SOURCE_FILE_COL, F.col("_metadata.file_path"))
+    from caremarts.sources.testdata import parallel_floor
+
+    df = parallel_floor(df.withColumn(SOURCE_FILE_COL, F.col("_metadata.file_path")))
     for old, new in (renames or {}).items():
         if old in df.columns:
             df = df.withColumnRenamed(old, new)
@@ -77,16 +79,34 @@ def na_token_recode(
 ) -> DataFrame:
     """Whole string cells equal to a missing token become null (S3).
 
-    ``na.replace`` builds the whole-cell CASE projection JVM-side in one call.
+    ``CASE WHEN c IN (tokens) THEN NULL ELSE c END``: the token list becomes a
+    hash-set lookup and the cell is referenced twice, so the recode stays one
+    cheap projection however many tokens there are. (``na.replace`` expands
+    to one branch per token, each re-evaluating the cell's expression.)
     """
-    targets = [
-        c
-        for c in (columns if columns is not None else string_columns(df))
-        if c != SOURCE_FILE_COL and c in string_columns(df)
-    ]
+    strings = set(string_columns(df))
+    targets = {
+        c for c in (columns if columns is not None else strings) if c in strings and c != SOURCE_FILE_COL
+    }
     if not targets:
         return df
-    return df.na.replace(list(tokens), None, subset=targets)
+    token_sql = ", ".join(sql_string(t) for t in tokens)
+    return df.selectExpr(
+        *[
+            f"CASE WHEN {quote(c)} IN ({token_sql}) THEN NULL ELSE {quote(c)} END AS {quote(c)}"
+            if c in targets
+            else quote(c)
+            for c in df.columns
+        ]
+    )
+
+
+def quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def string_columns(df: DataFrame) -> list[str]:

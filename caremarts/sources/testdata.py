@@ -18,4 +18,18 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; projections and filters push into the reader."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    return parallel_floor(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def parallel_floor(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A small file with one row group is one split, and every row-level step
+    after it (recodes, contract rules) would run as one task. Large inputs
+    already have one split per 128 MiB and pass through untouched, so this
+    never adds a shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
