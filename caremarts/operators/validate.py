@@ -42,6 +42,17 @@ class Validation:
     valid: DataFrame  # declared columns coerced, extras untouched
     rejected: DataFrame  # input columns as read + _reject_reasons
     contract: Contract
+    cached: DataFrame | None = None  # the persisted source, if any
+
+    def release_source(self) -> None:
+        """Drop the cached source once the annotated frame is materialised."""
+        if self.cached is not None:
+            self.cached.unpersist()
+
+    def release(self) -> None:
+        """Drop every cache once both halves are written."""
+        self.release_source()
+        self.annotated.unpersist()
 
 
 def check_columns(df: DataFrame, contract: Contract) -> None:
@@ -106,39 +117,46 @@ def rule_failures(name: str, rule: ColumnRule, dup_flag: str | None) -> list[str
     return out
 
 
-def duplicate_keys(df: DataFrame, name: str, rule: ColumnRule) -> DataFrame:
-    """Non-null coerced values of ``name`` that occur more than once."""
-    key = coerced(name, rule).alias(_DUP_PREFIX + name)
+def duplicate_keys(df: DataFrame, key_col: str) -> DataFrame:
+    """Non-null values of ``key_col`` that occur more than once."""
     return (
-        df.select(key)
-        .filter(F.col(_DUP_PREFIX + name).isNotNull())
-        .groupBy(_DUP_PREFIX + name)
+        df.select(key_col)
+        .filter(F.col(key_col).isNotNull())
+        .groupBy(key_col)
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") > 1)
-        .select(_DUP_PREFIX + name, F.lit(True).alias(_DUP_PREFIX + name + "_flag"))
+        .select(key_col, F.lit(True).alias(key_col + "_flag"))
     )
 
 
 def validate(df: DataFrame, contract: Contract, *, persist: bool = True) -> Validation:
     """Split ``df`` into rows that satisfy ``contract`` and rejected rows.
 
-    The annotated frame is persisted (memory, spilling to disk) because both
-    halves are read from it; a lost executor's blocks are recomputed from
-    lineage. Persisting also hands the optimizer a leaf instead of the rule
-    projection, so downstream filters are not pushed into a hundred-branch
-    expression.
+    The source is read once: it is persisted (memory, spilling to disk) with
+    its coerced key columns and the duplicate-key count runs over that cache;
+    the annotated frame (source + reasons) is persisted too, and the valid and
+    rejected halves are both filtered from it. A lost executor's blocks are
+    recomputed from lineage. ``release_source`` frees the first cache once
+    the second is materialised.
     """
     check_columns(df, contract)
     source_cols = list(df.columns)
-    annotated = df
+    keyed = df.selectExpr(
+        "*",
+        *[
+            f"{coerced_sql(n, contract.columns[n])} AS {ident(_DUP_PREFIX + n)}"
+            for n in contract.unique_columns
+        ],
+    )
+    if persist:
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
+
+    annotated = keyed
     dup_flags: dict[str, str] = {}
     for name in contract.unique_columns:
-        rule = contract.columns[name]
-        dups = measure(duplicate_keys(df, name, rule)).for_join()
         key_col = _DUP_PREFIX + name
-        annotated = annotated.withColumn(key_col, coerced(name, rule)).join(
-            dups, key_col, "left"
-        )
+        dups = measure(duplicate_keys(keyed, key_col)).for_join()
+        annotated = annotated.join(dups, key_col, "left")
         dup_flags[name] = f"coalesce({ident(key_col + '_flag')}, false)"
 
     reasons: list[str] = []
@@ -153,6 +171,9 @@ def validate(df: DataFrame, contract: Contract, *, persist: bool = True) -> Vali
         f"CASE WHEN __reasons = '' THEN array() ELSE split(__reasons, '{REASON_SEP}') END AS {REASONS_COL}",
     )
     if persist:
+        # Both halves and the summary read the reasons: evaluate the rules once.
+        # Downstream plans then start at this cache instead of a hundred-branch
+        # projection the optimizer would push filters into.
         annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
 
     ok = F.size(REASONS_COL) == 0
@@ -165,7 +186,7 @@ def validate(df: DataFrame, contract: Contract, *, persist: bool = True) -> Vali
         ]
     )
     rejected = annotated.filter(~ok)
-    return Validation(annotated, valid, rejected, contract)
+    return Validation(annotated, valid, rejected, contract, keyed if persist else None)
 
 
 def ingest_summary(results: dict[str, Validation]) -> DataFrame:

@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,27 +105,45 @@ class TestFailure(RuntimeError):
     pass
 
 
+# Independent tables are submitted as concurrent Spark jobs from driver
+# threads: the scheduler interleaves their stages, so short stages of one
+# table fill the executor slots another leaves idle.
+MAX_CONCURRENT_JOBS = 6
+
+
+def run_concurrently(tasks: dict[str, Callable[[], object]]) -> dict[str, object]:
+    if len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_JOBS, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def run_ingest(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datetime) -> dict:
     """The six tables in loader order with one batch time."""
     mode = "replace" if cfg.reset else "upsert"
     prepared = ingest.prepared_sources(_sources(spark, cfg))
     batch_id = ts.strftime("%Y%m%dT%H%M%S")
-    results: dict[str, Validation] = {}
-    for table in ingest.TABLE_ORDER:
+
+    def one(table: str) -> Validation:
         v = validate(prepared[table], CONTRACTS[table])
-        results[table] = v
-        wh.quarantine(table, v.rejected, batch_id)
+        wh.quarantine(table, v.rejected, batch_id)  # materialises the annotated cache
+        v.release_source()
         batch = ingest.stamp(v.valid, ts)
         existing = wh.read("raw", table)
         # the batch is unique on the key: validation rejected every duplicate
         new = load(existing, batch, ingest.NATURAL_KEYS[table], mode, check_unique=False)
         wh.publish("raw", table, new)
+        return v
+
+    done = run_concurrently({t: (lambda t=t: one(t)) for t in ingest.TABLE_ORDER})
+    results: dict[str, Validation] = {t: done[t] for t in ingest.TABLE_ORDER}
     summary = {
         r["table_name"]: {"loaded": r["loaded"], "rejected": r["rejected"]}
         for r in ingest_summary(results).collect()
     }
     for v in results.values():
-        v.annotated.unpersist()
+        v.release()
     return summary
 
 
@@ -143,38 +163,45 @@ def run_transform(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.da
 
     models = Models(spark, raw, snapshot=wh.read("snapshots", SNAPSHOT))
 
-    # int_claims_enriched is itself incremental; fct_claims reads its new version
-    _, enriched = incremental_append(
-        models.int_claims_unified,
-        wh.read("marts", "int_claims_enriched"),
-        "claim_id",
-        lambda src: I.int_claims_enriched(src, models.stg_beneficiary),
-        full_refresh=full_refresh,
-    )
-    wh.publish("marts", "int_claims_enriched", enriched)
-    enriched = wh.read("marts", "int_claims_enriched")
-
-    sources = {
-        "fct_claims": (enriched, M.fct_claims),
-        "fct_encounters": (models.int_encounters_enriched, M.fct_encounters),
-        "fct_hospital_admissions": (models.int_admissions_enriched, M.fct_hospital_admissions),
-    }
-    for name, key in INCREMENTAL_FACTS.items():
-        src, fn = sources[name]
+    def claims_chain() -> None:
+        # int_claims_enriched is itself incremental; fct_claims reads its new version
+        _, enriched = incremental_append(
+            models.int_claims_unified,
+            wh.read("marts", "int_claims_enriched"),
+            "claim_id",
+            lambda src: I.int_claims_enriched(src, models.stg_beneficiary),
+            full_refresh=full_refresh,
+        )
+        wh.publish("marts", "int_claims_enriched", enriched)
+        fact(wh.read("marts", "int_claims_enriched"), "fct_claims", M.fct_claims)
+
+    def fact(src: DataFrame, name: str, fn) -> None:
+        key = INCREMENTAL_FACTS[name]
         _, target = incremental_append(src, wh.read("marts", name), key, fn, full_refresh=full_refresh)
         wh.publish("marts", name, target)
 
+    jobs: dict[str, Callable[[], object]] = {
+        "fct_claims": claims_chain,
+        "fct_encounters": lambda: fact(models.int_encounters_enriched, "fct_encounters", M.fct_encounters),
+        "fct_hospital_admissions": lambda: fact(
+            models.int_admissions_enriched, "fct_hospital_admissions", M.fct_hospital_admissions
+        ),
+    }
     for name in Q.MART_NAMES:
         if name not in INCREMENTAL_FACTS:
-            wh.publish("marts", name, models.mart(name))
+            jobs[name] = lambda name=name: wh.publish("marts", name, models.mart(name))
+    run_concurrently(jobs)
 
     published = _Published(models, wh)
-    tests = {
-        (r["check_name"]): (r["severity"], r["failing_rows"], r["status"])
-        for r in Q.run_suite(published).collect()
-    }
+    checked = run_concurrently(
+        {
+            "tests": lambda: Q.run_suite(published).collect(),
+            "counts": lambda: Q.gate_marts(Q.mart_row_counts(published)),
+        }
+    )
+    tests = {r["check_name"]: (r["severity"], r["failing_rows"], r["status"]) for r in checked["tests"]}
     failed = [n for n, (_, _, s) in tests.items() if s == "fail"]
-    counts = Q.gate_marts(Q.mart_row_counts(published))
+    counts = checked["counts"]
     out = {
         "tests": {
             "total": len(tests),
