@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caremarts.functions.columns import union_all
 from caremarts.operators.joins import orphans
 
 FAR_FUTURE = "9999-12-31 00:00:00"
@@ -338,9 +339,7 @@ def run_suite(models, tests: tuple[Test, ...] = GENERIC_TESTS) -> DataFrame:
             .select(F.lit(name).alias("check_name"), F.lit("error").alias("severity"), "failing_rows")
         )
 
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
+    out = union_all(results)
     status = (
         F.when(F.col("failing_rows") == 0, "pass")
         .when(F.col("severity") == "warn", "warn")
@@ -371,10 +370,7 @@ def mart_row_counts(models, marts: tuple[str, ...] = MART_NAMES) -> DataFrame:
         )
         for name in marts
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_all(parts)
 
 
 class EmptyMartError(RuntimeError):
