@@ -116,3 +116,21 @@ def encounters_by_admission_type(
         F.col("encounters").cast("bigint").alias("encounters"),
         exact_ratio("readmitted_30d", "encounters", 4).cast("decimal(18,4)").alias("readmission_30d_rate"),
     )
+
+
+def reconcile_provider_claims(dim_provider: DataFrame, fct_claims: DataFrame) -> DataFrame:
+    """A10: the providers' claim counts add up to the fact's row count.
+
+    Holds only when every claim's provider is known (the dimension drops
+    unknown providers). Two one-row aggregates stacked and folded; no join.
+    """
+    parts = dim_provider.agg(F.sum("total_claims").cast("bigint").alias("v")).select(
+        F.lit("provider_claims").alias("k"), "v"
+    ).unionByName(
+        fct_claims.agg(F.count(F.lit(1)).cast("bigint").alias("v")).select(F.lit("fact_rows").alias("k"), "v")
+    )
+    wide = parts.agg(
+        F.max(F.when(F.col("k") == "provider_claims", F.col("v"))).alias("provider_claims"),
+        F.max(F.when(F.col("k") == "fact_rows", F.col("v"))).alias("fact_rows"),
+    )
+    return wide.withColumn("reconciled", F.col("provider_claims") == F.col("fact_rows"))

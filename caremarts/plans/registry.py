@@ -350,6 +350,9 @@ def registry() -> dict[str, Query]:
                 lambda m: A.claims_by_provider_label(m.fct_claims, m.dim_provider)
             ),
             "first_flagged": q_first_flagged,
+            "reconcile_provider_claims": _on_models(
+                lambda m: A.reconcile_provider_claims(m.dim_provider, m.fct_claims)
+            ),
             "repeat_admission_cohort": _on_models(
                 lambda m: A.repeat_admission_cohort(m.dim_hospital_patient)
             ),

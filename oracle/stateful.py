@@ -208,6 +208,11 @@ def checks_and_analytics() -> dict[str, str]:
         "as total_reimbursement from fct_claims f join dim_provider p on f.provider_id = p.provider_id "
         "group by p.is_potential_fraud"
     )
+    out["reconcile_provider_claims"] = x(
+        "select p.s as provider_claims, f.n as fact_rows, p.s = f.n as reconciled from "
+        "(select cast(sum(total_claims) as bigint) as s from dim_provider) p, "
+        "(select count(*) as n from fct_claims) f"
+    )
     out["repeat_admission_cohort"] = x("select * from dim_hospital_patient where total_admissions > 1")
     out["encounters_by_admission_type"] = x(
         "select f.admission_type_id, a.admission_type_label, cast(count(*) as bigint) as encounters, "
