@@ -85,7 +85,8 @@ class IncrementalRun:
     batch_b: DataFrame  # claims added in phase B (unified)
 
 
-def _unified(raw: Raw, claim_bucket: int | None) -> DataFrame:
+def unified_claims(raw: Raw, claim_bucket: int | None = None) -> DataFrame:
+    """Both claim tables, staged and unioned; optionally one hash bucket only."""
     inp, out = raw("inpatient_claims"), raw("outpatient_claims")
     if claim_bucket is not None:
         inp, out = bucket(inp, "ClaimID", claim_bucket), bucket(out, "ClaimID", claim_bucket)
@@ -100,11 +101,11 @@ def incremental_claims(raw: Raw, on_match: str = "skip", late_beneficiaries: boo
     bene_all = S.stg_beneficiary(raw("beneficiary"))
     bene_a = S.stg_beneficiary(bucket(raw("beneficiary"), "BeneID", 0)) if late_beneficiaries else bene_all
 
-    unified_a = _unified(raw, 0)
+    unified_a = unified_claims(raw, 0)
     enriched_a = I.int_claims_enriched(unified_a, bene_a)
     fct_a = M.fct_claims(enriched_a)
 
-    unified_b = _unified(raw, None)
+    unified_b = unified_claims(raw, None)
     _, enriched_b = incremental_append(
         unified_b,
         enriched_a,
@@ -115,7 +116,7 @@ def incremental_claims(raw: Raw, on_match: str = "skip", late_beneficiaries: boo
     fct_new_b, fct_b = incremental_append(
         enriched_b, fct_a, "claim_id", M.fct_claims, on_match=on_match
     )
-    return IncrementalRun(enriched_a, fct_a, enriched_b, fct_b, fct_new_b, _unified(raw, 1))
+    return IncrementalRun(enriched_a, fct_a, enriched_b, fct_b, fct_new_b, unified_claims(raw, 1))
 
 
 # -- H4-H6, J8 -------------------------------------------------------------------
