@@ -85,11 +85,12 @@ class Context:
         return Models(self.spark, self.raw, snapshot=snap)
 
 
-_CONTEXTS: dict[tuple[int, str], Context] = {}
+_CONTEXTS: dict[tuple[int, str, str], Context] = {}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    key = (id(spark), sf_dir)
+    # the application id tells a new session from a stopped one at the same address
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _CONTEXTS:
         _CONTEXTS[key] = Context(spark, sf_dir)
     return _CONTEXTS[key]
