@@ -43,7 +43,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from caremarts.llm.secrets import secret_report
+    from caremarts.llm.credentials import secret_report
 
     return secret_report(table(spark, sf_dir, "documents"))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremarts.llm import bpe, decontam, neardup, secrets, toxicity
+from caremarts.llm import bpe, credentials, decontam, neardup, toxicity
 from caremarts.llm.common import table, written
 from caremarts.llm.queries import vocabulary
 
@@ -44,7 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: reported secrets are replaced by a mark, and n_chars follows."""
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return credentials.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
