@@ -155,10 +155,12 @@ def _text(nullable: bool = True, **kw) -> ColumnRule:
     return ColumnRule("str", nullable=nullable, **kw)
 
 
-def _nonneg_int() -> ColumnRule:
-    return ColumnRule("int", ge=0)
+def _count() -> ColumnRule:
+    """A whole number of things: never missing, never below zero."""
+    return ColumnRule("int", nullable=False, ge=0)
 
 
+# -- fixed values: columns, types and legal values of the six raw tables ------
 BENEFICIARY = Contract(
     "beneficiary",
     "BeneID",
@@ -239,7 +241,7 @@ HOSPITAL_ADMISSIONS = Contract(
         "Hospital_type_code": ColumnRule("str", isin=HOSPITAL_TYPE_CODES),
         "City_Code_Hospital": ColumnRule("int"),
         "Hospital_region_code": ColumnRule("str", isin=HOSPITAL_REGION_CODES),
-        "available_extra_rooms": _nonneg_int(),
+        "available_extra_rooms": _count(),
         "Department": ColumnRule("str", isin=DEPARTMENTS),
         "Ward_Type": ColumnRule("str", isin=WARD_TYPES),
         "Ward_Facility_Code": ColumnRule("str", isin=WARD_FACILITY_CODES),
@@ -247,7 +249,7 @@ HOSPITAL_ADMISSIONS = Contract(
         "City_Code_Patient": ColumnRule("float", nullable=True, ge=1),
         "type_of_admission": ColumnRule("str", isin=ADMISSION_TYPES),
         "severity_of_illness": ColumnRule("str", isin=SEVERITY_LEVELS),
-        "visitors_with_patient": _nonneg_int(),
+        "visitors_with_patient": _count(),
         "Age": ColumnRule("str", isin=HOSPITAL_AGE_BRACKETS),
         "Admission_Deposit": ColumnRule("float", ge=0),
         "Stay": ColumnRule("str", isin=HOSPITAL_STAY_BRACKETS),
@@ -267,19 +269,19 @@ DIABETES_ENCOUNTERS = Contract(
         "admission_type_id": ColumnRule("int", between=(1, 8)),
         "discharge_disposition_id": ColumnRule("int", ge=1),
         "admission_source_id": ColumnRule("int", ge=1),
-        "time_in_hospital": _nonneg_int(),
+        "time_in_hospital": _count(),
         "payer_code": _text(),
         "medical_specialty": _text(),
-        "num_lab_procedures": _nonneg_int(),
-        "num_procedures": _nonneg_int(),
-        "num_medications": _nonneg_int(),
-        "number_outpatient": _nonneg_int(),
-        "number_emergency": _nonneg_int(),
-        "number_inpatient": _nonneg_int(),
+        "num_lab_procedures": _count(),
+        "num_procedures": _count(),
+        "num_medications": _count(),
+        "number_outpatient": _count(),
+        "number_emergency": _count(),
+        "number_inpatient": _count(),
         "diag_1": _text(),
         "diag_2": _text(),
         "diag_3": _text(),
-        "number_diagnoses": _nonneg_int(),
+        "number_diagnoses": _count(),
         "max_glu_serum": _text(isin=GLUCOSE_RESULTS),
         "A1Cresult": _text(isin=A1C_RESULTS),
         **{c: ColumnRule("str", isin=MED_VALUES) for c in DIABETES_MED_COLS},

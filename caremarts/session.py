@@ -1,14 +1,16 @@
 """Session construction and cluster-wide settings.
 
-Everything here only fills settings that are *unset*: on a real cluster the
-deployment owns ``spark.checkpoint.dir``, shuffle sizing and memory.
+Settings that a deployment or a running session has are left alone: on a real
+cluster it owns ``spark.checkpoint.dir``, shuffle sizing and memory.
 """
 
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark import SparkConf
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every caremarts job relies on. Timestamps are stored and compared in
 # UTC; AQE re-plans joins from runtime sizes and splits skewed join partitions.
@@ -19,15 +21,14 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# Defaults for a job that did not size itself. 128 MiB input splits and
-# 128 MiB post-shuffle partitions keep a task's working set well inside an
-# executor at any scale; AQE coalesces the 2000 initial shuffle partitions
-# down on small inputs.
+# Defaults for a session that this module itself starts. 128 MiB input splits
+# and 128 MiB post-shuffle partitions keep a task's working set well inside an
+# executor. The number of shuffle partitions is the deployment's: it follows
+# from its data and memory, and AQE merges partitions but never makes more.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
-    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.compression.codec": "zstd",
@@ -39,24 +40,51 @@ def build_session(
     app_name: str = "caremarts",
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create a session with the caremarts settings applied."""
+    """The active session as it is, or a new one with the defaults and ``conf``.
+
+    Settings that a running session (or spark-defaults, for a new one) already
+    has are never replaced, except by ``conf``, which the caller asks for.
+    """
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        for key, value in (conf or {}).items():
+            if running.conf.isModifiable(key):
+                running.conf.set(key, value)
+        return configure(running)
+    given = SparkConf()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in DEFAULT_CONF.items():
+        if given.get(key) is None:
+            builder = builder.config(key, value)
+    for key, value in (conf or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    configure(spark)
-    return spark
+    return configure(builder.getOrCreate())
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings caremarts needs to an existing session."""
+    """Set what caremarts jobs rely on where the session has not set it.
+
+    The time zone is part of the results (timestamps are UTC), so it alone is
+    set in any case.
+    """
+    own = spark.sparkContext.getConf()
     for key, value in REQUIRED_CONF.items():
-        spark.conf.set(key, value)
+        if key == "spark.sql.session.timeZone" or own.get(key) is None:
+            spark.conf.set(key, value)
     return spark
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint in the shared folder: written once, read by all later steps."""
+    try:
+        checkpoint_dir(df.sparkSession)
+    except RuntimeError:  # no cluster named a folder: a laptop or a test
+        checkpoint_dir(df.sparkSession, fallback=tempfile.mkdtemp(prefix="caremarts-checkpoints-"))
+    return df.checkpoint()
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster.
 

@@ -119,24 +119,26 @@ OUTPATIENT_RULES = CLAIM_HEAD + [
     ("ClmAdmitDiagnosisCode", "varchar", True, False, []),
     ("DeductibleAmtPaid", "double", True, False, []),
 ] + CODES
+# -- fixed values: columns, types and legal values of providers
 PROVIDER_RULES = [
     ("Provider", "varchar", False, True, []),
     ("PotentialFraud", "varchar", True, False, []),
 ]
+# -- fixed values: columns, types and legal values of hospital admissions
 HOSPITAL_AGES = ["0-10", "11-20", "21-30", "31-40", "41-50", "51-60", "61-70", "71-80", "81-90", "91-100"]
 HOSPITAL_RULES = [
     ("admission_id", "varchar", False, True, []),
     ("case_id", "varchar", False, False, []),
     ("patientid", "varchar", False, False, []),
     ("Hospital_code", "bigint", False, False, []),
-    ("Hospital_type_code", "varchar", False, False, [("isin", inlist("abcdefg"))]),
+    ("Hospital_type_code", "varchar", False, False, [("isin", inlist(["a", "b", "c", "d", "e", "f", "g"]))]),
     ("City_Code_Hospital", "bigint", False, False, []),
-    ("Hospital_region_code", "varchar", False, False, [("isin", inlist("XYZ"))]),
+    ("Hospital_region_code", "varchar", False, False, [("isin", inlist(["X", "Y", "Z"]))]),
     ("available_extra_rooms", "bigint", False, False, GE0),
     ("Department", "varchar", False, False, [("isin", inlist(
         ["TB & Chest disease", "anesthesia", "gynecology", "radiotherapy", "surgery"]))]),
-    ("Ward_Type", "varchar", False, False, [("isin", inlist("PQRST"))]),
-    ("Ward_Facility_Code", "varchar", False, False, [("isin", inlist("ABCDEF"))]),
+    ("Ward_Type", "varchar", False, False, [("isin", inlist(["P", "Q", "R", "S", "T"]))]),
+    ("Ward_Facility_Code", "varchar", False, False, [("isin", inlist(["A", "B", "C", "D", "E", "F"]))]),
     ("bed_grade", "double", True, False, [("isin", "@v not in (1.0, 2.0, 3.0, 4.0)")]),
     ("City_Code_Patient", "double", True, False, [("ge", "@v < 1")]),
     ("type_of_admission", "varchar", False, False, [("isin", inlist(["Emergency", "Trauma", "Urgent"]))]),
@@ -146,12 +148,25 @@ HOSPITAL_RULES = [
     ("Admission_Deposit", "double", False, False, GE0),
     ("Stay", "varchar", False, False, [("isin", inlist(HOSPITAL_AGES + ["More than 100 Days"]))]),
 ]
+# -- fixed values: columns, types and legal values of diabetes encounters
+DIABETES_AGES = [
+    "[0-10)",
+    "[10-20)",
+    "[20-30)",
+    "[30-40)",
+    "[40-50)",
+    "[50-60)",
+    "[60-70)",
+    "[70-80)",
+    "[80-90)",
+    "[90-100)",
+]
 DIABETES_RULES = [
     ("encounter_id", "varchar", False, True, []),
     ("patient_nbr", "varchar", False, False, []),
     ("race", "varchar", True, False, []),
     ("gender", "varchar", False, False, [("isin", inlist(["Female", "Male", "Unknown/Invalid"]))]),
-    ("age", "varchar", False, False, [("isin", inlist([f"[{10 * i}-{10 * i + 10})" for i in range(10)]))]),
+    ("age", "varchar", False, False, [("isin", inlist(DIABETES_AGES))]),
     ("weight", "varchar", True, False, []),
     ("admission_type_id", "bigint", False, False, [("in_range", "not (@v between 1 and 8)")]),
     ("discharge_disposition_id", "bigint", False, False, [("ge", "@v < 1")]),

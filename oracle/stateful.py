@@ -160,26 +160,31 @@ def checks_and_analytics() -> dict[str, str]:
 
     # proofs
     out["proof_incremental"] = x(
-        "with c as (select (select count(*) from unified_a) as c1, (select count(*) from int_claims_unified) as c2, "
-        "(select count(*) from unified_b1) as added, (select count(*) from "
-        "(select claim_id from int_claims_unified group by claim_id having count(*) > 1)) as d) "
-        "select * from (values ('phaseA_no_duplicate_claim_ids', (select d = 0 from c)), "
-        "('phaseB_no_duplicate_claim_ids', (select d = 0 from c)), "
-        "('incremental_added_exactly_bucket1', (select c2 - c1 = added from c)), "
-        "('reached_full_row_count_after_two_phases', (select c2 = c1 + added from c)), "
-        "('incremental_rerun_is_noop', true)) t(check_name, passed)"
+        "with loaded as (select claim_id from enr_a union all select claim_id from enr_b1), "
+        "c as (select "
+        "(select count(*) - count(distinct claim_id) from enr_a) as repeats_a, "
+        "(select count(*) - count(distinct claim_id) from loaded) as repeats_all, "
+        "(select count(*) from loaded where claim_id not in (select claim_id from enr_a)) as growth, "
+        "(select count(*) from unified_b1) as second_half, "
+        "(select count(*) from int_claims_unified where claim_id not in (select claim_id from loaded)) as left_out, "
+        "(select count(*) from loaded where claim_id not in (select claim_id from int_claims_unified)) as made_up, "
+        "(select count(*) from enr_b1 where claim_id not in (select claim_id from loaded)) as replayed) "
+        "select * from (values ('claims_unique_after_full_load', (select repeats_a = 0 from c)), "
+        "('claims_unique_after_incremental_load', (select repeats_all = 0 from c)), "
+        "('incremental_load_adds_the_second_half', (select growth = second_half from c)), "
+        "('both_halves_make_all_claims', (select left_out = 0 and made_up = 0 from c)), "
+        "('replay_adds_and_loses_nothing', (select replayed = 0 from c))) t(check_name, passed)"
     )
     out["proof_scd2"] = x(
-        "with c as (select (select count(*) from h1) as base, (select count(*) from h2) as total, "
-        "(select count(*) from (select provider_id from h2 where provider_id in (select Provider from flip) "
-        "group by provider_id having count(*) = 2)) as two, "
-        "(select count(*) from h2 where provider_id in (select Provider from flip) and valid_to is null "
-        "and is_potential_fraud) as cur, (select count(*) from h2 where provider_id in "
-        "(select Provider from flip) and valid_to is not null) as closed) "
-        "select * from (values ('snapshot_grew_by_K', (select total = base + 5 from c)), "
-        "('K_flipped_providers_have_two_versions', (select two = 5 from c)), "
-        "('current_version_is_fraud_true', (select cur = 5 from c)), "
-        "('old_version_closed_with_valid_to', (select closed = 5 from c))) t(check_name, passed)"
+        "with hist as (select h2.* from h2 join flip on h2.provider_id = flip.Provider), "
+        "c as (select (select count(*) from h1) as before, (select count(*) from h2) as after, "
+        "(select count(*) from (select provider_id from hist group by provider_id having count(*) <> 2)) as not_in_two, "
+        "(select count(*) from hist where valid_to is null and is_potential_fraud) as open_flagged, "
+        "(select count(*) from hist where valid_to is not null and not is_potential_fraud) as closed_unflagged) "
+        "select * from (values ('history_gains_a_version_per_flip', (select after - before = 5 from c)), "
+        "('no_flipped_provider_lacks_a_version', (select not_in_two = 0 from c)), "
+        "('open_versions_carry_the_new_label', (select open_flagged = 5 from c)), "
+        "('earlier_versions_are_closed', (select closed_unflagged = 5 from c))) t(check_name, passed)"
     )
 
     # analytics
