@@ -33,8 +33,8 @@ from pyspark.sql import types as T
 
 from caremarts.llm.common import coded_words, map_pieces
 
-CACHED_CHUNKS = 600_000  # distinct chunks a task keeps encoded; beyond it they are encoded again
-BLOCK_BYTES = 12 << 20  # text that is merged together
+CACHED_CHUNKS = 150_000  # distinct chunks a task keeps encoded; beyond it they are encoded again
+BLOCK_BYTES = 3 << 20  # text that is merged together
 
 
 def byte_letters() -> list[str]:
@@ -55,8 +55,8 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in {**vocab, **self.special}.items()}
         letters = byte_letters()
-        self.inner = np.array([vocab[c] for c in letters], np.int64)
-        self.final = np.array([vocab[c + end] for c in letters], np.int64)
+        self.inner = np.array([vocab[c] for c in letters], np.int32)
+        self.final = np.array([vocab[c + end] for c in letters], np.int32)
         self.size = max(self.tokens) + 1
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         left = np.array([vocab[a] for a, _ in merges], np.int64)
@@ -74,7 +74,7 @@ class WordBpe:
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The merge rank of each pair, -1 where there is none."""
-        key = left * self.size + right
+        key = left.astype(np.int64) * self.size + right
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_of[at], -1)
 
@@ -116,9 +116,9 @@ class WordBpe:
         lasts = (np.cumsum(size) - 1)[size > 0]
         sym = self.inner[data]
         sym[lasts] = self.final[data[lasts]]
-        after = np.arange(1, n + 1)
+        after = np.arange(1, n + 1, dtype=np.int32)
         after[lasts] = -1
-        before = np.arange(-1, n - 1)
+        before = np.arange(-1, n - 1, dtype=np.int32)
         before[np.concatenate([[0], lasts[:-1] + 1])] = -1
         index: dict[int, list[np.ndarray]] = defaultdict(list)
         active: list[int] = []
@@ -211,14 +211,16 @@ class BlockEncoder:
         """Ids of all texts one after another, and the offsets of each text."""
         offsets, local, distinct = coded_words(block, lower=False)
         chunks = distinct.to_pylist()
-        if len(self.codes) + len(chunks) > CACHED_CHUNKS:
+        if len(self.codes) > CACHED_CHUNKS:
             self._clear()
         new = [c for c in chunks if c not in self.codes]
         if new:
             self._learn(new)
         code = np.fromiter(map(self.codes.__getitem__, chunks), np.int64, len(chunks))
         spread, ends = ranges(self.starts, code[local])
-        return self.ids[spread], ends[offsets]
+        ids, ends = self.ids[spread], ends[offsets]
+        pa.default_memory_pool().release_unused()
+        return ids, ends
 
 
 def ranges(starts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,34 +242,57 @@ def _opened(name: str) -> WordBpe:
         return WordBpe(f.read())
 
 
+def _ids_column(ids: np.ndarray, ends: np.ndarray, packed: bool) -> pa.Array:
+    if packed:
+        data = pa.py_buffer(ids.astype("<u4").tobytes())
+        offsets = pa.py_buffer((ends * 4).astype(np.int32).tobytes())
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, data])
+    kind = pa.list_(pa.field("element", pa.int32(), False))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)), type=kind)
+
+
+def _text(bpe: WordBpe, ids) -> str:
+    """The tokens with one space between them; an id outside the vocabulary is left out."""
+    return " ".join([t for t in map(bpe.tokens.get, ids) if t is not None])
+
+
 def encode(
-    df: DataFrame, vocabulary: str, column: str = "text", out: str = "ids", packed: bool = False
+    df: DataFrame,
+    vocabulary: str,
+    column: str = "text",
+    out: str = "ids",
+    packed: bool = False,
+    decoded: str | None = None,
 ) -> DataFrame:
     """Add the token ids of ``column`` as ``out``.
 
     ``vocabulary`` is the path of a tokenizer JSON file on the driver. The ids
     are an array of int, or with ``packed`` one binary value of little-endian
     unsigned 32-bit integers, which takes a third of the memory of an array.
+    With ``decoded`` a column of that name has what the ids decode to, made in
+    the same pass.
     """
     name = _vocabulary(df, vocabulary)
     kind = T.BinaryType() if packed else T.ArrayType(T.IntegerType(), False)
+    added = [T.StructField(out, kind, False)]
+    if decoded:
+        added.append(T.StructField(decoded, T.StringType(), False))
 
     def setup():
-        coder = BlockEncoder(_opened(name))
+        bpe = _opened(name)
+        coder = BlockEncoder(bpe)
 
         def each(piece: pa.RecordBatch) -> list:
             ids, ends = coder.encode(piece.column(column))
-            if packed:
-                data = pa.py_buffer(ids.astype("<u4").tobytes())
-                offsets = pa.py_buffer((ends * 4).astype(np.int32).tobytes())
-                return [pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, data])]
-            flat = pa.array(ids.astype(np.int32))
-            kind = pa.list_(pa.field("element", pa.int32(), False))
-            return [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat, type=kind)]
+            made = [_ids_column(ids, ends, packed)]
+            if decoded:
+                cuts = ends.tolist()
+                made.append([_text(bpe, ids[a:b].tolist()) for a, b in zip(cuts, cuts[1:])])
+            return made
 
         return each
 
-    return map_pieces(df, column, [T.StructField(out, kind, False)], setup, BLOCK_BYTES)
+    return map_pieces(df, column, added, setup, BLOCK_BYTES)
 
 
 def decode(df: DataFrame, vocabulary: str, column: str = "ids", out: str = "decoded") -> DataFrame:
@@ -280,35 +305,30 @@ def decode(df: DataFrame, vocabulary: str, column: str = "ids", out: str = "deco
     """
     name = _vocabulary(df, vocabulary)
     packed = isinstance(df.schema[column].dataType, T.BinaryType)
-    measure, drop = column, not packed
+    measure = column
     if not packed:  # pieces are cut by bytes of a binary or text column
         measure = "__ids_bytes"
         df = df.withColumn(measure, F.coalesce(F.repeat(F.lit("....."), F.size(column)), F.lit("")))
 
     def setup():
         bpe = _opened(name)
-        token = bpe.tokens.get
 
         def each(piece: pa.RecordBatch) -> list:
-            out = []
-            for ids in piece.column(column):
-                got = ids.as_py()
-                if packed and got is not None:
-                    got = np.frombuffer(got, "<u4").tolist()
-                out.append(" ".join([t for t in map(token, got or ()) if t is not None]))
-            return [out]
+            rows = piece.column(column).to_pylist()
+            if packed:
+                rows = [None if r is None else np.frombuffer(r, "<u4").tolist() for r in rows]
+            return [[_text(bpe, r or ()) for r in rows]]
 
         return each
 
     done = map_pieces(df, measure, [T.StructField(out, T.StringType(), False)], setup)
-    return done.drop(measure) if drop else done
+    return done if packed else done.drop(measure)
 
 
 def encoded_digest(docs: DataFrame, vocabulary: str) -> DataFrame:
     """The registered result: digests of each text's ids and of their decoded text."""
-    coded = encode(docs.select("doc_id", "text"), vocabulary, packed=True)
-    both = decode(coded.select("doc_id", "ids"), vocabulary)
-    return both.select(
+    coded = encode(docs.select("doc_id", "text"), vocabulary, packed=True, decoded="decoded")
+    return coded.select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

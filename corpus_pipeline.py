@@ -49,10 +49,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: token ids of each text, with what they decode to checked by its digest."""
-    path = vocabulary()
-    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text")
-    decoded = bpe.decode(coded, path)
-    return decoded.select(
+    coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary(), decoded="decoded")
+    return coded.select(
         "doc_id",
         "lang",
         "source",
