@@ -1,51 +1,15 @@
-"""Join helpers: size-checked broadcast, orphans, point-in-time lookup.
+"""Join helpers: orphans, point-in-time lookup.
 
-Equi joins themselves are Spark's (broadcast-hash or sort-merge, re-planned by
-AQE, skewed partitions split by AQE's skew-join rule). The helpers here only
-decide *when* a side may be broadcast: never on a guess, always after its row
-count is known to be under a bound.
+Equi joins themselves are Spark's: AQE picks broadcast-hash or sort-merge from
+the sides' real sizes and splits skewed partitions. Nothing here hints at or
+measures a side.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) we ever ship to every executor. A key-sized row is tens
-# of bytes, so this bounds a broadcast relation to a few tens of MiB.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-@dataclass
-class SizedSide:
-    """A join side whose row count has been measured."""
-
-    df: DataFrame
-    rows: int
-
-    @property
-    def small(self) -> bool:
-        return self.rows <= BROADCAST_MAX_ROWS
-
-    def for_join(self) -> DataFrame:
-        """Broadcast when the measured size allows, else leave it to a shuffle join."""
-        return F.broadcast(self.df) if self.small else self.df
-
-
-def measure(df: DataFrame) -> SizedSide:
-    """Materialise ``df`` once (memory, spilling to disk) and count it.
-
-    Persisted blocks are recomputed from lineage if an executor is lost, so
-    the measurement survives executor loss; the count only runs the (small,
-    pre-aggregated) plan of ``df`` itself.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return SizedSide(df, df.count())
-
-
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent (J6): a left anti join.
 

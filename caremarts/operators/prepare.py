@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremarts.functions.columns import recode, surrogate_key
-from caremarts.sources.csv import SOURCE_FILE_COL, quote, sql_string
+from caremarts.sources.csv import MALFORMED_COL, POSITION_COLS, quote, sql_string
 
 SPLIT_RANK_COL = "_split_rank"
 
@@ -38,23 +38,32 @@ def split_union(*splits: DataFrame) -> DataFrame:
 
 
 def dedup_keep_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
-    """First row per ``key`` (P3, W2): lowest ``_split_rank``, then file, then
-    all remaining columns, so the survivor is deterministic.
-
-    Runs as ``groupBy(key).agg(min_by(row, ordering))``: a partial aggregate
-    keeps one candidate per key per task before the shuffle, so a key holding
-    a third of the rows never gathers in one task. No window, no
-    ``dropDuplicates`` (whose survivor is arbitrary).
+    """First row per ``key`` (P3, W2) by the rows' places: split, file, block, row.
+
+    The places are columns taken at the scan (``sources.csv.POSITION_COLS``),
+    before any shuffle; ``order`` names others. Rows of equal or unknown place
+    are ordered by their values, so the survivor is deterministic. Rows that
+    the reader marked malformed are not compared: all of them stay, to be
+    rejected with their reason.
+
+    Runs as ``groupBy(key).agg(min(row))`` with the place leading the row: a
+    partial aggregate keeps one candidate per key per task before the shuffle,
+    so a key holding a third of the rows never gathers in one task. No window,
+    no ``dropDuplicates`` (whose survivor is arbitrary).
     """
+    columns = df.columns
+    if MALFORMED_COL in columns:
+        whole = dedup_keep_first(df.where(F.col(MALFORMED_COL).isNull()).drop(MALFORMED_COL), key, order)
+        odd = df.where(F.col(MALFORMED_COL).isNotNull())
+        return whole.withColumn(MALFORMED_COL, F.lit(None).cast("string")).unionByName(odd).select(*map(quote, columns))
     if order is None:
-        order = [c for c in (SPLIT_RANK_COL, SOURCE_FILE_COL) if c in df.columns]
-    rest = [c for c in df.columns if c != key and c not in order]
-    ordering = F.struct(*[F.col(f"`{c}`") for c in [*order, *rest]])
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != key])
+        order = [c for c in (SPLIT_RANK_COL, *POSITION_COLS) if c in columns]
+    rest = [c for c in columns if c != key and c not in order]
+    row = F.struct(*[F.col(quote(c)) for c in [*order, *rest] if c != key])
     return (
-        df.groupBy(F.col(f"`{key}`"))
-        .agg(F.min_by(row, ordering).alias("__first"))
-        .select(*[F.col(f"`{key}`") if c == key else F.col(f"__first.`{c}`").alias(c) for c in df.columns])
+        df.groupBy(F.col(quote(key)))
+        .agg(F.min(row).alias("__first"))
+        .select(*[F.col(quote(c)) if c == key else F.col(f"__first.{quote(c)}").alias(c) for c in columns])
     )
 
 
@@ -91,7 +100,7 @@ def mint_admission_id(df: DataFrame) -> DataFrame:
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop(SPLIT_RANK_COL, SOURCE_FILE_COL)
+    return df.drop(SPLIT_RANK_COL, *POSITION_COLS)
 
 
 # Per-source preparation, in loader order -------------------------------------

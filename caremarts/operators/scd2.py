@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caremarts.plans.staging import fraud_flag
+from caremarts.warehouse import Warehouse
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
+CHANGED = "changed"
+OPEN_SLOT, CLOSED_SLOT = "open", "closed"
 
 
 def _null_safe_equal(cols: list[str]) -> Column:
@@ -37,6 +40,30 @@ def scd2_apply(
 ) -> DataFrame:
     """New history after taking a snapshot of ``current`` at ``ts``.
 
+    The closed versions of before and what ``scd2_changes`` makes of the rest.
+    """
+    emitted = scd2_changes(history, current, key, check_cols, ts, invalidate_hard_deletes=invalidate_hard_deletes)
+    if history is None:
+        return emitted.drop(CHANGED)
+    return history.where(F.col(VALID_TO).isNotNull()).select(*emitted.drop(CHANGED).columns).unionByName(emitted.drop(CHANGED))
+
+
+def scd2_changes(
+    open_versions: DataFrame | None,
+    current: DataFrame,
+    key: str,
+    check_cols: list[str],
+    ts: dt.datetime,
+    *,
+    invalidate_hard_deletes: bool = True,
+) -> DataFrame:
+    """What a snapshot of ``current`` at ``ts`` makes of the open versions.
+
+    Open versions after it, and the versions it closes; ``changed`` tells the
+    versions it opened or closed from those it left alone. Closed rows of
+    ``open_versions`` are ignored: they never change again.
+
+
     * unchanged (null-safe equal on ``check_cols``): open version kept as is;
     * changed: open version closed at ``ts`` and a new version opened at ``ts``;
     * new or reappearing key: a version opened at ``ts``;
@@ -44,25 +71,32 @@ def scd2_apply(
       ``invalidate_hard_deletes``, else kept open.
 
     A changed or deleted key whose open version starts at or after ``ts`` fails
-    the job (two versions would share an instant and escape overlap checks).
-    ``current`` must hold one row per key.
+    the job (two versions would share an instant and escape overlap checks). A
+    key that ``current`` holds more than once fails it too.
     """
     ts_col = F.lit(ts).cast("timestamp")
     tracked = [key, *check_cols]
-    cur = current.select(*[F.col(c).alias(f"__c_{c}") for c in tracked]).withColumn(
-        "__c_present", F.lit(True)
+    twice = F.concat(F.lit("scd2: the source holds a key more than once: "), F.col(key).cast("string"))
+    rest = [c for c in tracked if c != key]
+    cur = (
+        current.select(*tracked)
+        .groupBy(key)
+        .agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in rest])
+        .select(
+            F.when(F.col("__n") == 1, F.col(key)).otherwise(F.raise_error(twice).cast(current.schema[key].dataType)).alias(f"__c_{key}"),
+            *[F.col(c).alias(f"__c_{c}") for c in rest],
+            F.lit(True).alias("__c_present"),
+        )
     )
-    if history is None:
+    if open_versions is None:
         return cur.select(
             *[F.col(f"__c_{c}").alias(c) for c in tracked],
             ts_col.alias(VALID_FROM),
             F.lit(None).cast("timestamp").alias(VALID_TO),
+            F.lit(True).alias(CHANGED),
         )
 
-    open_v = history.filter(F.col(VALID_TO).isNull())
-    closed_v = history.filter(F.col(VALID_TO).isNotNull()).select(
-        *tracked, VALID_FROM, VALID_TO
-    )
+    open_v = open_versions.filter(F.col(VALID_TO).isNull())
     old = open_v.select(
         *[F.col(c).alias(f"__o_{c}") for c in tracked],
         F.col(VALID_FROM).alias("__o_from"),
@@ -83,21 +117,22 @@ def scd2_apply(
         F.raise_error(F.lit(f"scd2_apply: snapshot time {ts} is not after an open version")),
     )
 
-    def version(prefix: str, start: Column, end: Column) -> Column:
+    def version(prefix: str, start: Column, end: Column, moved: Column) -> Column:
         return F.struct(
             *[F.col(f"{prefix}{c}").alias(c) for c in tracked],
             start.alias(VALID_FROM),
             end.alias(VALID_TO),
+            moved.alias(CHANGED),
         )
 
     null_ts = F.lit(None).cast("timestamp")
     old_version = F.when(
         o_here,
-        version("__o_", F.col("__o_from"), F.when(closes, F.coalesce(guard.cast("timestamp"), ts_col)).otherwise(null_ts)),
+        version("__o_", F.col("__o_from"), F.when(closes, F.coalesce(guard.cast("timestamp"), ts_col)).otherwise(null_ts), closes),
     )
-    new_version = F.when(opens, version("__c_", ts_col, null_ts))
+    new_version = F.when(opens, version("__c_", ts_col, null_ts, F.lit(True)))
     emitted = j.select(F.explode(F.array_compact(F.array(old_version, new_version))).alias("v"))
-    return closed_v.unionByName(emitted.select("v.*"))
+    return emitted.select("v.*")
 
 
 def provider_snapshot_source(raw_providers: DataFrame) -> DataFrame:
@@ -122,5 +157,20 @@ def snapshot_providers(
     )
 
 
+def snapshot_table(wh: Warehouse, table: str, raw_providers: DataFrame, ts: dt.datetime, run: str) -> int | None:
+    """Take a provider snapshot in the warehouse and commit it.
+
+    Closed versions are only ever appended; the part of open versions is
+    rewritten, and nothing is written at all when no label changed.
+    """
+    history = wh.read("snapshots", table, slots=[OPEN_SLOT])
+    delta = scd2_changes(history, provider_snapshot_source(raw_providers), "provider_id", ["is_potential_fraud"], ts)
+    delta = wh.stage(run, table, delta)
+    if history is not None and delta.where(CHANGED).isEmpty():
+        return None
+    slot = F.when(F.col(VALID_TO).isNull(), OPEN_SLOT).otherwise(CLOSED_SLOT)
+    return wh.rewrite("snapshots", table, delta.drop(CHANGED), slot=slot, replaced=[OPEN_SLOT])
+
+
 def snapshot_first(raw_providers: DataFrame, ts: dt.datetime) -> DataFrame:
     return snapshot_providers(None, raw_providers, ts)

@@ -9,17 +9,15 @@ testing data columns for null, so a batch null overwrites an old value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caremarts.warehouse import SLOT, DuplicateKeyError, Warehouse
+
 INGESTED_AT = "ingested_at"
 MODES = ("upsert", "replace")
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
 def assert_unique(batch: DataFrame, key: str) -> None:
     """Refuse a batch holding a key twice (the database refuses it too).
 
@@ -38,6 +36,12 @@ def assert_unique(batch: DataFrame, key: str) -> None:
         raise DuplicateKeyError(f"batch holds key {dup[0][0]!r} of {key} more than once")
 
 
+def assert_known_columns(existing: DataFrame, batch: DataFrame) -> None:
+    unknown = [c for c in batch.columns if c not in existing.columns]
+    if unknown:
+        raise ValueError(f"batch columns not in the table: {', '.join(unknown)}")
+
+
 def upsert(
     existing: DataFrame | None,
     batch: DataFrame,
@@ -57,10 +61,7 @@ def upsert(
         assert_unique(batch, key)
     if existing is None:
         return batch
-    unknown = [c for c in batch.columns if c not in existing.columns]
-    if unknown:
-        raise ValueError(f"batch columns not in the table: {', '.join(unknown)}")
-
+    assert_known_columns(existing, batch)
     old = existing.select(
         *[F.col(f"`{c}`").alias(f"__o_{c}") for c in existing.columns],
         F.lit(True).alias("__o_present"),
@@ -89,9 +90,13 @@ def upsert(
 
 
 def replace_load(batch: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """K4: the table holds exactly the batch afterwards (shaped like the table)."""
+    """K4: the table holds exactly the batch afterwards (shaped like the table).
+
+    A batch column unknown to the table is an error, as in ``upsert``.
+    """
     if existing is None:
         return batch
+    assert_known_columns(existing, batch)
     return batch.select(
         *[
             F.col(f"`{c}`") if c in batch.columns else F.lit(None).cast(t).alias(c)
@@ -113,3 +118,32 @@ def load(
     if mode == "replace":
         return replace_load(batch, existing)
     raise ValueError(f"Unknown load mode: {mode!r} (use 'upsert' or 'replace')")
+
+
+#: Slots of a raw table by the key's hash; a batch rewrites those it has keys of.
+RAW_SLOTS = 16
+
+
+def key_slot(key: str, slots: int = RAW_SLOTS) -> Column:
+    return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(slots))
+
+
+def load_table(wh: Warehouse, table: str, batch: DataFrame, key: str, mode: str = "upsert", slots: int = RAW_SLOTS) -> int:
+    """Load a batch into a raw table (K1-K4) and commit the new version.
+
+    An upsert reads and rewrites the slots that the batch has keys of, and
+    leaves the others' files as they are; each slot is one full outer join of
+    unique keys. The key is asserted unique before the commit. ``batch`` should
+    be a stored frame: its slots are looked at first.
+    """
+    if mode not in MODES:
+        raise ValueError(f"Unknown load mode: {mode!r} (use 'upsert' or 'replace')")
+    slot = key_slot(key, slots)
+    if mode == "replace" or not wh.exists("raw", table):
+        existing = wh.read("raw", table)
+        rows = batch if existing is None else replace_load(batch, existing)
+        return wh.publish("raw", table, rows, key=key, slot=slot)
+    touched = sorted(str(r[0]) for r in batch.select(slot.alias(SLOT)).distinct().collect())  # at most ``slots``
+    old = wh.read("raw", table, slots=touched)
+    new = upsert(old, batch, key, check_unique=False)  # the commit asserts it
+    return wh.rewrite("raw", table, new, slot=slot, replaced=touched, key=key)

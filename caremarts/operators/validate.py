@@ -6,24 +6,26 @@ failure is rejected, every other row passes with its declared columns coerced.
 ``valid + rejected = input`` always holds.
 
 Uniqueness (V3) is the only rule that needs other rows: duplicate keys are
-found with a partially aggregated ``groupBy(key).count()`` (map-side combine,
-so a hot key costs one row per task, not one task for all its rows), and
-joined back. The duplicate-key set is measured first and broadcast only when
-it is under ``BROADCAST_MAX_ROWS``; beyond that it is a shuffle join, which
-AQE's skew rule splits if one key dominates. All copies of a duplicated key
-are rejected; no survivor is picked.
+found by a scan of the key column alone with a partially aggregated
+``groupBy(key).count()`` (map-side combine, so a hot key costs one row per
+task, not one task for all its rows), and joined back; AQE sizes that join and
+splits it if one key dominates. All copies of a duplicated key are rejected; no
+survivor is picked.
+
+Nothing runs or is cached while a validation is built. A job that needs the
+halves more than once writes ``annotated`` to a shared table and takes them from
+there (``Validation.over``).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caremarts.operators.contracts import ColumnRule, Contract
-from caremarts.operators.joins import measure
+from caremarts.sources.csv import MALFORMED_COL
 
 REASONS_COL = "_reject_reasons"
 REASON_SEP = ";"
@@ -36,23 +38,31 @@ class ContractError(ValueError):
 
 @dataclass
 class Validation:
-    """Result of ``validate``: the annotated frame and its two halves."""
+    """Result of ``validate``: the annotated frame and its two halves, all lazy."""
 
-    annotated: DataFrame  # input columns + coerced-key helpers + reasons
-    valid: DataFrame  # declared columns coerced, extras untouched
-    rejected: DataFrame  # input columns as read + _reject_reasons
+    annotated: DataFrame  # source columns as read + _reject_reasons
     contract: Contract
-    cached: DataFrame | None = None  # the persisted source, if any
 
-    def release_source(self) -> None:
-        """Drop the cached source once the annotated frame is materialised."""
-        if self.cached is not None:
-            self.cached.unpersist()
+    @property
+    def valid(self) -> DataFrame:
+        """Rows without a failure: declared columns coerced, extras untouched."""
+        declared = self.contract.columns
+        return self.annotated.where(F.size(REASONS_COL) == 0).selectExpr(
+            *[
+                f"{coerced_sql(c, declared[c])} AS {ident(c)}" if c in declared else ident(c)
+                for c in self.annotated.columns
+                if c not in (REASONS_COL, MALFORMED_COL)
+            ]
+        )
+
+    @property
+    def rejected(self) -> DataFrame:
+        """Rows with a failure, as read, with the reasons."""
+        return self.annotated.where(F.size(REASONS_COL) > 0)
 
-    def release(self) -> None:
-        """Drop every cache once both halves are written."""
-        self.release_source()
-        self.annotated.unpersist()
+    def over(self, annotated: DataFrame) -> Validation:
+        """The same validation over a stored copy of ``annotated``."""
+        return Validation(annotated, self.contract)
 
 
 def check_columns(df: DataFrame, contract: Contract) -> None:
@@ -77,11 +87,16 @@ def literal(value) -> str:
 
 def coerced(name: str, rule: ColumnRule) -> Column:
     """V1: the declared type, or null when the cell cannot be converted."""
-    return F.col(ident(name)).try_cast(rule.spark_type)
+    return F.expr(coerced_sql(name, rule))
 
 
 def coerced_sql(name: str, rule: ColumnRule) -> str:
-    return f"try_cast({ident(name)} AS {rule.spark_type})"
+    """The cast as SQL; a whole number may be written with a fraction of zeros (``12.0``)."""
+    plain = f"try_cast({ident(name)} AS {rule.spark_type})"
+    if rule.dtype != "int":
+        return plain
+    exact = f"try_cast({ident(name)} AS decimal(38,18))"
+    return f"coalesce({plain}, CASE WHEN {exact} = floor({exact}) THEN try_cast({exact} AS {rule.spark_type}) END)"
 
 
 def rule_failures(name: str, rule: ColumnRule, dup_flag: str | None) -> list[str]:
@@ -129,37 +144,31 @@ def duplicate_keys(df: DataFrame, key_col: str) -> DataFrame:
     )
 
 
-def validate(df: DataFrame, contract: Contract, *, persist: bool = True) -> Validation:
-    """Split ``df`` into rows that satisfy ``contract`` and rejected rows.
+def validate(df: DataFrame, contract: Contract) -> Validation:
+    """Mark each row of ``df`` with the rules of ``contract`` that it fails.
 
-    The source is read once: it is persisted (memory, spilling to disk) with
-    its coerced key columns and the duplicate-key count runs over that cache;
-    the annotated frame (source + reasons) is persisted too, and the valid and
-    rejected halves are both filtered from it. A lost executor's blocks are
-    recomputed from lineage. ``release_source`` frees the first cache once
-    the second is materialised.
+    Lazy: the source is scanned once for its rows and once, for the key column
+    only, for duplicates.
     """
     check_columns(df, contract)
     source_cols = list(df.columns)
-    keyed = df.selectExpr(
+    annotated = df.selectExpr(
         "*",
         *[
             f"{coerced_sql(n, contract.columns[n])} AS {ident(_DUP_PREFIX + n)}"
             for n in contract.unique_columns
         ],
     )
-    if persist:
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-
-    annotated = keyed
     dup_flags: dict[str, str] = {}
     for name in contract.unique_columns:
         key_col = _DUP_PREFIX + name
-        dups = measure(duplicate_keys(keyed, key_col)).for_join()
-        annotated = annotated.join(dups, key_col, "left")
+        keys = df.selectExpr(f"{coerced_sql(name, contract.columns[name])} AS {ident(key_col)}")
+        annotated = annotated.join(duplicate_keys(keys, key_col), key_col, "left")
         dup_flags[name] = f"coalesce({ident(key_col + '_flag')}, false)"
 
     reasons: list[str] = []
+    if MALFORMED_COL in source_cols:
+        reasons.append(f"CASE WHEN {MALFORMED_COL} IS NOT NULL THEN 'row:malformed' END")
     for name, rule in contract.columns.items():
         reasons.extend(rule_failures(name, rule, dup_flags.get(name)))
     # concat_ws skips the nulls of passing rules; unlike array_compact (a
@@ -170,23 +179,7 @@ def validate(df: DataFrame, contract: Contract, *, persist: bool = True) -> Vali
         *[ident(c) for c in source_cols],
         f"CASE WHEN __reasons = '' THEN array() ELSE split(__reasons, '{REASON_SEP}') END AS {REASONS_COL}",
     )
-    if persist:
-        # Both halves and the summary read the reasons: evaluate the rules once.
-        # Downstream plans then start at this cache instead of a hundred-branch
-        # projection the optimizer would push filters into.
-        annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
-
-    ok = F.size(REASONS_COL) == 0
-    valid = annotated.filter(ok).selectExpr(
-        *[
-            f"{coerced_sql(c, contract.columns[c])} AS {ident(c)}"
-            if c in contract.columns
-            else ident(c)
-            for c in source_cols
-        ]
-    )
-    rejected = annotated.filter(~ok)
-    return Validation(annotated, valid, rejected, contract, keyed if persist else None)
+    return Validation(annotated, contract)
 
 
 def ingest_summary(results: dict[str, Validation]) -> DataFrame:

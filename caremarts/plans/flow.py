@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from caremarts.operators import quality as Q
 from caremarts.operators.contracts import CONTRACTS, SOURCE_RENAMES
 from caremarts.operators.incremental import incremental_append
-from caremarts.operators.scd2 import snapshot_providers
-from caremarts.operators.upsert import load
+from caremarts.operators.scd2 import snapshot_table
+from caremarts.operators.upsert import load_table
 from caremarts.operators.validate import Validation, ingest_summary, validate
 from caremarts.plans import ingest
 from caremarts.plans import intermediate as I
@@ -62,6 +63,8 @@ class FlowConfig:
     reset: bool = False
     batch_ts: dt.datetime | None = None
     fail_on_test_error: bool = True
+    on_match: str = "skip"  # what an incremental run does with known keys: skip | replace
+    keep_versions: int = 3  # older versions of every table are vacuumed after the run
 
 
 @dataclass
@@ -101,6 +104,34 @@ def _sources(spark: SparkSession, cfg: FlowConfig) -> RawSources:
     raise ValueError(f"unknown source kind {cfg.source_kind!r}")
 
 
+def raw_reader(wh: Warehouse) -> Callable[[str], DataFrame]:
+    def raw(table: str) -> DataFrame:
+        df = wh.read("raw", table)
+        if df is None:
+            raise FileNotFoundError(f"raw table {table} has never been loaded")
+        return df
+
+    return raw
+
+
+def update_facts(
+    wh: Warehouse, models: Models, names: list[str], *, full_refresh: bool = False, on_match: str = "skip"
+) -> None:
+    """Bring incremental facts up to date with the raw tables."""
+    how = {"full_refresh": full_refresh, "on_match": on_match}
+    for name in names:
+        key = INCREMENTAL_FACTS[name]
+        if name == "fct_claims":
+            # int_claims_enriched is itself incremental; fct_claims reads its new version
+            enrich = lambda src: I.int_claims_enriched(src, models.stg_beneficiary)
+            update_fact(wh, "int_claims_enriched", key, models.int_claims_unified, enrich, **how)
+            update_fact(wh, name, key, wh.read("marts", "int_claims_enriched"), M.fct_claims, **how)
+        elif name == "fct_encounters":
+            update_fact(wh, name, key, models.int_encounters_enriched, M.fct_encounters, **how)
+        else:
+            update_fact(wh, name, key, models.int_admissions_enriched, M.fct_hospital_admissions, **how)
+
+
 class TestFailure(RuntimeError):
     pass
 
@@ -119,73 +150,56 @@ def run_concurrently(tasks: dict[str, Callable[[], object]]) -> dict[str, object
         return {k: fut.result() for k, fut in futures.items()}
 
 
-def run_ingest(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datetime) -> dict:
-    """The six tables in loader order with one batch time."""
+def run_ingest(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datetime, run: str) -> dict:
+    """The six tables in loader order with one batch time.
+
+    A table's annotated rows are written once to the shared staging area, in
+    two partitions; the rejects, the batch and the summary are read from there.
+    """
     mode = "replace" if cfg.reset else "upsert"
     prepared = ingest.prepared_sources(_sources(spark, cfg))
-    batch_id = ts.strftime("%Y%m%dT%H%M%S")
 
     def one(table: str) -> Validation:
         v = validate(prepared[table], CONTRACTS[table])
-        wh.quarantine(table, v.rejected, batch_id)  # materialises the annotated cache
-        v.release_source()
-        batch = ingest.stamp(v.valid, ts)
-        existing = wh.read("raw", table)
-        # the batch is unique on the key: validation rejected every duplicate
-        new = load(existing, batch, ingest.NATURAL_KEYS[table], mode, check_unique=False)
-        wh.publish("raw", table, new)
+        v = v.over(wh.stage(run, table, v.annotated))
+        wh.quarantine(table, v.rejected, f"{run}-{table}")
+        load_table(wh, table, ingest.stamp(v.valid, ts), ingest.NATURAL_KEYS[table], mode)
         return v
 
     done = run_concurrently({t: (lambda t=t: one(t)) for t in ingest.TABLE_ORDER})
     results: dict[str, Validation] = {t: done[t] for t in ingest.TABLE_ORDER}
-    summary = {
+    return {
         r["table_name"]: {"loaded": r["loaded"], "rejected": r["rejected"]}
         for r in ingest_summary(results).collect()
     }
-    for v in results.values():
-        v.release()
-    return summary
 
 
-def run_transform(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datetime) -> dict:
-    """Seeds -> snapshot -> models (incremental facts, rebuilt dims) -> tests -> gate."""
-    full_refresh = cfg.reset
+def update_fact(
+    wh: Warehouse, name: str, key: str, source: DataFrame, transform: Callable, *, full_refresh: bool, on_match: str
+) -> None:
+    """One incremental run of a fact table (H1-H3): unseen keys are appended as a new part.
 
-    def raw(table: str) -> DataFrame:
-        df = wh.read("raw", table)
-        if df is None:
-            raise FileNotFoundError(f"raw table {table} has never been loaded")
-        return df
+    A run without unseen keys writes nothing. A full refresh, the first run and
+    ``on_match="replace"`` write the table anew.
+    """
+    target = wh.read("marts", name)
+    rows, whole = incremental_append(source, target, key, transform, full_refresh=full_refresh, on_match=on_match)
+    if target is None or full_refresh or on_match == "replace":
+        wh.publish("marts", name, whole, key=key)
+    else:
+        wh.append("marts", name, rows, key=key)
 
-    # snapshot reads raw providers directly, before the models
-    history = wh.read("snapshots", SNAPSHOT)
-    wh.publish("snapshots", SNAPSHOT, snapshot_providers(history, raw("providers"), ts))
 
+def run_transform(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datetime, run: str) -> dict:
+    """Seeds -> snapshot -> models (incremental facts, rebuilt dims) -> tests -> gate."""
+    raw = raw_reader(wh)
+    # snapshot reads raw providers directly, before the models
+    snapshot_table(wh, SNAPSHOT, raw("providers"), ts, run)
     models = Models(spark, raw, snapshot=wh.read("snapshots", SNAPSHOT))
 
-    def claims_chain() -> None:
-        # int_claims_enriched is itself incremental; fct_claims reads its new version
-        _, enriched = incremental_append(
-            models.int_claims_unified,
-            wh.read("marts", "int_claims_enriched"),
-            "claim_id",
-            lambda src: I.int_claims_enriched(src, models.stg_beneficiary),
-            full_refresh=full_refresh,
-        )
-        wh.publish("marts", "int_claims_enriched", enriched)
-        fact(wh.read("marts", "int_claims_enriched"), "fct_claims", M.fct_claims)
-
-    def fact(src: DataFrame, name: str, fn) -> None:
-        key = INCREMENTAL_FACTS[name]
-        _, target = incremental_append(src, wh.read("marts", name), key, fn, full_refresh=full_refresh)
-        wh.publish("marts", name, target)
-
     jobs: dict[str, Callable[[], object]] = {
-        "fct_claims": claims_chain,
-        "fct_encounters": lambda: fact(models.int_encounters_enriched, "fct_encounters", M.fct_encounters),
-        "fct_hospital_admissions": lambda: fact(
-            models.int_admissions_enriched, "fct_hospital_admissions", M.fct_hospital_admissions
-        ),
+        name: (lambda name=name: update_facts(wh, models, [name], full_refresh=cfg.reset, on_match=cfg.on_match))
+        for name in INCREMENTAL_FACTS
     }
     for name in Q.MART_NAMES:
         if name not in INCREMENTAL_FACTS:
@@ -235,18 +249,23 @@ def run_flow(spark: SparkSession, cfg: FlowConfig) -> FlowResult:
     """Run the selected steps in order; returns counts and step times."""
     configure(spark)
     ts = cfg.batch_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    run = f"{ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"  # unique: a second run of a batch time keeps its own rejects
     wh = Warehouse(spark, cfg.warehouse)
     res = FlowResult()
     if cfg.ingest:
         t = time.time()
         if cfg.reset:
             wh.reset_raw(ingest.TABLE_ORDER)
-        res.summary["ingestion"] = run_ingest(spark, wh, cfg, ts)
+        res.summary["ingestion"] = run_ingest(spark, wh, cfg, ts, run)
         res.timings["ingest"] = round(time.time() - t, 2)
     if cfg.transform:
         t = time.time()
-        res.summary.update(run_transform(spark, wh, cfg, ts))
+        res.summary.update(run_transform(spark, wh, cfg, ts, run))
         res.timings["transform"] = round(time.time() - t, 2)
     elif wh.exists("marts", "fct_claims"):
         res.summary["mart_row_counts"] = Q.gate_marts(Q.mart_row_counts(_Published(None, wh)))
+    tables = [("raw", x) for x in ingest.TABLE_ORDER] + [("snapshots", SNAPSHOT), ("marts", "int_claims_enriched")]
+    for layer, table in tables + [("marts", x) for x in Q.MART_NAMES]:
+        wh.vacuum(layer, table, keep=cfg.keep_versions)
+    wh.drop_staging(run)
     return res

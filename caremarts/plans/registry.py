@@ -85,15 +85,9 @@ class Context:
         return Models(self.spark, self.raw, snapshot=snap)
 
 
-_CONTEXTS: dict[tuple[int, str, str], Context] = {}
-
-
 def context(spark: SparkSession, sf_dir: str) -> Context:
-    # the application id tells a new session from a stopped one at the same address
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _CONTEXTS:
-        _CONTEXTS[key] = Context(spark, sf_dir)
-    return _CONTEXTS[key]
+    """A context of its own for each query: nothing is shared or cached between queries."""
+    return Context(spark, sf_dir)
 
 
 def _model(name: str, casts: dict[str, str] | None = None) -> Query:

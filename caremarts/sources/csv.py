@@ -7,7 +7,9 @@ blanks (a type-inferring reader would turn them into ``4019.0``).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from concurrent.futures import ThreadPoolExecutor
+from csv import reader as text_rows
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,59 @@ NA_TOKENS = (
 )
 
 SOURCE_FILE_COL = "_source_file"
+#: A row's place in its source, taken at the scan: file, split of the file, row.
+POSITION_COLS = (SOURCE_FILE_COL, "_block_start", "_row")
+#: The text of a row with more cells than its file's header, else null.
+MALFORMED_COL = "_malformed"
+
+
+def matching_files(spark: SparkSession, glob: str) -> list[str]:
+    """Files that match ``glob``, in name order; a folder stands for the files in it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(glob)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for s in fs.globStatus(path) or []:
+        inner = fs.listStatus(s.getPath()) if s.isDirectory() else [s]
+        out += [str(x.getPath()) for x in inner if x.isFile() and x.getPath().getName()[0] not in "._"]
+    return sorted(out)
+
+
+def header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names in the first line of a file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+    return tuple(next(text_rows([line.removeprefix("\ufeff")]), []))
+
+
+def text_schema(columns: tuple[str, ...]) -> T.StructType:
+    """All columns as text, and the record of a row whose cells do not fit them."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED_COL)])
+
+
+def csv_options(reader, multi_line: bool):
+    """Quoted cells as in RFC 4180 (doubled quotes, line ends inside), files checked against their header."""
+    return (
+        reader.option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED_COL)
+        .option("columnPruning", False)  # a pruned parse does not count cells
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+    )
+
+
+def too_long(record: str, cells: int):
+    """Whether a record has more than ``cells`` cells; a shorter one has nulls at its end, as text readers do."""
+    bare = F.regexp_replace(record, '"([^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= cells
 
 
 def read_source(
@@ -45,31 +100,40 @@ def read_source(
     renames: dict[str, str] | None = None,
     na_tokens: tuple[str, ...] = NA_TOKENS,
 ) -> DataFrame:
-    """Scan every file matching ``glob`` with a header row.
-
-    Files are read as one relation (Spark lists and splits them in parallel);
-    the originating file is kept in ``_source_file`` for tie-breaking and
-    quarantine lineage. Missing tokens become null; ``renames`` maps source
-    column spellings (spaces, hyphens) to canonical names.
+    """Scan every file matching ``glob`` by its own header row.
+
+    Files with the same header are one scan (Spark lists and splits them); scans
+    of different headers are united by column name, and a column that some files
+    lack is null for them. Cells may hold quotes and line ends; a file group in
+    which no record spans lines (every line has an even number of quotes) is
+    split between tasks, others are read a file a task. Rows with more cells
+    than the header keep their text in ``_malformed``, to be rejected. Missing
+    tokens become null; ``renames`` maps source spellings to canonical names.
     """
-    try:
-        df = (
-            spark.read.option("header", True)
-            .option("inferSchema", False)
-            .option("mode", "PERMISSIVE")
-            .csv(glob)
-        )
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"No source files match {glob!r}") from exc
-        raise
-    from caremarts.sources.testdata import parallel_floor
-
-    df = parallel_floor(df.withColumn(SOURCE_FILE_COL, F.col("_metadata.file_path")))
-    for old, new in (renames or {}).items():
-        if old in df.columns:
-            df = df.withColumnRenamed(old, new)
-    return na_token_recode(df, tokens=na_tokens)
+    files = matching_files(spark, glob)
+    if not files:
+        raise FileNotFoundError(f"No source files match {glob!r}")
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: header(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, columns in zip(files, headers, strict=True):
+        groups.setdefault(columns, []).append(path)
+    out: DataFrame | None = None
+    for columns, paths in groups.items():
+        quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+        spans_lines = not spark.read.text(paths).where(quotes % 2 == 1).isEmpty()
+        df = csv_options(spark.read.schema(text_schema(columns)), spans_lines).csv(paths)
+        df = df.select(
+            "*",
+            F.col("_metadata.file_path").alias(POSITION_COLS[0]),
+            F.col("_metadata.file_block_start").alias(POSITION_COLS[1]),
+            F.monotonically_increasing_id().alias(POSITION_COLS[2]),
+        ).withColumn(MALFORMED_COL, F.when(too_long(MALFORMED_COL, len(columns)), F.col(MALFORMED_COL)))
+        for old, new in (renames or {}).items():
+            if old in df.columns:
+                df = df.withColumnRenamed(old, new)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return na_token_recode(out, tokens=na_tokens)
 
 
 def na_token_recode(
@@ -86,7 +150,7 @@ def na_token_recode(
     """
     strings = set(string_columns(df))
     targets = {
-        c for c in (columns if columns is not None else strings) if c in strings and c != SOURCE_FILE_COL
+        c for c in (columns if columns is not None else strings) if c in strings and c not in (SOURCE_FILE_COL, MALFORMED_COL)
     }
     if not targets:
         return df

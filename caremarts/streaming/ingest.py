@@ -1,32 +1,47 @@
 """File-stream ingest of one raw table (T-1): readStream -> foreachBatch.
 
 Each micro-batch runs the same steps as a batch ingest: prepare, validate
-against the table contract, quarantine the rejects under the epoch's own
-partition, upsert the valid rows by natural key and publish a new version.
+against the table contract, quarantine the rejects, upsert the valid rows by
+natural key, and bring the incremental facts fed by that table up to date (H1).
 ``foreachBatch`` is at-least-once; the upsert makes a replayed epoch a no-op
-(same keys, same values, first-seen time kept) and the quarantine partition
-of the epoch is simply rewritten, so the table ends up exactly-once.
+(same keys, same values, first-seen time kept), the facts skip keys they have,
+and the epoch's own quarantine partition is rewritten. That partition carries
+the stream's id, which lives in its checkpoint, so a stream with a new
+checkpoint never touches the rejects of another.
 
-The stream's checkpoint lives in the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``) unless a location is given.
+Columns come from the header of the files in the folder, in their own order and
+spelling; a file with another header fails the stream instead of being read by
+position.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from caremarts.operators import prepare as P
 from caremarts.operators.contracts import CONTRACTS, SOURCE_RENAMES
-from caremarts.operators.upsert import load
+from caremarts.operators.upsert import load_table
 from caremarts.operators.validate import validate
+from caremarts.plans.flow import INCREMENTAL_FACTS, raw_reader, update_facts
 from caremarts.plans.ingest import stamp
+from caremarts.plans.models import Models
 from caremarts.session import checkpoint_dir
-from caremarts.sources.csv import na_token_recode
+from caremarts.sources.csv import (
+    MALFORMED_COL,
+    POSITION_COLS,
+    csv_options,
+    header,
+    matching_files,
+    na_token_recode,
+    text_schema,
+    too_long,
+)
 from caremarts.warehouse import Warehouse
 
 PREPARE: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -37,33 +52,52 @@ PREPARE: dict[str, Callable[[DataFrame], DataFrame]] = {
     "diabetes_encounters": P.prepare_diabetes,
     "hospital_admissions": P.prepare_hospital,
 }
+#: The facts that a raw table feeds, and all raw tables that each of them reads.
+FED_BY = {
+    "fct_claims": ("inpatient_claims", "outpatient_claims", "beneficiary"),
+    "fct_encounters": ("diabetes_encounters",),
+    "fct_hospital_admissions": ("hospital_admissions",),
+}
+
+
+def facts_of(wh: Warehouse, table: str) -> list[str]:
+    """Facts that ``table`` feeds and whose raw tables have all been loaded once."""
+    return [f for f in INCREMENTAL_FACTS if table in FED_BY[f] and all(wh.exists("raw", t) for t in FED_BY[f])]
 
 
-def source_schema(table: str, columns: list[str] | None = None) -> T.StructType:
-    """All-text schema of a table's extract (a stream needs one up front)."""
-    names = columns or [c for c in CONTRACTS[table].columns if c != "admission_id"]
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+def folder_columns(spark: SparkSession, source_dir: str) -> tuple[str, ...]:
+    """The header that all files of a folder share."""
+    found = {header(spark, f) for f in matching_files(spark, source_dir)}
+    if len(found) != 1:
+        raise ValueError(f"{source_dir}: files have {len(found)} different headers" if found else f"no files in {source_dir}")
+    return found.pop()
+
+
+def stream_id(wh: Warehouse, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint; restarts have the same one."""
+    return json.loads(wh._read_text(f"{checkpoint}/metadata"))["id"]
 
 
 def micro_batch(
-    wh: Warehouse, table: str, clock: Callable[[], dt.datetime]
+    wh: Warehouse, table: str, clock: Callable[[], dt.datetime], checkpoint: str, columns: tuple[str, ...]
 ) -> Callable[[DataFrame, int], None]:
     contract = CONTRACTS[table]
+    renames = SOURCE_RENAMES.get(table, {})
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        renames = SOURCE_RENAMES.get(table, {})
-        for old, new in renames.items():
-            if old in batch.columns:
-                batch = batch.withColumnRenamed(old, new)
-        v = validate(PREPARE[table](na_token_recode(batch)), contract)
-        try:
-            wh.quarantine(table, v.rejected, f"epoch-{epoch_id}")
-            v.release_source()
-            rows = stamp(v.valid, clock())
-            new = load(wh.read("raw", table), rows, contract.key, "upsert", check_unique=False)
-            wh.publish("raw", table, new)
-        finally:
-            v.release()
+        name = f"stream-{stream_id(wh, checkpoint)}-epoch-{epoch_id}"
+        rows = batch.withColumn(
+            MALFORMED_COL, F.when(too_long(MALFORMED_COL, len(columns)), F.col(MALFORMED_COL))
+        ).withColumn(POSITION_COLS[2], F.monotonically_increasing_id())
+        rows = rows.withColumnsRenamed({old: new for old, new in renames.items() if old in columns})
+        v = validate(PREPARE[table](na_token_recode(rows)), contract)
+        v = v.over(wh.stage(name, table, v.annotated))
+        wh.quarantine(table, v.rejected, name, replay=True)
+        load_table(wh, table, stamp(v.valid, clock()), contract.key)
+        facts = facts_of(wh, table)
+        if facts:
+            update_facts(wh, Models(wh.spark, raw_reader(wh)), facts)
+        wh.drop_staging(name)
 
     return run
 
@@ -75,22 +109,28 @@ def start_file_ingest(
     warehouse: str,
     *,
     checkpoint: str | None = None,
-    columns: list[str] | None = None,
+    columns: tuple[str, ...] | None = None,
     available_now: bool = True,
     clock: Callable[[], dt.datetime] | None = None,
 ) -> StreamingQuery:
-    """Start ingesting CSV files dropped into ``source_dir`` into ``raw/<table>``."""
+    """Start ingesting CSV files dropped into ``source_dir`` into ``raw/<table>``.
+
+    ``columns`` (source spelling, file order) is read from the files' header
+    unless given. The checkpoint lies in the cluster's shared checkpoint folder
+    (``spark.checkpoint.dir``) unless a location is given.
+    """
     wh = Warehouse(spark, warehouse)
     location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/caremarts-stream-{table}"
-    stream = (
-        spark.readStream.option("header", True)
-        .schema(source_schema(table, columns))
-        .csv(source_dir)
+    names = tuple(columns or folder_columns(spark, source_dir))
+    source = csv_options(spark.readStream.schema(text_schema(names)), multi_line=True).csv(source_dir)
+    stream = source.select(
+        "*",
+        F.col("_metadata.file_path").alias(POSITION_COLS[0]),
+        F.col("_metadata.file_block_start").alias(POSITION_COLS[1]),
     )
+    now = clock or (lambda: dt.datetime.now(dt.UTC).replace(tzinfo=None))
     writer = (
-        stream.writeStream.foreachBatch(
-            micro_batch(wh, table, clock or (lambda: dt.datetime.now(dt.UTC).replace(tzinfo=None)))
-        )
+        stream.writeStream.foreachBatch(micro_batch(wh, table, now, location, names))
         .option("checkpointLocation", location)
         .queryName(f"ingest_{table}")
     )

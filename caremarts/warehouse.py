@@ -1,32 +1,60 @@
-"""Versioned Parquet tables with an atomic pointer.
+"""Tables as manifests over immutable parts.
 
 Layout under the warehouse root (any Hadoop-compatible URI)::
 
-    raw/<table>/v=000003/part-*.parquet
-    raw/<table>/_current            # text: "3"
+    raw/<table>/parts/<id>/[bucket=<b>/]part-*.parquet     data, never rewritten
+    raw/<table>/commits/000000000003.json                  manifest: parts and schema
     marts/<table>/...   snapshots/<table>/...
     rejected/<table>/batch=<id>/part-*.parquet
+    staging/<run>/<table>/...                              steps of a running job
 
-A new version is written to a fresh directory while readers keep using the
-old one (Spark cannot overwrite a path it is reading), then the pointer file
-is replaced by a rename: readers see the old or the new table, never a half
-written one. Previous versions stay for rollback until ``vacuum``. A retried
-write of the same version overwrites its own unpublished directory, so a job
-restarted after an executor or driver loss is safe.
+A write makes a new part directory that no reader knows, then commits a
+manifest listing the parts that make up the table: all new ones (publish), the
+old ones and the new (append), or the old ones but for the slots that were
+rewritten (rewrite). A commit renames a finished temporary file to the next
+number with a rename that fails if that number exists, so a crash at any point
+leaves the last committed table whole, and of two writers that start from the
+same version one fails with ``ConcurrentCommit`` and loses nothing. The newest
+committed manifest is the table; there is no pointer.
 
-The rename is atomic on HDFS and local file systems; on object stores use a
-store with atomic rename or put a table format (Delta, Iceberg) behind
-``publish``.
+The rename is atomic on HDFS and local file systems; on object stores put a
+table format (Delta, Iceberg) behind ``_commit``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import time
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-LAYERS = ("raw", "marts", "snapshots", "rejected")
-POINTER = "_current"
+LAYERS = ("raw", "marts", "snapshots", "rejected", "staging")
+SLOT = "bucket"
+WHOLE = ""  # the slot of parts that are not divided
+ORPHAN_HOURS = 24  # parts that no manifest lists are kept this long: a writer may be at work
+
+
+class ConcurrentCommit(RuntimeError):
+    """Another writer committed the version this one was about to commit."""
+
+
+class DuplicateKeyError(ValueError):
+    """A table would hold a key more than once."""
+
+
+@dataclass
+class Manifest:
+    version: int
+    schema: T.StructType
+    parts: list[dict] = field(default_factory=list)  # {"path": relative, "slot": str}
+
+    def paths(self, slots=None) -> list[str]:
+        return [p["path"] for p in self.parts if slots is None or p["slot"] in slots]
 
 
 @dataclass
@@ -35,114 +63,209 @@ class Warehouse:
     root: str
 
     # -- file system ------------------------------------------------------------
-    def _fs(self):
+    def _hadoop(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(conf), jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
-    def path(self, layer: str, table: str, version: int | None = None) -> str:
-        if layer not in LAYERS:
-            raise ValueError(f"unknown layer {layer!r}")
-        base = f"{self.root.rstrip('/')}/{layer}/{table}"
-        return base if version is None else f"{base}/v={version:06d}"
+    def _list(self, path: str) -> list:
+        fs, p, _ = self._hadoop(path)
+        return list(fs.listStatus(p)) if fs.exists(p) else []
 
-    def current_version(self, layer: str, table: str) -> int | None:
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, table)}/{POINTER}")
-        if not fs.exists(p):
-            return None
+    def _read_text(self, path: str) -> str:
+        fs, p, jvm = self._hadoop(path)
         stream = fs.open(p)
         try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine().strip())
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
-    def _set_pointer(self, layer: str, table: str, version: int) -> None:
-        fs, jvm = self._fs()
-        base = self.path(layer, table)
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{base}/.{POINTER}.{version}.tmp")
-        dst = jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}")
-        out = fs.create(tmp, True)
+    def _delete(self, path: str) -> None:
+        fs, p, _ = self._hadoop(path)
+        fs.delete(p, True)
+
+    def path(self, layer: str, table: str) -> str:
+        if layer not in LAYERS:
+            raise ValueError(f"unknown layer {layer!r}")
+        return f"{self.root.rstrip('/')}/{layer}/{table}"
+
+    # -- manifests ----------------------------------------------------------------
+    def versions(self, layer: str, table: str) -> list[int]:
+        names = [s.getPath().getName() for s in self._list(f"{self.path(layer, table)}/commits")]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def manifest(self, layer: str, table: str, version: int | None = None) -> Manifest | None:
+        known = self.versions(layer, table)
+        if not known:
+            return None
+        v = known[-1] if version is None else version
+        spec = json.loads(self._read_text(f"{self.path(layer, table)}/commits/{v:012d}.json"))
+        return Manifest(v, T.StructType.fromJson(spec["schema"]), spec["parts"])
+
+    def current_version(self, layer: str, table: str) -> int | None:
+        known = self.versions(layer, table)
+        return known[-1] if known else None
+
+    def _commit(self, layer: str, table: str, base: Manifest | None, schema: T.StructType, parts: list[dict]) -> int:
+        """Make ``parts`` the next version after ``base``; fails if that exists already."""
+        version = (base.version if base else 0) + 1
+        folder = f"{self.path(layer, table)}/commits"
+        fs, tmp, jvm = self._hadoop(f"{folder}/.{uuid.uuid4().hex}.tmp")
+        out = fs.create(tmp, False)
         try:
-            out.write(bytearray(str(version).encode()))
+            out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "parts": parts}).encode()))
         finally:
             out.close()
-        if fs.exists(dst):
-            # rename does not replace on every file system: swap via a backup
-            bak = jvm.org.apache.hadoop.fs.Path(f"{base}/.{POINTER}.bak")
-            fs.delete(bak, False)
-            fs.rename(dst, bak)
-            if not fs.rename(tmp, dst):
-                fs.rename(bak, dst)
-                raise OSError(f"could not publish {base} v{version}")
-            fs.delete(bak, False)
-        elif not fs.rename(tmp, dst):
-            raise OSError(f"could not publish {base} v{version}")
+        hadoop = jvm.org.apache.hadoop
+        context = hadoop.fs.FileContext.getFileContext(tmp.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(hadoop.fs.Options.Rename, 1)
+        options[0] = getattr(hadoop.fs.Options.Rename, "NONE")
+        try:
+            context.rename(tmp, hadoop.fs.Path(f"{folder}/{version:012d}.json"), options)
+        except Py4JJavaError as exc:
+            fs.delete(tmp, False)
+            if "FileAlreadyExists" in str(exc.java_exception.getClass().getName()):
+                raise ConcurrentCommit(f"{layer}/{table} version {version} was committed by another writer") from exc
+            raise
+        return version
+
+    def _write_part(self, layer: str, table: str, df: DataFrame, slot: Column | None) -> list[dict]:
+        """Write rows as a new part (a directory for each slot); entries of what holds rows."""
+        name = f"parts/{uuid.uuid4().hex}"
+        path = f"{self.path(layer, table)}/{name}"
+        if slot is None:
+            df.write.parquet(path)
+            has_rows = not self.spark.read.schema(df.schema).parquet(path).isEmpty()
+            if has_rows:
+                return [{"path": name, "slot": WHOLE}]
+        else:
+            marked = df.withColumn(SLOT, slot.cast("string"))
+            marked.repartition(SLOT).write.partitionBy(SLOT).parquet(path)
+            found = [s.getPath().getName() for s in self._list(path) if s.isDirectory()]
+            slots = sorted(n.split("=", 1)[1] for n in found if n.startswith(f"{SLOT}="))
+            if slots:
+                return [{"path": f"{name}/{SLOT}={s}", "slot": s} for s in slots]
+        self._delete(path)
+        return []
+
+    def _frame(self, layer: str, table: str, schema: T.StructType, paths: list[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        base = self.path(layer, table)
+        return self.spark.read.schema(schema).parquet(*[f"{base}/{p}" for p in paths])
+
+    def _assert_unique(self, layer: str, table: str, schema: T.StructType, parts: list[dict], key: str) -> None:
+        """One partially aggregated count on the key column of the parts about to be committed."""
+        rows = self._frame(layer, table, schema, [p["path"] for p in parts]).select(key).where(F.col(key).isNotNull())
+        twice = rows.groupBy(key).count().where("count > 1").select(key).first()
+        if twice is not None:
+            for p in parts:
+                self._delete(f"{self.path(layer, table)}/{p['path']}")
+            raise DuplicateKeyError(f"{layer}/{table} would hold {key} = {twice[0]!r} more than once")
 
     # -- tables -------------------------------------------------------------------
     def exists(self, layer: str, table: str) -> bool:
         return self.current_version(layer, table) is not None
 
-    def read(self, layer: str, table: str) -> DataFrame | None:
-        """Current version of a table (S5), or None when never published."""
-        v = self.current_version(layer, table)
-        if v is None:
-            return None
-        return self.spark.read.parquet(self.path(layer, table, v))
+    def read(self, layer: str, table: str, slots=None, version: int | None = None) -> DataFrame | None:
+        """A table (S5), or its given slots; None when never published.
+
+        Parts are read under the table's schema: a column that an old part
+        lacks is null there, one that the table dropped is not read.
+        """
+        m = self.manifest(layer, table, version)
+        return None if m is None else self._frame(layer, table, m.schema, m.paths(slots))
 
     def publish(
-        self,
-        layer: str,
-        table: str,
-        df: DataFrame,
-        partition_by: list[str] | None = None,
+        self, layer: str, table: str, df: DataFrame, *, key: str | None = None, slot: Column | None = None
     ) -> int:
-        """Write ``df`` as the next version and make it current (K6, K7, K9)."""
-        v = (self.current_version(layer, table) or 0) + 1
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, table, v))
-        self._set_pointer(layer, table, v)
-        return v
+        """The table becomes ``df`` (K6, K7, K9); ``key`` must be unique in it."""
+        base = self.manifest(layer, table)
+        parts = self._write_part(layer, table, df, slot)
+        if key:
+            self._assert_unique(layer, table, df.schema, parts, key)
+        return self._commit(layer, table, base, df.schema, parts)
 
-    def publish_empty(self, layer: str, table: str) -> int | None:
-        """Empty the table, keeping its schema (K4's truncate, K5)."""
-        cur = self.read(layer, table)
-        if cur is None:
+    def append(self, layer: str, table: str, df: DataFrame, *, key: str | None = None) -> int | None:
+        """Add the rows of ``df`` (H1): old parts stay as they are.
+
+        The table takes the schema of ``df`` (K10). Nothing is written or
+        committed when there is no row and no change of schema.
+        """
+        base = self.manifest(layer, table)
+        parts = self._write_part(layer, table, df, None)
+        if key and parts:
+            self._assert_unique(layer, table, df.schema, parts, key)
+        if base is not None and not parts and base.schema.fieldNames() == df.schema.fieldNames():
             return None
-        return self.publish(layer, table, cur.limit(0))
+        return self._commit(layer, table, base, df.schema, (base.parts if base else []) + parts)
+
+    def rewrite(
+        self, layer: str, table: str, df: DataFrame, *, slot: Column, replaced: list[str], key: str | None = None
+    ) -> int:
+        """Replace the slots ``replaced`` by the rows of ``df``; rows of other slots are added to them.
+
+        Parts of slots that are not replaced are neither read nor written.
+        """
+        base = self.manifest(layer, table)
+        new = self._write_part(layer, table, df, slot)
+        if key:
+            self._assert_unique(layer, table, df.schema, new, key)
+        kept = [p for p in (base.parts if base else []) if p["slot"] not in replaced]
+        return self._commit(layer, table, base, df.schema, kept + new)
+
+    def publish_empty(self, layer: str, table: str) -> int | None:
+        """Empty the table, keeping its schema (K4's truncate, K5); writes no data."""
+        base = self.manifest(layer, table)
+        return None if base is None else self._commit(layer, table, base, base.schema, [])
 
     def reset_raw(self, tables) -> list[str]:
         """K5: empty every existing raw table; snapshots and marts untouched."""
-        done = []
-        for t in tables:
-            if self.publish_empty("raw", t) is not None:
-                done.append(t)
-        return done
+        return [t for t in tables if self.publish_empty("raw", t) is not None]
 
-    def quarantine(self, table: str, rejected: DataFrame, batch_id: str) -> str:
-        """K8: rejected source rows of one batch, in their own partition.
+    def quarantine(self, table: str, rejected: DataFrame, batch_id: str, *, replay: bool = False) -> str:
+        """K8: rejected source rows of one batch, in their own partition.
 
-        Partitioning by batch means a run without rejects leaves no stale file
-        that looks current (T13).
+        ``batch_id`` must be new, so no rejects are ever lost to a later batch;
+        only ``replay`` (the same batch delivered again) replaces its own.
         """
         path = f"{self.path('rejected', table)}/batch={batch_id}"
-        rejected.write.mode("overwrite").parquet(path)
+        rejected.write.mode("overwrite" if replay else "errorifexists").parquet(path)
         return path
 
-    def vacuum(self, layer: str, table: str, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` versions (never the current one)."""
-        fs, jvm = self._fs()
-        cur = self.current_version(layer, table)
-        if cur is None:
+    def stage(self, run: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        """A step's result, written once in the shared warehouse and read by all later steps."""
+        path = f"{self.path('staging', run)}/{name}"
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_staging(self, run: str) -> None:
+        self._delete(self.path("staging", run))
+
+    # -- housekeeping -----------------------------------------------------------
+    def vacuum(self, layer: str, table: str, keep: int = 2, orphan_hours: float = ORPHAN_HOURS) -> list[str]:
+        """Keep the newest ``keep`` versions; delete older manifests and the parts only they list.
+
+        Parts that no manifest lists (a writer failed, or is still at work) go
+        when they are older than ``orphan_hours``.
+        """
+        known = self.versions(layer, table)
+        if not known:
             return []
+        base = self.path(layer, table)
+        part = lambda p: p["path"].split("/")[1]
+        used = {part(p) for v in known[-keep:] for p in self.manifest(layer, table, v).parts}
+        old = {part(p) for v in known[:-keep] for p in self.manifest(layer, table, v).parts} - used
+        for v in known[:-keep]:
+            self._delete(f"{base}/commits/{v:012d}.json")
+        limit = (time.time() - orphan_hours * 3600) * 1000
         removed = []
-        for v in range(1, cur - keep + 1):
-            p = jvm.org.apache.hadoop.fs.Path(self.path(layer, table, v))
-            if fs.exists(p):
-                fs.delete(p, True)
-                removed.append(v)
+        for s in self._list(f"{base}/parts"):
+            name = s.getPath().getName()
+            if name in old or (name not in used and s.getModificationTime() < limit):
+                self._delete(f"{base}/parts/{name}")
+                removed.append(name)
         return removed

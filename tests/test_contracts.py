@@ -118,7 +118,7 @@ def hospital_row(**kw):
 
 
 def split(spark, table, rows):
-    v = validate(text_frame(spark, rows), CONTRACTS[table], persist=False)
+    v = validate(text_frame(spark, rows), CONTRACTS[table])
     return v.valid.count(), v.rejected.collect()
 
 
@@ -162,7 +162,7 @@ def test_outpatient_passes_without_admission_columns(spark):
 
 
 def test_code_stays_text(spark):
-    v = validate(text_frame(spark, [claim_row()]), CONTRACTS["inpatient_claims"], persist=False)
+    v = validate(text_frame(spark, [claim_row()]), CONTRACTS["inpatient_claims"])
     assert v.valid.first()["ClmDiagnosisCode_1"] == "0388"
 
 
@@ -185,13 +185,13 @@ def test_missing_declared_column_fails_whole_load(spark):
 
 def test_extra_columns_pass_through(spark):
     df = text_frame(spark, [bene_row(extra="x")])
-    v = validate(df, CONTRACTS["beneficiary"], persist=False)
+    v = validate(df, CONTRACTS["beneficiary"])
     assert v.valid.first()["extra"] == "x"
 
 
 def diabetes_valid(spark, rows):
     df = prepare_diabetes(na_token_recode(text_frame(spark, rows)))
-    return validate(df, CONTRACTS["diabetes_encounters"], persist=False)
+    return validate(df, CONTRACTS["diabetes_encounters"])
 
 
 def test_diabetes_int_id_becomes_text_and_sentinel_is_null(spark):
@@ -216,7 +216,7 @@ def test_diabetes_duplicate_quarantined_total_preserved(spark):
 
 
 def hospital_valid(spark, rows):
-    return validate(prepare_hospital(text_frame(spark, rows)), CONTRACTS["hospital_admissions"], persist=False)
+    return validate(prepare_hospital(text_frame(spark, rows)), CONTRACTS["hospital_admissions"])
 
 
 def test_hospital_recode_and_minted_key(spark):
