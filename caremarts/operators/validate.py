@@ -19,6 +19,7 @@ there (``Validation.over``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -92,11 +93,8 @@ def coerced(name: str, rule: ColumnRule) -> Column:
 
 def coerced_sql(name: str, rule: ColumnRule) -> str:
     """The cast as SQL; a whole number may be written with a fraction of zeros (``12.0``)."""
-    plain = f"try_cast({ident(name)} AS {rule.spark_type})"
-    if rule.dtype != "int":
-        return plain
-    exact = f"try_cast({ident(name)} AS decimal(38,18))"
-    return f"coalesce({plain}, CASE WHEN {exact} = floor({exact}) THEN try_cast({exact} AS {rule.spark_type}) END)"
+    text = f"regexp_replace({ident(name)}, '[.]0*$', '')" if rule.dtype == "int" else ident(name)
+    return f"try_cast({text} AS {rule.spark_type})"
 
 
 def rule_failures(name: str, rule: ColumnRule, dup_flag: str | None) -> list[str]:
@@ -179,6 +177,15 @@ def validate(df: DataFrame, contract: Contract) -> Validation:
         *[ident(c) for c in source_cols],
         f"CASE WHEN __reasons = '' THEN array() ELSE split(__reasons, '{REASON_SEP}') END AS {REASONS_COL}",
     )
+    # Counted as rows pass; and filters on the reasons stay above this node
+    # instead of taking a copy of every rule, which is more than one generated
+    # method can hold.
+    ok = F.size(REASONS_COL) == 0
+    annotated = annotated.observe(
+        f"validate_{contract.name}_{uuid.uuid4().hex}",
+        F.count_if(ok).alias("valid"),
+        F.count_if(~ok).alias("rejected"),
+    )
     return Validation(annotated, contract)
 
 

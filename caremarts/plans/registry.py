@@ -25,9 +25,11 @@ from caremarts.operators.prepare import (
     sentinel_recode,
     split_union,
 )
-from caremarts.operators.validate import REASONS_COL, Validation, ingest_summary
+from caremarts.operators.contracts import CONTRACTS
+from caremarts.operators.validate import REASONS_COL, Validation, ingest_summary, validate
 from caremarts.operators import quality as Q
 from caremarts.plans import analytics as A
+from caremarts.plans import faults as X
 from caremarts.plans import ingest
 from caremarts.plans import marts as M
 from caremarts.plans import proofs as P
@@ -63,9 +65,6 @@ class Context:
 
     def validation(self, table: str) -> Validation:
         if table not in self._validations:
-            from caremarts.operators.contracts import CONTRACTS
-            from caremarts.operators.validate import validate
-
             self._validations[table] = validate(self.prepared[table], CONTRACTS[table])
         return self._validations[table]
 
@@ -156,14 +155,42 @@ def _valid(table: str) -> Query:
     return run
 
 
+def _with_reasons(v: Validation) -> DataFrame:
+    return v.rejected.withColumn("reject_reasons", F.array_join(REASONS_COL, ";")).drop(REASONS_COL)
+
+
 def _rejects(table: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        r = context(spark, sf_dir).validation(table).rejected
-        return r.withColumn("reject_reasons", F.array_join(REASONS_COL, ";")).drop(REASONS_COL)
+        return _with_reasons(context(spark, sf_dir).validation(table))
 
     return run
 
 
+def q_rejects_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers of a bucket come twice: the extract itself holds no bad provider."""
+    df = X.repeated(context(spark, sf_dir).prepared["providers"], "Provider")
+    return _with_reasons(validate(df, CONTRACTS["providers"]))
+
+
+def q_rejects_bad_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = X.bad_encounters(context(spark, sf_dir).prepared["diabetes_encounters"])
+    return _with_reasons(validate(df, CONTRACTS["diabetes_encounters"]))
+
+
+def q_valid_bad_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = X.bad_encounters(context(spark, sf_dir).prepared["diabetes_encounters"])
+    return validate(df, CONTRACTS["diabetes_encounters"]).valid
+
+
+def q_dedup_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beneficiaries of which a bucket comes again later, in another state: the earlier row stays."""
+    s = context(spark, sf_dir).sources
+    once = dedup_keep_first(s.beneficiary_train, "BeneID")
+    later = once.where(X.hit("BeneID")).withColumn("State", F.lit(0).cast(once.schema["State"].dataType))
+    rows = once.withColumn("row_number", F.lit(1)).unionByName(later.withColumn("row_number", F.lit(2)))
+    return dedup_keep_first(rows, "BeneID", order=["row_number"])
+
+
 def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctx = context(spark, sf_dir)
     return ingest_summary({t: ctx.validation(t) for t in ingest.TABLE_ORDER})
@@ -225,8 +252,8 @@ def _on_models(fn: Callable[[Models], DataFrame]) -> Query:
 
 
 def q_check_history_no_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = SC.history_two_vintages(context(spark, sf_dir).valid("providers"))[1]
-    return Q.check_history_no_overlap(M.dim_provider_history(h))
+    first, second = SC.history_two_vintages(context(spark, sf_dir).valid("providers"))
+    return Q.check_history_no_overlap(M.dim_provider_history(X.overlapping_history(first, second)))
 
 
 def q_check_history_one_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +310,10 @@ def registry() -> dict[str, Query]:
     for t in CONTRACT_TABLES:
         out[f"contract_valid_{t}"] = _valid(t)
         out[f"contract_rejects_{t}"] = _rejects(t)
+    out["contract_rejects_providers"] = q_rejects_providers
+    out["contract_rejects_bad_encounters"] = q_rejects_bad_encounters
+    out["contract_valid_bad_encounters"] = q_valid_bad_encounters
+    out["dedup_by_row"] = q_dedup_by_row
     out.update(
         {
             # loads, incremental facts, history
@@ -296,14 +327,24 @@ def registry() -> dict[str, Query]:
             "provider_history": q_provider_history,
             "label_as_of": q_label_as_of,
             # data-quality checks
-            "check_unique": _on_models(lambda m: Q.check_unique(m.int_claims_unified, "claim_id")),
-            "check_not_null": _on_models(lambda m: Q.check_not_null(m.fct_claims, "bene_id")),
+            "check_unique": _on_models(
+                lambda m: Q.check_unique(X.repeated(m.int_claims_unified, "claim_id"), "claim_id")
+            ),
+            "check_not_null": _on_models(
+                lambda m: Q.check_not_null(
+                    X.changed(m.fct_claims, "claim_id", "bene_id", F.lit(None)), "bene_id"
+                )
+            ),
             "check_accepted_values": _on_models(
-                lambda m: Q.check_accepted_values(m.stg_beneficiary, "race", Q.RACES)
+                lambda m: Q.check_accepted_values(
+                    X.changed(m.stg_beneficiary, "bene_id", "race", F.concat(F.lit("not "), F.col("race"))),
+                    "race",
+                    Q.RACES,
+                )
             ),
             "check_relationships": _on_models(
                 lambda m: Q.check_relationships(
-                    m.fct_encounters, "patient_nbr", m.dim_patient, "patient_nbr"
+                    m.fct_encounters, "patient_nbr", X.without(m.dim_patient, "patient_nbr"), "patient_nbr"
                 )
             ),
             "check_relationships_warn": _on_models(
@@ -316,15 +357,31 @@ def registry() -> dict[str, Query]:
                 lambda m: Q.check_claim_dates_ordered(m.int_claims_enriched)
             ),
             "check_reimbursement_non_negative": _on_models(
-                lambda m: Q.check_reimbursement_non_negative(m.fct_claims)
+                lambda m: Q.check_reimbursement_non_negative(
+                    X.changed(m.fct_claims, "claim_id", "reimbursement_amount", F.lit(-1))
+                )
             ),
             "check_length_of_stay": _on_models(
-                lambda m: Q.check_length_of_stay(m.fct_hospital_admissions)
+                lambda m: Q.check_length_of_stay(
+                    X.changed(
+                        X.changed(m.fct_hospital_admissions, "admission_id", "length_of_stay_days", F.lit(None)),
+                        "admission_id",
+                        "length_of_stay_days",
+                        F.lit(-5),
+                        bucket=1,
+                    )
+                )
             ),
             "check_long_stay_flag": _on_models(
-                lambda m: Q.check_long_stay_flag(m.fct_hospital_admissions)
+                lambda m: Q.check_long_stay_flag(
+                    X.changed(m.fct_hospital_admissions, "admission_id", "is_long_stay", ~F.col("is_long_stay"))
+                )
+            ),
+            "check_readmitted_flag": _on_models(
+                lambda m: Q.check_readmitted_flag(
+                    X.changed(m.fct_encounters, "encounter_id", "is_readmitted_30d", ~F.col("is_readmitted_30d"))
+                )
             ),
-            "check_readmitted_flag": _on_models(lambda m: Q.check_readmitted_flag(m.fct_encounters)),
             "check_history_no_overlap": q_check_history_no_overlap,
             "check_history_one_current": q_check_history_one_current,
             "check_mart_row_counts": _on_models(Q.mart_row_counts),
@@ -351,6 +408,15 @@ def registry() -> dict[str, Query]:
             "repeat_admission_cohort": _on_models(
                 lambda m: A.repeat_admission_cohort(m.dim_hospital_patient)
             ),
+            "repeat_urgent_surgery_cohort": _on_models(
+                lambda m: A.repeat_admission_cohort(
+                    M.dim_hospital_patient(
+                        m.fct_hospital_admissions.where(
+                            "department = 'surgery' and type_of_admission = 'Urgent' and severity_of_illness = 'Extreme'"
+                        )
+                    )
+                )
+            ),
             "encounters_by_admission_type": _on_models(
                 lambda m: A.encounters_by_admission_type(m.fct_encounters, m.dim_admission_type)
             ),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle import models as m
 from oracle.queries import with_ctes
+from oracle.raw import RULES, rules_text
 
 B1 = "timestamp '2024-01-01 00:00:00'"
 B2 = "timestamp '2024-02-01 00:00:00'"
@@ -87,19 +88,51 @@ def checks_and_analytics() -> dict[str, str]:
     first_flag = "select provider_id, min(valid_from) as first_flagged_at from h2 where is_potential_fraud group by provider_id"
     out["first_flagged"] = x(first_flag)
 
+    # contracts over faulty input
+    hit7 = lambda c, b: f"{bucket(f'cast({c} as varchar)', 7)} = {b}"
+    reasons, typed = rules_text(RULES["providers"])
+    out["contract_rejects_providers"] = x(
+        f"select * exclude (reasons), reasons as reject_reasons from (select *, {reasons} as reasons from "
+        f"(select * from src_providers union all select * from src_providers where {hit7('Provider', 0)})) where reasons <> ''"
+    )
+    reasons, typed = rules_text(RULES["diabetes_encounters"])
+    bad = (
+        f"select * exclude (t), t as time_in_hospital from (select * exclude (time_in_hospital) replace "
+        f"(case when {hit7('encounter_id', 0)} then '9' else cast(admission_type_id as varchar) end as admission_type_id), "
+        f"case when {hit7('encounter_id', 1)} then 'three' when {hit7('encounter_id', 2)} then '12.0' "
+        "else cast(time_in_hospital as varchar) end as t from src_diabetes_encounters)"
+    )
+    marked = f"select *, {reasons} as reasons from ({bad})"
+    out["contract_rejects_bad_encounters"] = x(
+        f"select * exclude (reasons), reasons as reject_reasons from ({marked}) where reasons <> ''"
+    )
+    out["contract_valid_bad_encounters"] = x(f"select {typed} from ({marked}) where reasons = ''")
+    first = (
+        "select * exclude (rn) from (select *, row_number() over (partition by BeneID order by BeneID) as rn from bene_train) where rn = 1"
+    )
+    out["dedup_by_row"] = x(
+        f"with once as ({first}), again as (select *, 1 as row_number from once union all "
+        f"select * replace (0 as State), 2 as row_number from once where {hit7('BeneID', 0)}) "
+        "select * exclude (place) from (select *, row_number() over (partition by BeneID order by row_number) as place from again) where place = 1"
+    )
+
     # single checks
+    # faults are put on the rows of bucket 0 (and 1) of 7 of the key
+    hit = lambda c, b=0: f"{bucket(f'cast({c} as varchar)', 7)} = {b}"
     out["check_unique"] = x(
-        "select claim_id, count(*) as n_records from int_claims_unified where claim_id is not null "
-        "group by claim_id having count(*) > 1"
+        "select claim_id, count(*) as n_records from (select claim_id from int_claims_unified union all "
+        f"select claim_id from int_claims_unified where {hit('claim_id')}) group by claim_id having count(*) > 1"
+    )
+    out["check_not_null"] = x(
+        f"select * replace (cast(null as varchar) as bene_id) from fct_claims where bene_id is null or {hit('claim_id')}"
     )
-    out["check_not_null"] = x("select * from fct_claims where bene_id is null")
     out["check_accepted_values"] = x(
-        "select race, count(*) as n_records from stg_beneficiary where race is not null and race not in "
-        "('White', 'Black', 'Other', 'Hispanic', 'Unknown') group by race"
+        "select 'not ' || race as race, count(*) as n_records from stg_beneficiary "
+        f"where race is not null and {hit('bene_id')} group by race"
     )
     out["check_relationships"] = x(
         "select * from fct_encounters f where patient_nbr is not null and not exists "
-        "(select 1 from dim_patient p where p.patient_nbr = f.patient_nbr)"
+        f"(select 1 from dim_patient p where p.patient_nbr = f.patient_nbr and not ({hit('p.patient_nbr')}))"
     )
     out["check_relationships_warn"] = x(
         "select claim_id, bene_id from fct_claims f where bene_id is not null and not exists "
@@ -114,19 +147,21 @@ def checks_and_analytics() -> dict[str, str]:
         "where claim_start_date > claim_end_date"
     )
     out["check_reimbursement_non_negative"] = x(
-        "select claim_id, reimbursement_amount from fct_claims where reimbursement_amount < 0"
+        "select claim_id, case when " + hit("claim_id") + " then cast(-1 as decimal(18,2)) else reimbursement_amount "
+        "end as reimbursement_amount from fct_claims where reimbursement_amount < 0 or " + hit("claim_id")
     )
     out["check_length_of_stay"] = x(
-        "select admission_id, length_of_stay_bracket, length_of_stay_days from fct_hospital_admissions "
-        "where length_of_stay_days is null or length_of_stay_days < 0"
+        "select * from (select admission_id, length_of_stay_bracket, case when " + hit("admission_id") + " then null "
+        "when " + hit("admission_id", 1) + " then -5 else length_of_stay_days end as length_of_stay_days "
+        "from fct_hospital_admissions) where length_of_stay_days is null or length_of_stay_days < 0"
     )
     out["check_long_stay_flag"] = x(
-        "select admission_id, length_of_stay_days, is_long_stay from fct_hospital_admissions "
-        "where is_long_stay <> (length_of_stay_days > 30)"
+        "select admission_id, length_of_stay_days, not is_long_stay as is_long_stay from fct_hospital_admissions "
+        f"where {hit('admission_id')} and length_of_stay_days is not null and is_long_stay is not null"
     )
     out["check_readmitted_flag"] = x(
-        "select encounter_id, readmitted_status, is_readmitted_30d from fct_encounters "
-        "where is_readmitted_30d <> (readmitted_status = '<30')"
+        "select encounter_id, readmitted_status, not is_readmitted_30d as is_readmitted_30d from fct_encounters "
+        f"where {hit('encounter_id')} and readmitted_status is not null and is_readmitted_30d is not null"
     )
     overlap = (
         "with hh as (select provider_id, valid_from, coalesce(valid_to, timestamp '9999-12-31') as valid_to "
@@ -134,7 +169,9 @@ def checks_and_analytics() -> dict[str, str]:
         "on a.provider_id = b.provider_id and a.valid_from <> b.valid_from "
         "and a.valid_from < b.valid_to and b.valid_from < a.valid_to"
     )
-    out["check_history_no_overlap"] = x(overlap.format(src="h2"))
+    out["check_history_no_overlap"] = x(
+        overlap.format(src=f"(select * from h1 union all select * from h2 where valid_from = {B2})")
+    )
     one_current = (
         "select provider_id, count(*) filter (where is_current) as current_rows from ({src}) "
         "group by provider_id having count(*) filter (where is_current) <> 1"
@@ -219,6 +256,11 @@ def checks_and_analytics() -> dict[str, str]:
         "(select count(*) as n from fct_claims) f"
     )
     out["repeat_admission_cohort"] = x("select * from dim_hospital_patient where total_admissions > 1")
+    urgent = "department = 'surgery' and type_of_admission = 'Urgent' and severity_of_illness = 'Extreme'"
+    out["repeat_urgent_surgery_cohort"] = x(
+        "select * from (" + m.DIM_HOSPITAL_PATIENT.replace("int_admissions_enriched", f"(select * from fct_hospital_admissions where {urgent})")
+        + ") where total_admissions > 1"
+    )
     out["encounters_by_admission_type"] = x(
         "select f.admission_type_id, a.admission_type_label, cast(count(*) as bigint) as encounters, "
         + m.exact_mean("sum(case when f.is_readmitted_30d then 1 else 0 end)", "count(*)", 4, "decimal(18,4)")

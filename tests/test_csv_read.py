@@ -57,13 +57,13 @@ def test_keep_first_is_the_first_row_of_the_file(spark, tmp_path):
     assert dict(rows(dedup_keep_first(both, "Provider"), "Provider", "PotentialFraud"))["P1"] is None
 
 
-@pytest.mark.parametrize("cell, ok", [("12", True), ("12.0", True), ("12.5", False), ("twelve", False), ("1e3", True)])
+@pytest.mark.parametrize("cell, ok", [("12", True), ("12.0", True), ("12.5", False), ("twelve", False), ("-3.00", True), ("", False)])
 def test_whole_numbers_may_carry_a_zero_fraction(spark, cell, ok):
     df = spark.createDataFrame([("k", cell)], "k string, n string")
     v = validate(df, Contract("t", "k", {"k": ColumnRule("str"), "n": ColumnRule("int")}))
     assert v.valid.count() == ok and v.rejected.count() == (not ok)
     if ok:
-        assert v.valid.first()["n"] == (1000 if cell == "1e3" else 12)
+        assert v.valid.first()["n"] == int(float(cell))
 
 
 def test_nothing_stays_cached(spark, tmp_path):
