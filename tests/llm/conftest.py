@@ -1,0 +1,9 @@
+from __future__ import annotations
+
+import os
+import sys
+
+# the fixtures of the library's tests; helpers of these tests are importable by name
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
