@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from caremarts.llm.common import map_pieces, quoted, texts
 
-BUDGET = 0.1
+BUDGET = 0.08
 LEAST_CHARS = 30
 BLOCK_BYTES = 1 << 20
 
