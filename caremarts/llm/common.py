@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from caremarts.session import checkpoint_dir
 
 PIECE_BYTES = 4 << 20
+FILTER_BITS = 1 << 25  # of the filter in ``prefiltered``: 4 MiB
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -160,6 +161,50 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+def prefiltered(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` without most rows whose ``columns`` (long) are not in ``keys``, to spare their shuffle.
+
+    A Bloom filter of ``FILTER_BITS``, whatever the input; where there are so
+    many keys that it lets everything pass, the join that must follow does all
+    the work.
+    """
+
+    def spots(batch: pa.RecordBatch) -> np.ndarray:
+        h = np.full(batch.num_rows, 17, np.uint64)
+        for c in columns:
+            h = mixed(h ^ pc.fill_null(batch.column(c), 0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+        turns = [h, h >> np.uint64(32), mixed(h)]
+        return np.stack([t % np.uint64(FILTER_BITS) for t in turns], 1).astype(np.int64)
+
+    def bits(batches):
+        for b in batches:
+            at = np.unique(spots(b).ravel())
+            words, first = np.unique(at >> 6, return_index=True)
+            value = np.uint64(1) << (at & 63).astype(np.uint64)
+            if len(at):
+                value = np.bitwise_or.reduceat(value, first)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.int64()), "bits": pa.array(value.view(np.int64))})
+
+    rows = (
+        keys.select(*columns)
+        .mapInArrow(bits, "word long, bits long")
+        .groupBy("word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toArrow()  # FILTER_BITS / 64 rows at most
+    )
+    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    def passing(batches):
+        for b in batches:
+            at = spots(b)
+            hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield b.filter(pa.array(hit.all(axis=1)))
+
+    return df.mapInArrow(passing, df.schema)
+
+
 def crc_mod(column: str, n: int):
     """``crc32(id as text) mod n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

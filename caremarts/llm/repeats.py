@@ -1,12 +1,12 @@
 """Repeated byte windows by a depth-limited radix sort of suffixes (operator 10).
 
-A window is ``DEPTH`` bytes of one text. Two suffixes that agree on their first
+A window is ``depth`` (400) bytes of one text. Two suffixes that agree on their first
 DEPTH bytes hold equal windows, so sorting suffixes no deeper than DEPTH puts
 repeated windows, and nothing else, into groups of two and more. The sort goes
 most significant digit first, and a suffix that is alone in its group after a
 digit is dropped: the next passes see only suffixes that still tie.
 
-1. Digit one is a ``GRAM``-byte piece. Sorting it for every suffix would shuffle
+1. Digit one is a ``gram``-byte piece. Sorting it for every suffix would shuffle
    16 bytes for each byte of text, so suffixes share it: of all pieces inside a
    window the one with the least hash is its anchor. Equal windows have equal
    anchors at equal places, and one piece anchors a run of neighbouring suffixes
@@ -14,7 +14,7 @@ digit is dropped: the next passes see only suffixes that still tie.
    no repeated window.
 2. Digit two is all bytes that the windows of a run cover. Runs that tie on it
    consist of repeated windows only and are finished.
-3. The remaining runs are split into stretches of ``STRETCH`` suffixes, aligned
+3. The remaining runs are split into stretches of ``stretch`` suffixes, aligned
    to the anchor, with two digits again: the bytes that all windows of a whole
    stretch share, and all bytes that the stretch's windows cover.
 4. The last digit of the suffixes that still tie is their whole window.
@@ -28,11 +28,13 @@ Cases: null and empty texts, and texts shorter than DEPTH bytes, lose nothing;
 a text that occurs again, as another row or as the same row repeated, loses
 everything if it has DEPTH bytes; windows never cross rows; overlapping repeats
 inside one text count; an empty table gives an empty table; other columns are
-not returned. Texts of any length are read in blocks of ``BLOCK`` suffixes.
+not returned. Texts of any length are read in blocks of ``block`` suffixes.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -40,24 +42,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import map_pieces, mixed, pieces, written
+from caremarts.llm.common import map_pieces, mixed, pieces, prefiltered, written
 
 DEPTH = 400
-GRAM = 160
-SPAN = DEPTH - GRAM + 1  # pieces inside a window
-STRETCH = 16
-BLOCK = 1 << 20
-FILTER_BITS = 1 << 25  # of the prefilter of texts: 4 MiB, whatever the input
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Sizes of a run of the operator, in bytes (windows, anchors) and suffixes (stretches, blocks)."""
+
+    depth: int = DEPTH
+    gram: int = DEPTH * 2 // 5
+    stretch: int = 16
+    block: int = 1 << 20
+
+    @property
+    def span(self) -> int:
+        """Pieces inside a window."""
+        return self.depth - self.gram + 1
 
 
 class Rolling:
     """64-bit hashes of all windows of a byte array, by prefix sums of byte * base**place."""
 
-    def __init__(self, seed: int):
+    def __init__(self, seed: int, shape: Shape):
+        self.shape = shape
         rng = np.random.default_rng(seed)
         self.letter = rng.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
         base = int(rng.integers(0, 1 << 61)) * 8 + 5
-        n = BLOCK + DEPTH + 1
+        n = shape.block + 2 * shape.depth + 1
         self.power = self._powers(base, n)
         self.back = self._powers(pow(base, -1, 1 << 64), n)
 
@@ -96,17 +109,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def blocks(offsets: np.ndarray):
-    """Ranges of bytes that hold at most ``BLOCK`` windows and cut no window: (first text, begin, end)."""
+def blocks(offsets: np.ndarray, shape: Shape):
+    """Ranges of bytes that hold at most ``block`` windows and cut no window: (first text, begin, end)."""
     at, n = 0, len(offsets) - 1
     while at < n:
-        to = int(np.searchsorted(offsets, offsets[at] + BLOCK, side="right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + shape.block, side="right")) - 1
         if to > at:
             yield at, to, int(offsets[at]), int(offsets[to])
             at = to
             continue
-        for begin in range(int(offsets[at]), max(int(offsets[at]) + 1, int(offsets[at + 1]) - DEPTH + 1), BLOCK):
-            yield at, at + 1, begin, min(begin + BLOCK + DEPTH - 1, int(offsets[at + 1]))
+        for begin in range(int(offsets[at]), max(int(offsets[at]) + 1, int(offsets[at + 1]) - shape.depth + 1), shape.block):
+            yield at, at + 1, begin, min(begin + shape.block + shape.depth - 1, int(offsets[at + 1]))
         at += 1
 
 
@@ -117,20 +130,21 @@ def runs(column: pa.Array, rolling: Rolling) -> dict[str, np.ndarray]:
     first bytes and ``anchor`` that of the anchor; ``coarse`` is the anchor's
     hash and ``fine`` that of all bytes the run's windows cover.
     """
+    shape = rolling.shape
     data, offsets = text_bytes(column)
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("row", "start", "end", "anchor", "coarse", "fine")}
-    for first, last, begin, end in blocks(offsets):
-        n = end - begin - DEPTH + 1
+    for first, last, begin, end in blocks(offsets, shape):
+        n = end - begin - shape.depth + 1
         if n <= 0:
             continue
         sums = rolling.sums(data[begin:end])
-        place = np.arange(end - begin - GRAM + 1)
-        grams = rolling.hashes(sums, place, place + GRAM)
+        place = np.arange(end - begin - shape.gram + 1)
+        grams = rolling.hashes(sums, place, place + shape.gram)
         low = np.uint64((1 << 21) - 1)
-        anchor = (sliding_least((grams & ~low) | place.astype(np.uint64), SPAN) & low).astype(np.int64)
+        anchor = (sliding_least((grams & ~low) | place.astype(np.uint64), shape.span) & low).astype(np.int64)
         bounds = np.clip(offsets[first : last + 1] - begin, 0, end - begin)
         row = np.searchsorted(bounds, np.arange(n), side="right") - 1
-        inside = np.arange(n) + DEPTH <= bounds[row + 1]
+        inside = np.arange(n) + shape.depth <= bounds[row + 1]
         same = inside[1:] & inside[:-1] & (anchor[1:] == anchor[:-1]) & (row[1:] == row[:-1])
         heads = np.flatnonzero(inside & np.concatenate([[True], ~same]))
         tails = np.flatnonzero(inside & np.concatenate([~same, [True]]))
@@ -148,7 +162,7 @@ def covering(rolling: Rolling, sums: np.ndarray, first: np.ndarray, last: np.nda
     """Hash of all bytes that the windows ``first`` to ``last`` cover, and of their number."""
     with np.errstate(over="ignore"):
         number = (last - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return mixed(rolling.hashes(sums, first, last + DEPTH) + number)
+        return mixed(rolling.hashes(sums, first, last + rolling.shape.depth) + number)
 
 
 def stretches(data: np.ndarray, spans: dict[str, np.ndarray], rolling: Rolling, width: int) -> dict[str, np.ndarray]:
@@ -157,14 +171,15 @@ def stretches(data: np.ndarray, spans: dict[str, np.ndarray], rolling: Rolling,
     ``data`` holds all texts' bytes and ``base`` each span's text's place in it.
     With a width of one a stretch is a window, and both its digits are that.
     """
+    shape = rolling.shape
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("span", "start", "end", "coarse", "fine")}
     n = spans["end"] - spans["start"] + 1
-    size = n + DEPTH - 1
+    size = n + shape.depth - 1
     ends = np.cumsum(size)
     at = 0
     while at < len(n):
         before = int(ends[at - 1]) if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + BLOCK, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + shape.block, side="right")))
         own = slice(at, to)
         place = np.concatenate([[0], np.cumsum(size[own])[:-1]])
         spread = np.arange(int(size[own].sum())) + np.repeat(spans["base"][own] + spans["start"][own] - place, size[own])
@@ -183,7 +198,7 @@ def stretches(data: np.ndarray, spans: dict[str, np.ndarray], rolling: Rolling,
             core = first + delta[heads] - part[heads] * width  # where a whole stretch's last window begins
             with np.errstate(over="ignore"):
                 fine = mixed(fine + delta[heads].astype(np.uint64))
-                coarse = mixed(rolling.hashes(sums, core, core - (width - 1) + DEPTH) + part[heads].astype(np.uint64))
+                coarse = mixed(rolling.hashes(sums, core, core - (width - 1) + shape.depth) + part[heads].astype(np.uint64))
         else:
             coarse = fine
         out["span"].append(span[heads] + at)
@@ -206,9 +221,9 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def run_rows(texts: DataFrame) -> DataFrame:
+def run_rows(texts: DataFrame, shape: Shape) -> DataFrame:
     def run(batches):
-        rolling = Rolling(1)
+        rolling = Rolling(1, shape)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 r = runs(piece.column("text"), rolling)
@@ -227,13 +242,13 @@ def _batch(k1: pa.Array, k2: pa.Array, r: dict[str, np.ndarray], own: np.ndarray
     )
 
 
-def stretch_rows(texts: DataFrame, spans: DataFrame, width: int) -> DataFrame:
+def stretch_rows(texts: DataFrame, spans: DataFrame, width: int, shape: Shape) -> DataFrame:
     """The stretches of ``spans`` (rows as in ``ROWS``), read from their texts."""
     grouped = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "end", "anchor", "own")).alias("spans"))
-    both = prefiltered(texts, grouped).join(grouped, ["k1", "k2"]).select("k1", "k2", "spans", "text")
+    both = prefiltered(texts, grouped, ["k1", "k2"]).join(grouped, ["k1", "k2"]).select("k1", "k2", "spans", "text")
 
     def run(batches):
-        rolling = Rolling(2 + (width == 1))
+        rolling = Rolling(2 + (width == 1), shape)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 data, offsets = text_bytes(piece.column("text"))
@@ -251,41 +266,6 @@ def stretch_rows(texts: DataFrame, spans: DataFrame, width: int) -> DataFrame:
     return both.mapInArrow(run, ROWS)
 
 
-def prefiltered(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """``texts`` without most rows whose key is not in ``keys``, to spare their shuffle.
-
-    A Bloom filter of fixed size; where there are so many keys that it lets
-    everything pass, the join that follows does all the work.
-    """
-    spots = lambda b: _spots(b.column("k1"), b.column("k2"))
-
-    def bits(batches):
-        for b in batches:
-            at = np.unique(spots(b).ravel())
-            words, first = np.unique(at >> 6, return_index=True)
-            value = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first) if len(at) else at.astype(np.uint64)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.int64()), "bits": pa.array(value.view(np.int64))})
-
-    rows = keys.select("k1", "k2").mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
-    table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    shared = texts.sparkSession.sparkContext.broadcast(table)
-
-    def passing(batches):
-        for b in batches:
-            at = spots(b)
-            hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            yield b.filter(pa.array(hit.all(axis=1)))
-
-    return texts.mapInArrow(passing, texts.schema)
-
-
-def _spots(k1: pa.Array, k2: pa.Array) -> np.ndarray:
-    a, b = (k.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for k in (k1, k2))
-    h = mixed(mixed(a) ^ b)
-    return np.stack([h % np.uint64(FILTER_BITS), (h >> np.uint64(32)) % np.uint64(FILTER_BITS), mixed(h) % np.uint64(FILTER_BITS)], 1).astype(np.int64)
-
-
 def tied(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Finished rows (only repeated windows), and what the next pass needs.
 
@@ -311,11 +291,11 @@ def tied(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return done, written(unfinished.unionByName(helpers.select(*rows.columns)), f"{name}-next")
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
+def repeated_spans(texts: DataFrame, shape: Shape) -> DataFrame:
     """(``k1``, ``k2``, ``start``, ``end``): ranges of first bytes of repeated windows."""
-    done1, left = tied(written(run_rows(texts), "repeats-runs"), "repeats-active")
-    done2, left = tied(written(stretch_rows(texts, left, STRETCH), "repeats-stretches"), "repeats-ties")
-    windows = written(stretch_rows(texts, left, 1), "repeats-windows")
+    done1, left = tied(written(run_rows(texts, shape), "repeats-runs"), "repeats-active")
+    done2, left = tied(written(stretch_rows(texts, left, shape.stretch, shape), "repeats-stretches"), "repeats-ties")
+    windows = written(stretch_rows(texts, left, 1, shape), "repeats-windows")
     twice = windows.groupBy("fine").count().where("count > 1").select("fine")
     done3 = windows.where("own").join(twice, "fine", "left_semi").select("k1", "k2", "start", "end")
     return done1.unionByName(done2).unionByName(done3)
@@ -328,11 +308,11 @@ CUT = [
 ]
 
 
-def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
+def cut_texts(texts: DataFrame, spans: DataFrame, depth: int) -> DataFrame:
     """The texts that have spans, with what is left of them (bytes) and how much went."""
     grouped = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     grouped = written(grouped, "repeats-spans")
-    both = prefiltered(texts, grouped).join(grouped, ["k1", "k2"])
+    both = prefiltered(texts, grouped, ["k1", "k2"]).join(grouped, ["k1", "k2"])
 
     def setup():
         def each(piece: pa.RecordBatch) -> list:
@@ -344,7 +324,7 @@ def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 end = pc.struct_field(flat, "end").to_numpy()
                 step = np.zeros(len(data) + 1, np.int32)
                 np.add.at(step, start, 1)
-                np.add.at(step, end.astype(np.int64) + DEPTH, -1)
+                np.add.at(step, end.astype(np.int64) + depth, -1)
                 gone = np.cumsum(step[:-1]) > 0
                 removed.append(int(gone.sum()))
                 number.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
@@ -356,10 +336,10 @@ def cut_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
     return map_pieces(both, "text", CUT, setup).drop("text", "spans")
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     """The registered result: what is left of every text's bytes."""
     texts = keyed(docs)
-    cut = cut_texts(texts, repeated_spans(texts)).select(
+    cut = cut_texts(texts, repeated_spans(texts, shape), shape.depth).select(
         "k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")
     )
     text = F.coalesce("text", F.lit(""))
