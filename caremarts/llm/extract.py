@@ -160,7 +160,11 @@ class Page:
 
 
 def count_labels(pages: list[str]) -> dict[str, list[int]]:
-    """For each feature of labelled pages, words inside and outside of the marked content."""
+    """For each feature of labelled pages, words inside and outside of the marked content.
+
+    Words of an aside, a form or the like are outside even where a page puts
+    those elements into its marked content.
+    """
     out: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for source in pages:
         page = Page(source)
@@ -170,6 +174,7 @@ def count_labels(pages: list[str]) -> dict[str, list[int]]:
             if surroundings is None:
                 continue
             n = len(text.split())
+            inside = inside and min(map(prior, surroundings), default=0.0) > DECISIVE
             if n:
                 for f in (*set(surroundings), ""):
                     out[f][not inside] += n
