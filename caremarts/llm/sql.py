@@ -1,7 +1,65 @@
-"""DuckDB SQL for the operators that SQL can express over whole tables."""
+"""DuckDB SQL for the operators that SQL can express over whole tables.
+
+The others have none: tokenizer merges, trained models, edit distances, span
+linking, randomised fingerprints and byte windows (all windows of all texts are
+too many for SQL); tests/llm holds those against brute-force versions.
+"""
 
 from __future__ import annotations
 
+UPPER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+NEAR_DUPLICATES = rf"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER}), '[^\x20\x09-\x0D]+') as words from documents
+),
+sets as (
+  select doc_id, case
+    when len(words) >= 5 then list_distinct([array_to_string(words[i:i+4], ' ') for i in range(1, len(words) - 3)])
+    when len(words) > 0 then [array_to_string(words, ' ')]
+    else cast([] as varchar[]) end as shingles
+  from w
+),
+flat as (select doc_id, len(shingles) as n, unnest(shingles) as s from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b from flat a join flat b on a.s = b.s and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach(a, b) as (
+  select doc_id, doc_id from sets
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a
+),
+found as (select a as doc_id, min(b) as component_id from reach group by a)
+select s.doc_id, cast(len(s.shingles) as bigint) as n_shingles, f.component_id, s.doc_id = f.component_id as kept
+from sets s join found f on s.doc_id = f.doc_id
+"""
+
+URL_FILTER = rf"""
+with rest as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+),
+named as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from rest),
+parsed as (
+  select page_id, translate(raw, {UPPER}) as host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from named
+),
+ruled as (
+  select *, case
+    when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
+    when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/de/') then 'example.com/de/'
+    when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/fr/') then 'org/fr/'
+    when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/') then 'net/' end as rule
+  from parsed
+)
+select page_id, host, path, rule, case
+  when rule in ('net/', 'example.com/de/') then 'block'
+  when rule is not null then 'allow'
+  when list_has_any(regexp_split_to_array(host, '[-.]'),
+    ['ads', 'adult', 'bets', 'casino', 'pills', 'porn', 'spam', 'track']) then 'block'
+  else 'allow' end as verdict
+from ruled
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_near_duplicates": NEAR_DUPLICATES, "op9_url_filter": URL_FILTER}
