@@ -2,10 +2,9 @@
 
 Generic tests (unique, not_null, accepted_values, relationships) are declared
 as data in ``GENERIC_TESTS``; singular tests are functions over the models.
-``run_suite`` evaluates all of them as one Spark job: the not-null,
-accepted-values and singular row checks of one model are folded into a single
-aggregate over that model, each unique test is one partially aggregated
-``groupBy``, each relationship test one anti join; the per-test counts are
+``run_suite`` evaluates all of them as one Spark job: the unique, not-null and
+row-level singular tests of a model in one grouped pass over it, its accepted
+values in one scan, each relationship as one anti join; the per-test counts are
 stacked into ``(check_name, severity, failing_rows, status)`` rows.
 """
 
@@ -75,6 +74,7 @@ STAY_BRACKETS = (
     "More than 100 Days",
 )
 
+# -- fixed values: the declared tests of the models
 GENERIC_TESTS: tuple[Test, ...] = (
     # staging
     *_u("stg_beneficiary", "bene_id"),
@@ -180,48 +180,60 @@ def check_relationships(child: DataFrame, col: str, parent: DataFrame, field: st
 # -- singular tests -------------------------------------------------------------------
 
 
+def _age_is_wrong() -> Column:
+    age = F.col("age_at_claim")
+    return age.isNotNull() & ((age < 0) | (age > 120))
+
+
+def _dates_are_reversed() -> Column:
+    return F.col("claim_start_date") > F.col("claim_end_date")
+
+
+def _amount_is_negative() -> Column:
+    return F.col("reimbursement_amount") < 0
+
+
+def _stay_is_wrong() -> Column:
+    days = F.col("length_of_stay_days")
+    return days.isNull() | (days < 0)
+
+
+def _long_stay_disagrees() -> Column:
+    return F.col("is_long_stay") != (F.col("length_of_stay_days") > 30)
+
+
+def _readmission_disagrees() -> Column:
+    return F.col("is_readmitted_30d") != (F.col("readmitted_status") == "<30")
+
+
 def check_age_at_claim(claims_enriched: DataFrame) -> DataFrame:
     """Q6: age outside [0, 120] (null age passes)."""
-    age = F.col("age_at_claim")
-    return claims_enriched.filter(age.isNotNull() & ((age < 0) | (age > 120))).select(
-        "claim_id", "age_at_claim"
-    )
+    return claims_enriched.filter(_age_is_wrong()).select("claim_id", "age_at_claim")
 
 
 def check_claim_dates_ordered(claims_enriched: DataFrame) -> DataFrame:
     """Q7: claim starting after it ends."""
-    return claims_enriched.filter(F.col("claim_start_date") > F.col("claim_end_date")).select(
-        "claim_id", "claim_start_date", "claim_end_date"
-    )
+    return claims_enriched.filter(_dates_are_reversed()).select("claim_id", "claim_start_date", "claim_end_date")
 
 
 def check_reimbursement_non_negative(fct_claims: DataFrame) -> DataFrame:
     """Q8."""
-    return fct_claims.filter(F.col("reimbursement_amount") < 0).select(
-        "claim_id", "reimbursement_amount"
-    )
+    return fct_claims.filter(_amount_is_negative()).select("claim_id", "reimbursement_amount")
 
 
 def check_length_of_stay(fct_admissions: DataFrame) -> DataFrame:
     """Q9: stay days null or negative."""
-    d = F.col("length_of_stay_days")
-    return fct_admissions.filter(d.isNull() | (d < 0)).select(
-        "admission_id", "length_of_stay_bracket", "length_of_stay_days"
-    )
+    return fct_admissions.filter(_stay_is_wrong()).select("admission_id", "length_of_stay_bracket", "length_of_stay_days")
 
 
 def check_long_stay_flag(fct_admissions: DataFrame) -> DataFrame:
     """Q10: flag disagrees with days > 30 (a null comparison passes)."""
-    bad = F.col("is_long_stay") != (F.col("length_of_stay_days") > 30)
-    return fct_admissions.filter(bad).select("admission_id", "length_of_stay_days", "is_long_stay")
+    return fct_admissions.filter(_long_stay_disagrees()).select("admission_id", "length_of_stay_days", "is_long_stay")
 
 
 def check_readmitted_flag(fct_encounters: DataFrame) -> DataFrame:
     """Q11: flag disagrees with status '<30' (a null comparison passes)."""
-    bad = F.col("is_readmitted_30d") != (F.col("readmitted_status") == "<30")
-    return fct_encounters.filter(bad).select(
-        "encounter_id", "readmitted_status", "is_readmitted_30d"
-    )
+    return fct_encounters.filter(_readmission_disagrees()).select("encounter_id", "readmitted_status", "is_readmitted_30d")
 
 
 def check_history_no_overlap(history: DataFrame, key: str = "provider_id") -> DataFrame:
@@ -271,26 +283,54 @@ SINGULAR_TESTS = {
     "assert_provider_history_one_current": ("dim_provider_history", check_history_one_current),
 }
 
+#: Singular tests that look at one row at a time: the model, and what is wrong with a row.
+ROW_TESTS = {
+    "assert_age_at_claim_valid": ("int_claims_enriched", _age_is_wrong),
+    "assert_claim_dates_ordered": ("int_claims_enriched", _dates_are_reversed),
+    "assert_reimbursement_non_negative": ("fct_claims", _amount_is_negative),
+    "assert_length_of_stay_non_negative": ("fct_hospital_admissions", _stay_is_wrong),
+    "assert_long_stay_flag_consistent": ("fct_hospital_admissions", _long_stay_disagrees),
+    "assert_readmitted_flag_consistent": ("fct_encounters", _readmission_disagrees),
+}
+
 
 # -- the suite -------------------------------------------------------------------------
 
 
-def _row_level_counts(df: DataFrame, tests: list[Test]) -> list[tuple[Test, Column]]:
-    """Aggregates counting failures of not_null / accepted_values tests."""
-    out = []
-    for t in tests:
-        c = F.col(t.column)
-        if t.kind == "not_null":
-            out.append((t, F.count_if(c.isNull())))
-        elif t.kind == "accepted_values":
-            bad = c.isNotNull() & ~c.isin(list(t.values))
-            out.append((t, F.count_distinct(F.when(bad, c))))
-    return out
+def _model_pass(df: DataFrame, tests: list[Test], singular: dict[str, Column]) -> DataFrame:
+    """Uniqueness, not-null and row checks of a model in one grouped pass.
+
+    Rows are counted by the unique column, each with the sums of its checks'
+    flags (both combined before the shuffle); the second aggregate adds those up
+    and counts the values held more than once.
+    """
+    (unique,) = [t for t in tests if t.kind == "unique"] or [None]
+    flags = {t.name: F.col(t.column).isNull() for t in tests if t.kind == "not_null"} | singular
+    names = list(flags)
+    key = F.col(unique.column) if unique else F.lit(0)
+    by_key = df.groupBy(key.alias("__key")).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count_if(flags[name]).alias(f"f{i}") for i, name in enumerate(names)],
+    )
+    sums = [(name, "error", F.sum(f"f{i}")) for i, name in enumerate(names)]
+    if unique:
+        sums.append((unique.name, unique.severity, F.count_if(F.col("__key").isNotNull() & (F.col("__n") > 1))))
+    return _stack(sums, by_key)
+
+
+def _accepted_pass(df: DataFrame, tests: list[Test]) -> DataFrame:
+    """Distinct values outside the accepted sets: only offending cells leave the scan."""
+    bad = [
+        F.when(F.col(t.column).isNotNull() & ~F.col(t.column).isin(list(t.values)), F.struct(F.lit(t.name).alias("t"), F.col(t.column).alias("v")))
+        for t in tests
+    ]
+    cells = df.select(F.explode(F.array(*bad)).alias("c")).where("c is not null").distinct()
+    return _stack([(t.name, t.severity, F.count_if(F.col("c.t") == t.name)) for t in tests], cells)
 
 
 def _stack(parts: list[tuple[str, str, Column]], df: DataFrame) -> DataFrame:
     """One aggregate over ``df``, reshaped to one row per check."""
-    agg = df.agg(*[expr.cast("bigint").alias(f"c{i}") for i, (_, _, expr) in enumerate(parts)])
+    agg = df.agg(*[F.coalesce(expr, F.lit(0)).cast("bigint").alias(f"c{i}") for i, (_, _, expr) in enumerate(parts)])
     body = ", ".join(
         f"'{name}', '{sev}', c{i}" for i, (name, sev, _) in enumerate(parts)
     )
@@ -300,6 +340,9 @@ def _stack(parts: list[tuple[str, str, Column]], df: DataFrame) -> DataFrame:
 def run_suite(models, tests: tuple[Test, ...] = GENERIC_TESTS) -> DataFrame:
     """Q15: every declared test, one result row each.
 
+    One pass over each model for its uniqueness, not-null and row-level singular
+    tests, one scan for its accepted values, an anti join for each
+    relationship, and one aggregate for each of the two history tests.
     ``models`` resolves a model name to a DataFrame (``Models.mart`` or any
     object with those attributes).
     """
@@ -307,6 +350,10 @@ def run_suite(models, tests: tuple[Test, ...] = GENERIC_TESTS) -> DataFrame:
     def m(name: str) -> DataFrame:
         return getattr(models, name)
 
+    def failing(df: DataFrame, name: str, severity: str) -> DataFrame:
+        count = df.agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"))
+        return count.select(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "failing_rows")
+
     results: list[DataFrame] = []
     by_model: dict[str, list[Test]] = {}
     for t in tests:
@@ -314,30 +361,17 @@ def run_suite(models, tests: tuple[Test, ...] = GENERIC_TESTS) -> DataFrame:
 
     for model, ts in by_model.items():
         df = m(model)
-        parts = [(t.name, t.severity, e) for t, e in _row_level_counts(df, ts)]
-        if parts:
-            results.append(_stack(parts, df))
+        rows = {name: wrong() for name, (own, wrong) in ROW_TESTS.items() if own == model}
+        results.append(_model_pass(df, ts, rows))
+        accepted = [t for t in ts if t.kind == "accepted_values"]
+        if accepted:
+            results.append(_accepted_pass(df, accepted))
         for t in ts:
-            if t.kind == "unique":
-                failing = check_unique(df, t.column)
-            elif t.kind == "relationships":
-                failing = check_relationships(df, t.column, m(t.to[0]), t.to[1])
-            else:
-                continue
-            results.append(
-                failing.agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows")).select(
-                    F.lit(t.name).alias("check_name"),
-                    F.lit(t.severity).alias("severity"),
-                    "failing_rows",
-                )
-            )
-
+            if t.kind == "relationships":
+                results.append(failing(check_relationships(df, t.column, m(t.to[0]), t.to[1]), t.name, t.severity))
     for name, (model, fn) in SINGULAR_TESTS.items():
-        results.append(
-            fn(m(model))
-            .agg(F.count(F.lit(1)).cast("bigint").alias("failing_rows"))
-            .select(F.lit(name).alias("check_name"), F.lit("error").alias("severity"), "failing_rows")
-        )
+        if name not in ROW_TESTS:
+            results.append(failing(fn(m(model)), name, "error"))
 
     out = union_all(results)
     status = (
