@@ -1,25 +1,34 @@
-"""Connected components by alternating large-star and small-star steps.
+"""Connected components of edges that stay distributed.
 
-Edges stay distributed: every step is an aggregate and a join on the node, cut
-with a checkpoint in the shared folder. A hub's minimum is combined before the
-shuffle and its edges are a skewed join side, which Spark splits.
+Rounds of two steps: every partition of at most ``PART_EDGES`` edges contracts
+its own edges to stars, then a large-star and a small-star step join the stars
+of different partitions (aggregates and joins on the node; a hub's minimum is
+combined before the shuffle, and its edges are a skewed join side, which Spark
+splits). Rounds end when no edge changes; edges that fit one partition need one
+contraction. Every round is cut with a checkpoint in the shared folder.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremarts.llm.common import checkpointed
 
+PART_EDGES = 1_000_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``component``) for every node of ``edges`` (``a``, ``b``): the least node reachable."""
-    now = checkpointed(
-        edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
-    mark = None
-    while True:
+    now = checkpointed(edges.where("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")))
+    parts, mark = -(-now.count() // PART_EDGES), None
+    while parts:
+        now = now.repartition(parts).mapInArrow(_contracted, "u long, v long")
+        if parts == 1:
+            now = checkpointed(now)
+            break
         now = checkpointed(_small_star(_large_star(now)))
         found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(found) == mark:
@@ -29,6 +38,33 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def least_reachable(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of these edges in order, and the least node that each reaches."""
+    nodes, codes = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = codes[: len(u)], codes[len(u) :]
+    least = np.arange(len(nodes))
+    while True:
+        low = np.minimum(least[a], least[b])
+        new = least.copy()
+        for end in (a, b, least[a], least[b]):
+            np.minimum.at(new, end, low)
+        new = new[new]
+        if (new == least).all():
+            return nodes, nodes[least]
+        least = new
+
+
+def _contracted(batches):
+    u, v = [], []
+    for b in batches:
+        u.append(b.column("u").to_numpy())
+        v.append(b.column("v").to_numpy())
+    if u:
+        nodes, least = least_reachable(np.concatenate(u), np.concatenate(v))
+        own = nodes != least
+        yield pa.RecordBatch.from_pydict({"u": pa.array(nodes[own]), "v": pa.array(least[own])})
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node hands the least of its neighbourhood to its larger neighbours."""
     both = edges.select("u", "v").union(edges.select("v", "u")).toDF("u", "v")
