@@ -36,7 +36,7 @@ from caremarts.llm.common import coded_words, hash_words, map_pieces, mixed, pie
 LEAST_SHARE = 0.002
 MOST_SHARE = 0.1
 #: Of every rate so many subsets; a subset holds that share of the lexicon.
-RATES = (1 / 8, 1 / 32, 1 / 128, 1 / 512)
+RATES = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)
 SUBSETS = 16
 PARTITION_BYTES = 24 << 20  # text sorted in one task
 
@@ -84,7 +84,8 @@ class Fingerprinter:
         self.width = len(rates)
         rows, subsets = [], []
         for i, rate in enumerate(rates):
-            lot = mixed(terms + np.uint64(0x632BE59BD9B4E019) * np.uint64(i + 1)) >> np.uint64(11)
+            turn = np.uint64(0x632BE59BD9B4E019 * (i + 1) % (1 << 64))
+            lot = mixed(terms + turn) >> np.uint64(11)
             inside = np.flatnonzero(lot < np.uint64(int(rate * (1 << 53))))
             rows.append(inside)
             subsets.append(np.full(len(inside), i))
