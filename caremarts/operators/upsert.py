@@ -120,12 +120,19 @@ def load(
     raise ValueError(f"Unknown load mode: {mode!r} (use 'upsert' or 'replace')")
 
 
-#: Slots of a raw table by the key's hash; a batch rewrites those it has keys of.
+#: Slots of a new raw table by the key's hash; a batch rewrites those it has keys of.
 RAW_SLOTS = 16
 
 
 def key_slot(key: str, slots: int = RAW_SLOTS) -> Column:
-    return F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(slots))
+    """``<slots>-<bucket>``: the name says how many slots its table has."""
+    return F.concat(F.lit(f"{slots}-"), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(slots)).cast("string"))
+
+
+def table_slots(wh: Warehouse, table: str, default: int) -> int:
+    """The number of slots that a raw table was divided into."""
+    m = wh.manifest("raw", table)
+    return int(m.parts[0]["slot"].split("-")[0]) if m and m.parts else default
 
 
 def load_table(wh: Warehouse, table: str, batch: DataFrame, key: str, mode: str = "upsert", slots: int = RAW_SLOTS) -> int:
@@ -133,17 +140,18 @@ def load_table(wh: Warehouse, table: str, batch: DataFrame, key: str, mode: str
 
     An upsert reads and rewrites the slots that the batch has keys of, and
     leaves the others' files as they are; each slot is one full outer join of
-    unique keys. The key is asserted unique before the commit. ``batch`` should
+    unique keys. The key is asserted unique before the commit. ``slots`` holds
+    for a new or replaced table; an existing one keeps its own. ``batch`` should
     be a stored frame: its slots are looked at first.
     """
     if mode not in MODES:
         raise ValueError(f"Unknown load mode: {mode!r} (use 'upsert' or 'replace')")
-    slot = key_slot(key, slots)
     if mode == "replace" or not wh.exists("raw", table):
         existing = wh.read("raw", table)
         rows = batch if existing is None else replace_load(batch, existing)
-        return wh.publish("raw", table, rows, key=key, slot=slot)
-    touched = sorted(str(r[0]) for r in batch.select(slot.alias(SLOT)).distinct().collect())  # at most ``slots``
+        return wh.publish("raw", table, rows, key=key, slot=key_slot(key, slots))
+    slot = key_slot(key, table_slots(wh, table, slots))
+    touched = sorted(r[0] for r in batch.select(slot.alias(SLOT)).distinct().collect())  # at most ``slots``
     old = wh.read("raw", table, slots=touched)
     new = upsert(old, batch, key, check_unique=False)  # the commit asserts it
     return wh.rewrite("raw", table, new, slot=slot, replaced=touched, key=key)

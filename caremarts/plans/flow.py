@@ -64,6 +64,7 @@ class FlowConfig:
     batch_ts: dt.datetime | None = None
     fail_on_test_error: bool = True
     on_match: str = "skip"  # what an incremental run does with known keys: skip | replace
+    raw_slots: int = 16  # hash slots of a new raw table: as many as keep a slot's rewrite affordable
     keep_versions: int = 3  # older versions of every table are vacuumed after the run
 
 
@@ -163,7 +164,7 @@ def run_ingest(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datet
         v = validate(prepared[table], CONTRACTS[table])
         v = v.over(wh.stage(run, table, v.annotated))
         wh.quarantine(table, v.rejected, f"{run}-{table}")
-        load_table(wh, table, ingest.stamp(v.valid, ts), ingest.NATURAL_KEYS[table], mode)
+        load_table(wh, table, ingest.stamp(v.valid, ts), ingest.NATURAL_KEYS[table], mode, cfg.raw_slots)
         return v
 
     done = run_concurrently({t: (lambda t=t: one(t)) for t in ingest.TABLE_ORDER})

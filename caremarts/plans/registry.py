@@ -1,8 +1,9 @@
 """Registered queries: every operator as a DataFrame over the test tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables in ``sf_dir``: the six raw extracts are the clinical fixture
-views, and every query runs the operator's real work on them (stateful ones
+whole tables in ``sf_dir``; only ``check_suite`` and ``proof_incremental`` write
+checkpoints of tables that many of their branches read. Queries share nothing
+and cache nothing. The six raw extracts are the clinical fixture views, and every query runs the operator's real work on them (stateful ones
 apply two batches derived from the same tables). Output columns are aliased
 and typed to match the DuckDB oracle one-for-one.
 """

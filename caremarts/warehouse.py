@@ -139,8 +139,9 @@ class Warehouse:
             if has_rows:
                 return [{"path": name, "slot": WHOLE}]
         else:
-            marked = df.withColumn(SLOT, slot.cast("string"))
-            marked.repartition(SLOT).write.partitionBy(SLOT).parquet(path)
+            # rows of a slot lie together where they are few; AQE splits a large slot between tasks
+            marked = df.withColumn(SLOT, slot.cast("string")).hint("rebalance", F.col(SLOT))
+            marked.write.partitionBy(SLOT).parquet(path)
             found = [s.getPath().getName() for s in self._list(path) if s.isDirectory()]
             slots = sorted(n.split("=", 1)[1] for n in found if n.startswith(f"{SLOT}="))
             if slots:

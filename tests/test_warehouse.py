@@ -124,6 +124,9 @@ def test_upsert_rewrites_only_the_slots_of_the_batch(wh, spark):
     assert len([p for p in after if p not in before]) == 1 and len([p for p in before if p not in after]) == 1
     got = dict(map(tuple, wh.read("raw", "t").collect()))
     assert got.pop("k3") == -1 and got == {k: v for k, v in rows if k != "k3"}
+    load_table(wh, "t", spark.createDataFrame([("k3", -2)], "id string, val int"), "id", slots=5)
+    assert dict(map(tuple, wh.read("raw", "t").collect()))["k3"] == -2  # the table keeps its own slots
+    assert wh.read("raw", "t").count() == 200
     with pytest.raises(ValueError, match="not in the table"):
         load_table(wh, "t", spark.createDataFrame([("a", 1, 2)], "id string, val int, new int"), "id", "replace")
 
