@@ -37,7 +37,7 @@ LEAST_SHARE = 0.002
 MOST_SHARE = 0.1
 #: Of every rate so many subsets; a subset holds that share of the lexicon.
 RATES = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)
-SUBSETS = 16
+SUBSETS = 12
 PARTITION_BYTES = 24 << 20  # text sorted in one task
 
 
@@ -120,8 +120,9 @@ class Fingerprinter:
         return short.reshape(n, self.width), whole
 
 
-def spelled(hashes: np.ndarray, whole: np.ndarray) -> list[str]:
-    return [h.tobytes().hex() + f"{int(w):016x}" for h, w in zip(hashes, whole)]
+def packed(hashes: np.ndarray, whole: np.ndarray) -> list[bytes]:
+    """Two bytes of each subset, then eight of all terms."""
+    return [h.tobytes() + w.tobytes() for h, w in zip(hashes, whole.astype(">u8"))]
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -138,7 +139,7 @@ def fingerprint(df: DataFrame, terms: np.ndarray, column: str = "text", out: str
 
     def setup():
         hashes = Fingerprinter(shared.value)
-        return lambda piece: [spelled(*hashes(piece.column(column)))]
+        return lambda piece: [[p.hex() for p in packed(*hashes(piece.column(column)))]]
 
     return map_pieces(df, column, [T.StructField(out, T.StringType(), False)], setup)
 
@@ -146,14 +147,14 @@ def fingerprint(df: DataFrame, terms: np.ndarray, column: str = "text", out: str
 COLUMNS = [
     ("doc_id", pa.int64()),
     ("n_chars", pa.int64()),
-    ("edited_sha256", pa.string()),
-    ("fingerprint", pa.string()),
-    ("edited_fingerprint", pa.string()),
+    ("edited_sha256", pa.binary()),
+    ("fingerprint", pa.binary()),
+    ("edited_fingerprint", pa.binary()),
     ("near_edited", pa.float64()),
     ("near_next", pa.float64()),
 ]
 EDGES = [("part", pa.int64()), ("first_text", pa.string()), ("last_text", pa.string())]
-RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def edited(text: str, following: str) -> str:
@@ -163,15 +164,15 @@ def edited(text: str, following: str) -> str:
 
 
 def compared(hashes: Fingerprinter, ids: list, own: list[str], following: list[str]) -> dict:
-    """Columns of the result for texts and the texts that follow them."""
+    """Columns of the result for texts and the texts that follow them; digests are bytes."""
     changed = [edited(a, b) for a, b in zip(own, following)]
     fp, fp_next, fp_changed = (hashes(pa.array(x, pa.string())) for x in (own, following, changed))
     return {
         "doc_id": pa.array(ids, pa.int64()),
         "n_chars": pa.array([len(t) for t in own], pa.int64()),
-        "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-        "fingerprint": spelled(*fp),
-        "edited_fingerprint": spelled(*fp_changed),
+        "edited_sha256": [hashlib.sha256(t.encode()).digest() for t in changed],
+        "fingerprint": packed(*fp),
+        "edited_fingerprint": packed(*fp_changed),
         "near_edited": likeness(fp, fp_changed),
         "near_next": likeness(fp, fp_next),
     }
@@ -232,5 +233,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     {c: pa.array(v, k) for (c, k), v in zip(COLUMNS, compared(hashes, ids, own, following).values())}
                 )
 
-    names = [c for c, _ in COLUMNS]
-    return rows.where("part is null").select(*names).unionByName(waiting.mapInArrow(close, RESULT))
+    whole = rows.where("part is null").select(*[c for c, _ in COLUMNS]).unionByName(waiting.mapInArrow(close, RESULT))
+    return whole.select(*[F.lower(F.hex(c)).alias(c) if k == pa.binary() else F.col(c) for c, k in COLUMNS])
