@@ -78,3 +78,27 @@ def test_odd_rows_and_empty_tables(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - 2
     assert D.leaks(docs, bench.limit(0)).count() == 0 and D.without_leaks(docs, bench.limit(0)).count() == docs.count()
     assert D.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_a_tenth_of_an_item_may_be_edited(spark):
+    rnd = random.Random(10)
+    make = lambda n: "".join(rnd.choice("abcdefgh ij") for _ in range(n))
+    items = [(i, make(n)) for i, n in enumerate((95, 95, 95, 394, 394, 30))]
+    texts = []
+    for _, item in items:
+        k = len(item) // 10
+        for edits in (k, k + 1):
+            at = {round((j + 0.5) * len(item) / edits) for j in range(edits)}
+            assert len(at) == edits
+            texts.append(make(50) + "".join("#" if j in at else c for j, c in enumerate(item)) + make(50))
+    found = D.leaks(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in found) == [(2 * i, i, len(t) // 10) for i, t in items]
+
+
+def test_parts_lose_no_match(monkeypatch):
+    items, texts = corpus()
+    block = D.ItemBlock([(i, D.folded(t)) for i, t in items], D.BUDGET)
+    key = lambda rows: sorted(tuple(r.values()) for r in rows)
+    found = [key(block.matches(D.folded(t))) for t in texts]
+    monkeypatch.setattr(D.ItemBlock, "_upheld", staticmethod(lambda *_: True))  # every hit is searched
+    assert any(found) and found == [key(block.matches(D.folded(t))) for t in texts]
