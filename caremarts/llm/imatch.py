@@ -1,10 +1,13 @@
 """Document fingerprints by I-Match with randomised lexicons (operator 7).
 
-Document frequencies of all terms are counted over all documents. The lexicon
-keeps the terms whose inverse document frequency lies in a band, here terms in
-at least ``LEAST_SHARE`` and at most ``MOST_SHARE`` of the documents. A text's
-distinct lexicon terms are sorted, and for each randomised subset of the lexicon
-the terms that fall in it are hashed in that order. The fingerprint is the list
+Document frequencies of all terms are counted over all distinct texts, so copies
+of a text do not move its terms. The lexicon keeps the terms whose inverse
+document frequency lies in a band, here terms in at least ``LEAST_SHARE`` and at
+most ``MOST_SHARE`` of the distinct texts. A text's distinct lexicon terms are
+sorted, and for each randomised subset of the lexicon the terms that fall in it
+are hashed in that order. A text with fewer than ``FEW`` lexicon terms (rare
+words, or words of a large group of near copies) takes all of its terms instead,
+in the subsets that each term draws by itself. The fingerprint is the list
 of these hashes, ended by a hash of all distinct terms. Likeness is the share of
 subsets with equal hashes among those that are not empty for both texts.
 
@@ -12,8 +15,12 @@ The lexicon is broadcast: with LEAST_SHARE of the documents a term at least, it
 has at most (mean distinct terms of a document) / LEAST_SHARE entries of 8
 bytes, however many documents there are.
 
+Copies are found by a 128-bit hash. Only rows whose hash repeats (and few others
+that a Bloom filter lets pass) are shuffled with their text, one row of a text for
+each task, and what they add beyond one is subtracted from the counts.
+
 Cases: null and empty texts have the fingerprint of no terms (all zeros); two
-texts without any lexicon term are like each other if all their terms agree;
+texts whose subsets are all empty are like each other if all their terms agree;
 equal texts have equal fingerprints; ids that repeat are ordered by text, null
 ids come last; one document alone is its own next document; an empty table
 gives an empty table; other columns are not returned.
@@ -31,13 +38,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import coded_words, hash_words, map_pieces, mixed, pieces, written
+from caremarts.llm.common import coded_words, hash_words, map_pieces, mixed, pieces, prefiltered, quoted, written
 
 LEAST_SHARE = 0.002
 MOST_SHARE = 0.1
 #: Of every rate so many subsets; a subset holds that share of the lexicon.
 RATES = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)
 SUBSETS = 12
+FEW = 16  # below so many lexicon terms the densest subsets hold less than one on average
 PARTITION_BYTES = 24 << 20  # text sorted in one task
 
 
@@ -50,28 +58,48 @@ def distinct_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return pairs // max(1, len(values)), pairs % max(1, len(values)), values
 
 
-def document_frequencies(df: DataFrame, column: str = "text") -> DataFrame:
-    """(``term``, ``df``) over all documents; a term is known by its 64-bit hash."""
+def repeated_texts(df: DataFrame, column: str = "text") -> DataFrame:
+    """(``h1``, ``h2``, ``copies``) of each text that stands in several rows; null is the empty text."""
+    return written(hashed(df, column).groupBy("h1", "h2").agg(F.count("*").alias("copies")).where("copies > 1"), "imatch-copies")
+
+
+def hashed(df: DataFrame, column: str) -> DataFrame:
+    text = F.coalesce(quoted(column), F.lit(""))
+    return df.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
+
+
+def document_frequencies(df: DataFrame, column: str = "text", repeated: DataFrame | None = None) -> DataFrame:
+    """(``term``, ``df``) over all distinct texts; a term is known by its 64-bit hash."""
+    repeated = repeated_texts(df, column) if repeated is None else repeated
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, column, 16 << 20):
-                _, codes, values = distinct_terms(piece.column(column))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "term": pa.array(values.view(np.int64)),
-                        "n": pa.array(np.bincount(codes, minlength=len(values)).astype(np.int64)),
-                    }
-                )
-
-    return df.select(column).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("df"))
+            for piece in pieces(batch, "text", 16 << 20):
+                owner, codes, values = distinct_terms(piece.column("text"))
+                times = piece.column("times").to_numpy()[owner]
+                n = np.zeros(len(values), np.int64)
+                np.add.at(n, codes, times)
+                yield pa.RecordBatch.from_pydict({"term": pa.array(values.view(np.int64)), "n": pa.array(n)})
+
+    rows = df.select(F.coalesce(quoted(column), F.lit("")).alias("text"), F.lit(1).cast("long").alias("times"))
+    beyond = (
+        prefiltered(hashed(df, column), repeated, ["h1", "h2"])
+        .groupBy("h1", "h2")
+        .agg(F.first("text").alias("text"), (1 - F.count("*")).alias("times"))
+        .where("times < 0")
+        .select("text", "times")
+    )
+    counted = [part.mapInArrow(run, "term long, n long") for part in (rows, beyond)]
+    return counted[0].unionByName(counted[1]).groupBy("term").agg(F.sum("n").alias("df"))
 
 
 def lexicon(df: DataFrame, column: str = "text", least: float = LEAST_SHARE, most: float = MOST_SHARE) -> np.ndarray:
     """Sorted hashes of the terms in the band."""
-    n = df.count()
+    repeated = repeated_texts(df, column)
+    n = df.count() - (repeated.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
     lo, hi = max(2, math.ceil(least * n)), max(2, math.floor(most * n))
-    rows = document_frequencies(df, column).where(F.col("df").between(lo, hi)).select("term").toArrow()
+    counted = document_frequencies(df, column, repeated)
+    rows = counted.where(F.col("df").between(lo, hi)).select("term").toArrow()
     return np.sort(rows["term"].to_numpy().view(np.uint64))
 
 
@@ -80,18 +108,29 @@ class Fingerprinter:
 
     def __init__(self, terms: np.ndarray):
         self.terms = terms
-        rates = np.repeat(RATES, SUBSETS)
-        self.width = len(rates)
+        self.rates = np.repeat(RATES, SUBSETS)
+        self.width = len(self.rates)
+        self.starts, self.subsets = self._drawn(terms)
+
+    def _drawn(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each term's subsets begin (one more than there are terms), and the subsets."""
         rows, subsets = [], []
-        for i, rate in enumerate(rates):
+        for i, rate in enumerate(self.rates):
             turn = np.uint64(0x632BE59BD9B4E019 * (i + 1) % (1 << 64))
             lot = mixed(terms + turn) >> np.uint64(11)
             inside = np.flatnonzero(lot < np.uint64(int(rate * (1 << 53))))
             rows.append(inside)
             subsets.append(np.full(len(inside), i))
         order = np.argsort(np.concatenate(rows), kind="stable")
-        self.subsets = np.concatenate(subsets)[order]
-        self.starts = np.searchsorted(np.concatenate(rows)[order], np.arange(len(terms) + 1))
+        return np.searchsorted(np.concatenate(rows)[order], np.arange(len(terms) + 1)), np.concatenate(subsets)[order]
+
+    def _cells(self, drawn: tuple, owner: np.ndarray, place: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell (text and subset) of each term for each subset that it is in, and its value."""
+        starts, subsets = drawn
+        size = starts[place + 1] - starts[place]
+        ends = np.cumsum(size)
+        spread = np.repeat(starts[place] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        return np.repeat(owner, size) * self.width + subsets[spread], np.repeat(value, size)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Subset hashes of each text (0: empty subset), and the hash of all its terms."""
@@ -107,13 +146,16 @@ class Fingerprinter:
             hit = self.terms[np.minimum(place, len(self.terms) - 1)] == value
         else:
             hit = np.zeros(len(value), bool)
-        owner, value, place = owner[hit], value[hit], place[hit]
-        size = self.starts[place + 1] - self.starts[place]
-        ends = np.cumsum(size)
-        spread = np.repeat(self.starts[place] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-        cell = np.repeat(owner, size) * self.width + self.subsets[spread]
+        few = np.bincount(owner[hit], minlength=n) < FEW
+        more = few[owner] & ~hit
+        others, at = np.unique(value[more], return_inverse=True)
+        parts = [
+            self._cells((self.starts, self.subsets), owner[hit], place[hit], value[hit]),
+            self._cells(self._drawn(others), owner[more], at, value[more]),
+        ]
+        cell, held = (np.concatenate(x) for x in zip(*parts))
         sums = np.zeros(n * self.width, np.uint64)
-        np.add.at(sums, cell, mixed(np.repeat(value, size) + np.uint64(7)))
+        np.add.at(sums, cell, mixed(held + np.uint64(7)))
         seen = np.zeros(n * self.width, bool)
         seen[cell] = True
         short = np.where(seen, 1 + mixed(sums) % np.uint64(65535), 0).astype(">u2")

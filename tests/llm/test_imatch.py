@@ -73,3 +73,36 @@ def test_odd_rows_and_empty_table(spark):
     assert M.fingerprints(docs.limit(0)).count() == 0
     (alone,) = M.fingerprints(frame(spark, ["one document alone"])).collect()
     assert alone.near_next == 1 and alone.near_edited <= 1
+
+
+def test_copies_do_not_move_the_lexicon(spark):
+    texts = corpus(60)
+    large = " ".join(f"t{i}" for i in range(1, 400, 3)) + " only here"
+    once, often = frame(spark, [*texts, large]), frame(spark, [*texts, *[large] * 40, None, "", texts[3]])
+    kept = M.lexicon(often.union(often.limit(0)), least=0.05, most=0.5)
+    assert kept.tolist() == M.lexicon(once.union(frame(spark, [""])), least=0.05, most=0.5).tolist()
+    got = {r.term: r.df for r in M.document_frequencies(often).collect()}
+    assert got == {r.term: r.df for r in M.document_frequencies(once).collect()}
+
+
+def test_texts_with_few_lexicon_terms_are_told_apart():
+    lexicon = np.sort(M.hash_words(pa.array([f"w{i}" for i in range(3000)])))
+    hashes = M.Fingerprinter(lexicon)
+    rare = [f"rare{i}" for i in range(120)]
+    other = [f"other{i}" for i in range(120)]
+    texts = [" ".join(x) for x in (rare, [*rare[:-3], "a", "b"], other, ["w1", "w2", *rare[:-1]], ["w1", "w2", *rare[1:]])]
+    short, whole = hashes(pa.array(texts))
+    like = lambda i, j: M.likeness((short[[i]], whole[[i]]), (short[[j]], whole[[j]]))[0]
+    assert (short != 0).any(1).all()
+    assert like(0, 1) > 0.5 and like(3, 4) > 0.5 and like(0, 3) > 0.5 and like(0, 2) < 0.1 and like(2, 3) < 0.1
+    # a text's own hashes do not depend on the texts beside it
+    assert all((hashes(pa.array([t]))[0][0] == s).all() for t, s in zip(texts, short))
+
+
+def test_near_copies_of_the_largest_group_are_recognised(spark):
+    texts, group = corpus(60), [f"g{i}" for i in range(150)]
+    near = [" ".join([*group[:-2], f"x{i}", f"y{i}"]) for i in range(20)]
+    docs = frame(spark, [*texts, *[" ".join(group)] * 30, *near])
+    short, whole = M.Fingerprinter(M.lexicon(docs))(pa.array([" ".join(group), near[0], near[1], texts[0]]))
+    like = lambda i, j: M.likeness((short[[i]], whole[[i]]), (short[[j]], whole[[j]]))[0]
+    assert like(0, 1) > 0.5 and like(1, 2) > 0.4 and like(0, 3) < 0.1
