@@ -44,7 +44,7 @@ LEAST_SHARE = 0.002
 MOST_SHARE = 0.1
 #: Of every rate so many subsets; a subset holds that share of the lexicon.
 RATES = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)
-SUBSETS = 12
+SUBSETS = 16
 FEW = 16  # below so many lexicon terms the densest subsets hold less than one on average
 PARTITION_BYTES = 24 << 20  # text sorted in one task
 

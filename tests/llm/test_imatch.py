@@ -106,3 +106,8 @@ def test_near_copies_of_the_largest_group_are_recognised(spark):
     short, whole = M.Fingerprinter(M.lexicon(docs))(pa.array([" ".join(group), near[0], near[1], texts[0]]))
     like = lambda i, j: M.likeness((short[[i]], whole[[i]]), (short[[j]], whole[[j]]))[0]
     assert like(0, 1) > 0.5 and like(1, 2) > 0.4 and like(0, 3) < 0.1
+
+
+def test_sixteen_subsets_of_every_rate():
+    (one,) = M.packed(*M.Fingerprinter(np.zeros(0, np.uint64))(pa.array(["some text"])))
+    assert len(one) == 2 * 16 * len(M.RATES) + 8
