@@ -10,8 +10,8 @@ mark their content themselves (``article``, ``main`` or
 ``itemprop=articleBody``) label each of their words as inside or outside.
 Elements and class words that few pages use keep the prior of their kind.
 Learning counts their words in Spark; what is collected is
-bounded, since a feature must hold ``LEAST_SHARE`` of all counted words. About
-``LEARNED_PAGES`` labelled pages teach, drawn by a hash.
+bounded, since a feature must hold ``LEAST_SHARE`` of all counted words. Every
+labelled page teaches, however many pages there are.
 
 A block's text runs to the next block-level tag; white space inside it becomes
 one space; blocks are joined by one line feed in page order.
@@ -34,11 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import map_pieces, pieces, texts
+from caremarts.llm.common import map_pieces, pieces, texts, written
 
 LEAST_SHARE = 1e-4
 PRIOR_WORDS = 200.0  # how many words a prior counts for
-LEARNED_PAGES = 20_000  # labelled pages to learn from, about, drawn by a hash of the page
 TAG_SCORE = -0.2
 DECISIVE = -1.0  # surroundings at or below this make words boilerplate
 BOILERPLATE_SCORE = -0.4  # of such a word: an aside may not outweigh the rest of its article
@@ -200,13 +199,9 @@ def fit(pages: DataFrame, column: str = "html") -> dict[str, float]:
                     }
                 )
 
-    share = LEARNED_PAGES / max(1, pages.count())
-    if share < 1:
-        lot = F.pmod(F.xxhash64(column, F.lit(3)), F.lit(1 << 30))
-        pages = pages.where(lot < int(share * (1 << 30)))
     counts = pages.select(column).mapInArrow(run, "feature string, inside long, outside long")
     sums = counts.groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    sums = sums.where("feature is not null")
+    sums = written(sums.where("feature is not null"), "extract-counts")  # read twice
     total = sums.agg(F.sum(F.col("inside") + F.col("outside"))).first()[0] or 0
     rows = sums.where(F.col("inside") + F.col("outside") >= max(1.0, LEAST_SHARE * total)).collect()
     whole = next((r for r in rows if r["feature"] == ""), None)

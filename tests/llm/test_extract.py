@@ -69,3 +69,15 @@ def test_table_of_pages(spark):
     assert len(got) == 5 and got[1].text == MAIN and got[1].n_chars == len(MAIN)
     assert got[2].text == got[3].text == "" and got[None].text == "x y" and got[5].n_chars == 249_999
     assert X.page_texts(pages.limit(0)).count() == 0
+
+
+def test_every_marked_page_teaches(spark):
+    def made(i, name):
+        return f"<main><p class={name}>word{i} one two three</p></main><p class=odd>four {i}</p>"
+
+    marked = [made(i, "good") for i in range(40)]
+    blank = spark.range(25_000).selectExpr("concat('<p>plain page ', id, '</p>') as html")  # more pages than any sample
+    pages = blank.union(spark.createDataFrame([(p,) for p in marked], "html string"))
+    got = X.fit(pages)
+    want = learned(marked)
+    assert set(got) == set(want) and all(abs(got[f] - want[f]) < 1e-9 for f in want)
