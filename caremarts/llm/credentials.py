@@ -126,7 +126,8 @@ def linked_parts(scanned: DataFrame) -> DataFrame:
     """The weak parts with a complementary part in scope: one row for each text hash.
 
     ``scanned`` has ``text_key``, ``strong`` and ``weak``. Intervals meet where
-    they share a bin of ``SCOPE`` code points or lie in neighbouring ones.
+    they share a bin of ``SCOPE`` code points or lie in neighbouring ones; the end
+    itself counts, so that a gap of exactly ``SCOPE`` reaches the neighbour at any place.
     """
     some = scanned.where(F.size("weak") > 0)
     parts = (
@@ -138,7 +139,7 @@ def linked_parts(scanned: DataFrame) -> DataFrame:
     bins = lambda reach: F.explode(
         F.sequence(
             F.expr(f"cast(start div {SCOPE} as int)") - reach,
-            F.expr(f"cast((end - 1) div {SCOPE} as int)") + reach,
+            F.expr(f"cast(end div {SCOPE} as int)") + reach,
         )
     )
     weak = parts.where("ord >= 3").withColumn("bin", bins(1)).alias("w")

@@ -83,3 +83,19 @@ def test_odd_rows_and_empty_table(spark):
     assert S.secret_report(docs).count() == docs.count()
     assert S.secret_report(docs.limit(0)).count() == 0
     assert S.redact(docs).columns == docs.columns and S.redact(docs).count() == docs.count()
+
+
+def test_gaps_at_every_place(spark):
+    rows, want = [], set()
+    for gap in (199, 200, 201):
+        for at in range(S.SCOPE):
+            for first in (3, 0):  # a weak identifier and an assignment, either before the other
+                near, far = (at, first, at + 7), (at + 7 + gap, 3 - first, at + 7 + gap + 9)
+                weak, strong = (near, far) if first else (far, near)
+                key = f"{gap} {at} {first}"
+                rows.append((key, [strong], [weak]))
+                if gap <= S.SCOPE:
+                    want.add((key, weak))
+    span = "array<struct<start:int,ord:int,end:int>>"
+    scanned = spark.createDataFrame(rows, f"text_key string, strong {span}, weak {span}")
+    assert {(r.text_key, tuple(p)) for r in S.linked_parts(scanned).collect() for p in r.linked} == want
