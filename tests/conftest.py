@@ -7,8 +7,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF_SMOKE = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -24,13 +22,3 @@ def spark(tmp_path_factory):
     checkpoint_dir(s, fallback=str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()
-
-
-def text_frame(spark, rows: list[dict], columns: list[str] | None = None):
-    """Rows as a frame of text columns, as a header CSV read yields them."""
-    from pyspark.sql import types as T
-
-    cols = columns or list(rows[0].keys())
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-    data = [tuple(None if r.get(c) is None else str(r.get(c)) for c in cols) for r in rows]
-    return spark.createDataFrame(data, schema)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import text_frame
+from helpers import text_frame
 
 from caremarts.operators.contracts import (
     CHRONIC_CONDITION_COLS,

@@ -8,7 +8,7 @@ import os
 import shutil
 
 import pytest
-from conftest import SF_SMOKE
+from helpers import SF_SMOKE
 
 from caremarts.functions.columns import hash_bucket
 from caremarts.operators.contracts import SOURCE_RENAMES

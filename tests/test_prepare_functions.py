@@ -6,7 +6,7 @@ import datetime as dt
 import decimal
 import hashlib
 
-from conftest import text_frame
+from helpers import text_frame
 from pyspark.sql import functions as F
 
 from caremarts.functions.columns import age_years, exact_ratio, hash_bucket, surrogate_key

@@ -6,7 +6,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import SF_SMOKE
+from helpers import SF_SMOKE
 from pyspark.sql import functions as F
 
 from caremarts.operators import quality as Q
