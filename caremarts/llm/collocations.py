@@ -17,11 +17,12 @@ frequent, and a continuation only if the words from the second on are frequent
 too. Tasks know that from a Bloom filter of fixed size: what it lets through
 wrongly is counted exactly all the same and falls to the threshold.
 
-Skew: a prefix with more than 1 / ``SHARES`` of all words is divided into segments
-by the next word, as many as it has shares (at most ``SHARES`` such prefixes can
-exist; they alone are broadcast). The root stripe (no prefix: all words of a
-language) always has ``SHARES`` segments. Counts are summed in tasks before they
-are shuffled.
+Skew: all words are thought of as cut into equal shares, ``TASK_SHARES`` for each
+shuffle partition of the session. A prefix with more than one share of the words
+is divided into segments by the next word, as many as it has shares; there are
+fewer such prefixes than shares, and they alone are broadcast. The root stripe (no
+prefix: all words of a language) has as many segments as there are shares. Counts
+are summed in tasks before they are shuffled.
 
 Cases: a null lang is ``und``; null and empty texts have no words; a very long
 text is one shard by itself; repeated rows count as often as they stand there;
@@ -38,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caremarts.llm.common import hash_words, mixed, pieces, written
@@ -47,12 +48,13 @@ LEAST = 30
 LONGEST = 4
 TOP = 2000
 NO_LANG = "und"
-SHARES = 1 << 14
+LEAST_SHARES, TASK_SHARES = 1024, 16  # see ``word_shares``
 FILTER_BITS = 1 << 26  # of the filter of frequent phrases: 8 MiB
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 RANK_SALTS = 256
 
-STRIPE = "lang string, prefix string, segment int, next array<string>, n array<long>"
+#: A part of a stripe: its words joined by spaces (the empty word stands for none), and their counts.
+STRIPE = "lang string, prefix string, segment int, next string, n array<long>"
 
 _KIND = np.zeros(256, np.uint8)  # of a byte: 0 in a word, 1 between words, 2 between pieces
 _KIND[[0x20, 0x09]] = 1
@@ -91,9 +93,9 @@ def window_hashes(hashes: np.ndarray, width: int, lang: str) -> np.ndarray:
     return out
 
 
-def spots(h: np.ndarray) -> np.ndarray:
-    """Three places in a filter for each hash."""
-    bits = np.uint64(FILTER_BITS)
+def spots(h: np.ndarray, bits: int) -> np.ndarray:
+    """Three places in a filter of so many bits for each hash."""
+    bits = np.uint64(bits)
     return np.stack([h % bits, (h >> np.uint64(32)) % bits, mixed(h) % bits]).astype(np.int64)
 
 
@@ -104,7 +106,7 @@ class Known:
         self.table, self.hot, self.segments = table, hot, segments
 
     def frequent(self, h: np.ndarray) -> np.ndarray:
-        at = spots(h)
+        at = spots(h, 64 * len(self.table))
         hit = (self.table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
         return hit.all(axis=0)
 
@@ -115,59 +117,66 @@ class Known:
         return np.where(self.hot[at] == h, self.segments[at], 1)
 
 
-def local_stripes(words: pa.Array, piece: np.ndarray, lang: str, length: int, known: Known | None) -> pa.RecordBatch | None:
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each key's group, the distinct keys, and where each stands first."""
+    import pandas as pd
+
+    of, distinct = pd.factorize(keys)
+    first = np.empty(len(distinct), np.int64)
+    first[of[::-1]] = np.arange(len(keys) - 1, -1, -1)
+    return of, distinct, first
+
+
+def local_stripes(words: pa.Array, piece: np.ndarray, lang: str, length: int, known: Known | None, shares: int) -> pa.RecordBatch | None:
     """Stripes of the prefixes of ``length - 1`` words over the words of one language in a shard."""
     coded = words.dictionary_encode()
     codes, vocabulary = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     hashes = hash_words(vocabulary)
     width = length - 1
-    if width == 0:
-        at = np.arange(len(codes))
-        group, first = np.zeros(len(codes), np.int64), np.zeros(1, np.int64)
-        segments = np.full(1, SHARES)
-        goes_on = np.ones(len(codes), bool)
+    if width == 0:  # one prefix, and every word goes on from it
+        first, segments = np.zeros(1, np.int64), np.full(1, shares)
+        group, following, n = np.zeros(len(vocabulary), np.int64), np.arange(1, len(vocabulary) + 1), np.bincount(codes)
     else:
         h = window_hashes(hashes[codes], width, lang)
-        fits = piece[: len(h)] == piece[width - 1 : width - 1 + len(h)]
-        ok = fits & known.frequent(h)
+        ok = known.frequent(h) & (piece[: len(h)] == piece[width - 1 : width - 1 + len(h)])
         at = np.flatnonzero(ok)
         if not len(at):
             return None
-        first, group = np.unique(codes[at], return_index=True, return_inverse=True)[1:]
+        group, _, first = grouped(codes[at])
         for j in range(1, width):
-            first, group = np.unique(group << 32 | codes[at + j], return_index=True, return_inverse=True)[1:]
+            group, _, first = grouped(group << 32 | codes[at + j])
         first = at[first]
         segments = known.segments_of(h[first])
-        follows = np.append(ok, False)[np.minimum(at + 1, len(ok))]
+        follows = np.append(ok, False)[at + 1]
         end = np.minimum(at + width, len(codes) - 1)
         goes_on = follows & (at + width < len(codes)) & (piece[end] == piece[at])
-    following = np.where(goes_on, codes[np.minimum(at + width, len(codes) - 1)] + 1, 0)  # 0: none that counts
-    cells, n = np.unique(group << 32 | following, return_counts=True)
-    group, following = cells >> 32, cells & 0xFFFFFFFF
-    pick = (mixed(hashes) % np.uint64(SHARES)).astype(np.int64)[np.maximum(following - 1, 0)]
-    segment = np.where(following > 0, pick % segments[group], 0)
-    order = np.lexsort((following, segment, group))
-    group, following, segment, n = group[order], following[order], segment[order], n[order]
-    row = np.flatnonzero(np.append(True, (np.diff(group) != 0) | (np.diff(segment) != 0)))
-    bounds = pa.array(np.append(row, len(group)), pa.int32())
-    of = first[group[row]]
-    parts = [vocabulary.take(pa.array(codes[of + j])) for j in range(width)]
+        following = np.where(goes_on, codes[end] + 1, 0)  # 0: none that counts
+        of, cells, _ = grouped(group << 32 | following)
+        group, following, n = cells >> 32, cells & 0xFFFFFFFF, np.bincount(of)
+    pick = (mixed(hashes) % np.uint64(shares)).astype(np.int64)[np.maximum(following - 1, 0)]
+    place = group * shares + np.where(following > 0, pick % segments[group], 0)
+    order = np.argsort(place)
+    place, following, n = place[order], following[order], n[order]
+    row = np.flatnonzero(np.append(True, np.diff(place) != 0))
+    bounds = pa.array(np.append(row, len(place)), pa.int32())
+    of_row = first[place[row] // shares]
+    parts = [vocabulary.take(pa.array(codes[of_row + j])) for j in range(width)]
     prefix = pc.binary_join_element_wise(*parts, " ") if parts else pa.array([""] * len(row), pa.string())
-    nexts = vocabulary.take(pa.array(following - 1, mask=following == 0))
+    nexts = pc.fill_null(vocabulary.take(pa.array(following - 1, mask=following == 0)), "")
     return pa.RecordBatch.from_arrays(
         [
             pa.array([lang] * len(row), pa.string()),
             prefix,
-            pa.array(segment[row], pa.int32()),
-            pa.ListArray.from_arrays(bounds, nexts),
+            pa.array(place[row] % shares, pa.int32()),
+            pc.binary_join(pa.ListArray.from_arrays(bounds, nexts), " "),
             pa.ListArray.from_arrays(bounds, pa.array(n, pa.int64())),
         ],
         names=["lang", "prefix", "segment", "next", "n"],
     )
 
 
-def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
-    """Language and texts, about ``SHARD_BYTES`` of text at a time."""
+def shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[str, pa.Array]]:
+    """Language and texts, at most ``most`` bytes of text at a time (one text at least)."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -178,9 +187,9 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
             yield lang, pc.fill_null(batch.column("text"), "").filter(pc.equal(langs.indices, code))
 
     for batch in batches:
-        for piece in pieces(batch, "text", SHARD_BYTES):
+        for piece in pieces(batch, "text", most):
             n = pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
-            if held and size + n > SHARD_BYTES:
+            if held and size + n > most:
                 yield from by_lang()
                 held, size = [], 0
             held.append(piece)
@@ -189,7 +198,9 @@ def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array]]:
         yield from by_lang()
 
 
-def merged_stripes(texts: DataFrame, length: int, known: Broadcast | None, least: int) -> DataFrame:
+def merged_stripes(
+    texts: DataFrame, length: int, known: Broadcast | None, least: int, shard_bytes: int, shares: int
+) -> DataFrame:
     """``lang, prefix, segment, total, extensions`` of all prefixes of ``length - 1`` words that may be frequent.
 
     ``total`` counts the prefix's occurrences that fall to the segment,
@@ -197,18 +208,19 @@ def merged_stripes(texts: DataFrame, length: int, known: Broadcast | None, least
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, column in shards(batches):
+        for lang, column in shards(batches, shard_bytes):
             words, piece = words_in_pieces(column)
             if len(words):
-                stripes = local_stripes(words, piece, lang, length, known.value if known else None)
+                stripes = local_stripes(words, piece, lang, length, known.value if known else None, shares)
                 if stripes is not None:
                     yield stripes
 
     # parts of a stripe meet by (lang, prefix, segment); its counts are summed where they are
     met = texts.mapInArrow(run, STRIPE).repartition("lang", "prefix", "segment")
-    cells = met.select("lang", "prefix", "segment", F.expr("inline(arrays_zip(next, n))"))
+    listed = met.withColumn("next", F.split("next", " "))
+    cells = listed.select("lang", "prefix", "segment", F.expr("inline(arrays_zip(next, n))"))
     summed = cells.groupBy("lang", "prefix", "segment", "next").agg(F.sum("n").alias("f"))
-    frequent = F.col("next").isNotNull() & (F.col("f") >= least)
+    frequent = (F.col("next") != "") & (F.col("f") >= least)
     stripes = summed.groupBy("lang", "prefix", "segment").agg(
         F.sum("f").alias("total"), F.collect_list(F.when(frequent, F.struct("next", "f"))).alias("extensions")
     )
@@ -227,7 +239,7 @@ def totals(stripes: DataFrame) -> DataFrame:
     return stripes.groupBy("lang", "prefix").agg(F.sum("total").alias("total"))
 
 
-def known_phrases(phrases: DataFrame, width: int, words: int) -> Known:
+def known_phrases(phrases: DataFrame, width: int, words: int, filter_bits: int, shares: int) -> Known:
     """What the next pass must know of the frequent phrases of ``width`` words; ``words`` is the number of all words."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +256,7 @@ def known_phrases(phrases: DataFrame, width: int, words: int) -> Known:
 
     def filter_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.unique(spots(b.column("h").to_numpy().view(np.uint64)).ravel())
+            at = np.unique(spots(b.column("h").to_numpy().view(np.uint64), filter_bits).ravel())
             word, first = np.unique(at >> 6, return_index=True)
             value = np.uint64(1) << (at & 63).astype(np.uint64)
             value = np.bitwise_or.reduceat(value, first) if len(at) else value
@@ -253,25 +265,43 @@ def known_phrases(phrases: DataFrame, width: int, words: int) -> Known:
     keys = phrases.select("lang", "phrase", "f").mapInArrow(hashed, "h long, f long")
     rows = (
         keys.mapInArrow(filter_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    )  # at most FILTER_BITS / 64 rows
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    )  # at most filter_bits / 64 rows
+    table = np.zeros(filter_bits // 64, np.uint64)
     table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    # phrases do not overlap themselves more often than there are words: at most SHARES rows
-    hot = keys.where(F.col("f") * SHARES > words).toArrow()
+    # the counts of one length sum up to the number of words at most: fewer than ``shares`` rows
+    hot = keys.where(F.col("f") * shares > words).toArrow()
     h, f = hot["h"].to_numpy().view(np.uint64), hot["f"].to_numpy()
     h, last = np.unique(h, return_index=True)
-    return Known(table, h, -(-f[last] * SHARES // words))
+    return Known(table, h, np.minimum(-(-f[last] * shares // words), shares))
+
 
+def word_shares(spark: SparkSession) -> int:
+    """How many shares of all words the session's shuffles are divided into."""
+    return max(LEAST_SHARES, TASK_SHARES * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-def phrase_stripes(documents: DataFrame, least: int = LEAST, longest: int = LONGEST) -> list[DataFrame]:
-    """The merged stripes of 0 to ``longest`` - 1 words, written to the shared folder."""
+
+def phrase_stripes(
+    documents: DataFrame,
+    least: int = LEAST,
+    longest: int = LONGEST,
+    *,
+    shard_bytes: int = SHARD_BYTES,
+    filter_bits: int = FILTER_BITS,
+    shares: int | None = None,
+) -> list[DataFrame]:
+    """The merged stripes of 0 to ``longest`` - 1 words, written to the shared folder.
+
+    The sizes bound what a task holds at once, the filter that is broadcast and
+    the hot prefixes and their segments; none of them changes a result.
+    """
     spark = documents.sparkSession
+    shares = shares or word_shares(spark)
     texts = documents.select("text", F.col("lang").cast("string").alias("lang"))
-    out = [merged_stripes(texts, 1, None, least)]
+    out = [merged_stripes(texts, 1, None, least, shard_bytes, shares)]
     words = out[0].agg(F.sum("total")).first()[0] or 0
     for length in range(2, longest + 1):
-        known = known_phrases(extensions(out[-1]), length - 1, max(words, 1))
-        out.append(merged_stripes(texts, length, spark.sparkContext.broadcast(known), least))
+        known = known_phrases(extensions(out[-1]), length - 1, max(words, 1), filter_bits, shares)
+        out.append(merged_stripes(texts, length, spark.sparkContext.broadcast(known), least, shard_bytes, shares))
     return out
 
 
@@ -307,9 +337,11 @@ def scored_phrases(stripes: list[DataFrame]) -> DataFrame:
     return kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
-def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
-    """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases."""
-    stripes = phrase_stripes(documents, least, longest)
+def collocations(
+    documents: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, **sizes: int
+) -> DataFrame:
+    """``lang, rank, phrase, a, l, r, n, score`` of each language's first ``top`` phrases; ``sizes`` as for ``phrase_stripes``."""
+    stripes = phrase_stripes(documents, least, longest, **sizes)
     kept = scored_phrases(stripes).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SALTS)))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
     rank = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

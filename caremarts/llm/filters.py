@@ -3,10 +3,10 @@ r"""Filter interaction audit over a sparse document-term matrix (operator 12).
 ``term_shards`` cuts the documents into shards and writes each as one row: the
 words of its texts as codes of the shard's own word list in CSR form (``indptr``,
 ``codes``, ``counts``), with what the other filters need of each text.
-``dictionary`` numbers the distinct words of all shards once. ``global_shards``
-joins the word lists with it (a join by word, split by Spark where a word is in
-very many shards), brings the numbers of a shard together and rewrites its codes:
-the same matrix under one global dictionary. Row sums of a shard are word counts
+``numbered`` deals the word lists by the words' hashes and numbers the distinct
+words of all shards once, in as many buckets as there are words for.
+``global_shards`` brings the numbers of a shard's words to it and rewrites its
+codes: the same matrix under one global dictionary. Row sums of a shard are word counts
 and the nonzeros of a row are its distinct words, which decide filters A and B;
 C and D are byte counts of the texts, taken in the same pass; E compares digests.
 
@@ -21,7 +21,9 @@ at most parts x 128 rows), and derives all 120 orders from those counts.
 
 Bounds: a shard holds at most ``SHARD_BYTES`` of text and ``SHARD_ROWS`` rows (one
 row at least, so a very long text is a shard by itself); a word list and a shard's
-numbers are bounded by its text. Nothing is broadcast or collected.
+numbers are bounded by its text, and a word comes once from each shard, however
+often it occurs. A bucket has ``BUCKET_WORDS`` listed words on average, and a task
+keeps only its distinct ones. Nothing is broadcast or collected.
 
 Cases: a null or empty text has no words, fails A (and E, if a smaller id is
 empty too) and nothing else; a null ``lang`` is the part of the empty string; rows
@@ -42,34 +44,56 @@ from itertools import permutations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import coded_words, pieces, shared_dir
+from caremarts.llm.common import arrow_type, coded_words, pieces, shared_dir
 
 FILTERS = "ABCDE"
 MARKS = b"#$%&*|"
 FEWEST_WORDS = 100
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 SHARD_ROWS = 1 << 16
-#: Words of a shard travel in rows of this many, so that no row is as large as a word list.
+#: Listed words for each bucket of the dictionary, and the fewest buckets.
+BUCKET_WORDS, LEAST_BUCKETS = 1 << 20, 256
+#: Words in a row of the stored dictionary.
 LIST_WORDS = 1 << 14
 
 DOC = "struct<doc_id: long, lang: string, digest: binary, chars: long, capitals: long, marked: boolean>"
-SHARD = f"shard long, docs array<{DOC}>, indptr binary, codes binary, counts binary, words array<string>"
+SHARD = f"shard long, docs array<{DOC}>, indptr binary, codes binary, counts binary, listed long, words binary"
 
 
-def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``SHARD_BYTES`` of text from batches of any size."""
+def packed(values: np.ndarray) -> bytes:
+    """Ascending runs of small numbers (codes of a row, counts) in few bytes: differences, compressed."""
+    return zstandard.compress(np.diff(values, prepend=values.dtype.type(0)).tobytes(), 1)
+
+
+def unpacked(cell: bytes, kind: str) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.decompress(cell), kind), dtype=kind)
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    """Words hold no white space, so a line end parts them."""
+    return zstandard.compress(b"\n".join(words), 1)
+
+
+def unpacked_words(cell: bytes, listed: int) -> list[bytes]:
+    return zstandard.decompress(cell).split(b"\n") if listed else []
+
+
+def shards_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``most`` bytes of text (one row at least) from batches of any size."""
     held: list[pa.RecordBatch] = []
     size = rows = 0
     for batch in batches:
         for start in range(0, batch.num_rows, SHARD_ROWS):
-            for piece in pieces(batch.slice(start, SHARD_ROWS), "text", SHARD_BYTES):
+            for piece in pieces(batch.slice(start, SHARD_ROWS), "text", most):
                 n = pc.sum(pc.binary_length(piece.column("text"))).as_py() or 0
-                if held and (size + n > SHARD_BYTES or rows + piece.num_rows > SHARD_ROWS):
+                if held and (size + n > most or rows + piece.num_rows > SHARD_ROWS):
                     yield pa.concat_batches(held)
                     held, size, rows = [], 0, 0
                 held.append(piece)
@@ -105,12 +129,12 @@ def csr(offsets: np.ndarray, codes: np.ndarray, words: int) -> tuple[np.ndarray,
     return indptr.astype("<i8"), (cells - of * max(words, 1)).astype("<i4"), counts.astype("<i4")
 
 
-def term_shards(documents: DataFrame) -> DataFrame:
+def term_shards(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The shards of the document-term matrix under their own word lists; a lazy frame."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
-        for k, batch in enumerate(shards_of(batches)):
+        for k, batch in enumerate(shards_of(batches, shard_bytes)):
             text = pc.fill_null(batch.column("text"), "")
             offsets, codes, words = coded_words(text, lower=False)
             chars, capitals, marked = byte_counts(text)
@@ -124,15 +148,19 @@ def term_shards(documents: DataFrame) -> DataFrame:
                 strict=True,
             )
             names = ("doc_id", "lang", "digest", "chars", "capitals", "marked")
-            cells = [a.tobytes() for a in csr(offsets, codes, len(words))]
-            yield pa.RecordBatch.from_pylist(
-                [dict(zip(("shard", "docs", "indptr", "codes", "counts"), (task + k, [dict(zip(names, x, strict=True)) for x in lines], *cells), strict=True))],
-                pa.schema(kinds[:-1]),
-            ).append_column(kinds[-1], pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words))
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    kinds = list(to_arrow_schema(T.StructType.fromDDL(SHARD)))
+            indptr, codes, counts = csr(offsets, codes, len(words))
+            row = {
+                "shard": task + k,
+                "docs": [dict(zip(names, x, strict=True)) for x in lines],
+                "indptr": indptr.tobytes(),
+                "codes": packed(codes),
+                "counts": packed(counts),
+                "listed": len(words),
+                "words": packed_words(words.cast(pa.binary()).to_pylist()),
+            }
+            yield pa.RecordBatch.from_pylist([row], schema)
+
+    schema = pa.schema([(f.name, arrow_type(f.dataType)) for f in T.StructType.fromDDL(SHARD)])
     return documents.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text").mapInArrow(run, SHARD)
 
 
@@ -143,35 +171,98 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """``word, id``: a number for each distinct word of all shards."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    return stored(words.withColumn("id", F.monotonically_increasing_id()), "dictionary")
+def numbered(shards: DataFrame) -> DataFrame:
+    """``shard, codes, ids, words``: the global number of each word of each shard, and the dictionary itself.
 
+    A shard's word list is dealt by the words' hashes, so every copy of a word
+    meets in one task, which numbers the distinct ones as they come. A row has the
+    numbers of the words of one shard in one bucket (``codes`` and ``ids``); rows
+    without a shard have ``words`` and their ``ids`` (all packed). The rows are
+    stored: a task that ran again could number its words otherwise.
+    """
+    listed = shards.agg(F.sum("listed")).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, listed // BUCKET_WORDS)
 
-def global_shards(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """``shard, docs, indptr, ids, counts``: stored shards with the dictionary's numbers for their codes."""
-    listed = shards.select("shard", F.posexplode("words").alias("code", "word"))
-    numbers = (
-        listed.join(words, "word")
-        .groupBy("shard")
-        .agg(F.sort_array(F.collect_list(F.struct("code", "id"))).alias("numbers"))
-        .select("shard", F.col("numbers.id").alias("numbers"))
-    )
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for b in batches:
+            for shard, n, cell in zip(*(b.column(c).to_pylist() for c in ("shard", "listed", "words")), strict=True):
+                words = unpacked_words(cell, n)
+                bucket = np.fromiter((digest(w) % buckets for w in words), np.int64, n)
+                order = np.argsort(bucket, kind="stable").astype("<i4")
+                row = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)[:n])
+                own = [order[i:j] for i, j in zip(row, np.append(row[1:], n))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bucket[order][row]),
+                        pa.array([shard] * len(row), pa.int64()),
+                        pa.array([packed(codes) for codes in own], pa.binary()),
+                        pa.array([len(codes) for codes in own], pa.int64()),
+                        pa.array([packed_words([words[i] for i in codes]) for codes in own], pa.binary()),
+                    ],
+                    names=["bucket", "shard", "codes", "listed", "words"],
+                )
 
-    def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
+        known: dict[bytes, int] = {}
         for b in batches:
             ids = []
-            for codes, numbers in zip(b.column("codes"), b.column("numbers"), strict=True):
-                own = numbers.values.to_numpy() if numbers.is_valid else np.zeros(0, np.int64)
-                ids.append(own[np.frombuffer(codes.as_buffer(), "<i4")].astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("shard", "docs", "indptr")), pa.array(ids, pa.binary()), b.column("counts")],
-                names=["shard", "docs", "indptr", "ids", "counts"],
-            )
+            for n, cell in zip(b.column("listed").to_pylist(), b.column("words").to_pylist(), strict=True):
+                own = [known.setdefault(w, first + len(known)) for w in unpacked_words(cell, n)]
+                ids.append(packed(np.array(own, "<i8")))
+            cells = [b.column("shard"), b.column("codes"), pa.array(ids, pa.binary()), b.column("listed"), pa.nulls(b.num_rows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cells, schema=schema)
+        words = list(known)
+        for at in range(0, len(words), LIST_WORDS):
+            own = words[at : at + LIST_WORDS]
+            ids = packed(np.arange(first + at, first + at + len(own), dtype="<i8"))
+            row = {"shard": None, "codes": None, "ids": ids, "listed": len(own), "words": packed_words(own)}
+            yield pa.RecordBatch.from_pylist([row], schema)
+
+    kind = "shard long, codes binary, ids binary, listed long, words binary"
+    schema = pa.schema([(f.name, arrow_type(f.dataType)) for f in T.StructType.fromDDL(kind)])
+    dealt = shards.select("shard", "listed", "words").mapInArrow(deal, "bucket long, shard long, codes binary, listed long, words binary")
+    return stored(dealt.repartition("bucket").mapInArrow(number, kind), "dictionary")
+
+
+def dictionary(numbers: DataFrame) -> DataFrame:
+    """``word, id`` of all words, from ``numbered``."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for n, words, ids in zip(*(b.column(c).to_pylist() for c in ("listed", "words", "ids")), strict=True):
+                column = pa.array(unpacked_words(words, n), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([column, pa.array(unpacked(ids, "<i8"))], names=["word", "id"])
+
+    return numbers.where("shard is null").select("listed", "words", "ids").mapInArrow(pairs, "word string, id long")
+
 
-    both = shards.drop("words").join(numbers, "shard", "left")
-    return both.mapInArrow(renumber, f"shard long, docs array<{DOC}>, indptr binary, ids binary, counts binary")
+def global_shards(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``shard, docs, indptr, ids, counts``: stored shards with the dictionary's numbers for their codes.
+
+    The cells are plain little-endian buffers: ``indptr`` and ``ids`` of 64 bits, ``counts`` of 32.
+    """
+
+    def renumber(own: pa.Table, found: pa.Table) -> pa.Table:
+        codes, ids = (
+            np.concatenate([np.zeros(0, t), *(unpacked(x, t) for x in found.column(c).to_pylist())])
+            for c, t in (("codes", "<i4"), ("ids", "<i8"))
+        )
+        by_code = np.zeros(len(codes), "<i8")
+        by_code[codes] = ids
+        cells = [by_code[unpacked(x, "<i4")].tobytes() for x in own.column("codes").to_pylist()]
+        counts = [unpacked(x, "<i4").tobytes() for x in own.column("counts").to_pylist()]
+        columns = {"ids": pa.array(cells, pa.binary()), "counts": pa.array(counts, pa.binary())}
+        return pa.table({c: columns[c] if c in columns else own.column(c) for c in ("shard", "docs", "indptr", "ids", "counts")})
+
+    of_shards = numbers.where("shard is not null").select("shard", "codes", "ids")
+    return (
+        shards.select("shard", "docs", "indptr", "codes", "counts")
+        .groupBy("shard")
+        .cogroup(of_shards.groupBy("shard"))
+        .applyInArrow(renumber, f"shard long, docs array<{DOC}>, indptr binary, ids binary, counts binary")
+    )
 
 
 def document_flags(matrix: DataFrame) -> DataFrame:
@@ -222,10 +313,10 @@ def nonzeros(indptr: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.diff(indptr).astype(np.int64)
 
 
-def filter_flags(documents: DataFrame) -> DataFrame:
+def filter_flags(documents: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The filters' flags of each document, decided on the document-term matrix."""
-    shards = stored(term_shards(documents), "term-shards")
-    return document_flags(global_shards(shards, dictionary(shards)))
+    shards = stored(term_shards(documents, shard_bytes), "term-shards")
+    return document_flags(global_shards(shards, numbered(shards)))
 
 
 def audit(flags: DataFrame, labels: DataFrame) -> DataFrame:
@@ -277,6 +368,6 @@ def audit(flags: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def filter_audit(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def filter_audit(documents: DataFrame, labels: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``audit`` of all documents."""
-    return audit(filter_flags(documents), labels)
+    return audit(filter_flags(documents, shard_bytes), labels)

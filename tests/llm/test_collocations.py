@@ -69,7 +69,7 @@ def test_segments_and_a_full_filter_change_nothing(spark):
     want = plain(rows, 3, 2000)
     assert report(df, least=3, filter_bits=64) == want  # lets everything through
     assert report(df, least=3, shares=1) == want  # no segments
-    # nearly every prefix here has more than a 16,384th of the words
+    # nearly every prefix here has more than a thousandth of the words
     stripes = C.phrase_stripes(df, least=3)
     assert stripes[1].groupBy("lang", "prefix").count().where("count > 1").count() > 0
     assert report(df, least=3) == want
