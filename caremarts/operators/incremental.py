@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caremarts.warehouse import under_schema
+
 
 def unseen(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Source rows whose key is not in the target yet (``NOT EXISTS``)."""
@@ -21,8 +23,8 @@ def unseen(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 def sync_columns(existing: DataFrame, new_rows: DataFrame) -> DataFrame:
     """Union under the *new* schema: added columns appear (null in old
-    rows), vanished columns are dropped."""
-    return existing.unionByName(new_rows, allowMissingColumns=True).select(*new_rows.columns)
+    rows), vanished columns are dropped, old values take a changed type."""
+    return under_schema(existing, new_rows.schema).union(new_rows)
 
 
 def incremental_append(

@@ -10,8 +10,10 @@ Layout under the warehouse root (any Hadoop-compatible URI)::
 
 A write makes a new part directory that no reader knows, then commits a
 manifest listing the parts that make up the table: all new ones (publish), the
-old ones and the new (append), or the old ones but for the slots that were
-rewritten (rewrite). A commit renames a finished temporary file to the next
+old ones and the new (append), or the old ones but for those that were
+rewritten (rewrite). Each part keeps the columns that it still gives, with the
+types that lie in its files: a column that the table dropped leaves them for
+good, and one whose type changed is cast as it is read (K10). A commit renames a finished temporary file to the next
 number with a rename that fails if that number exists, so a crash at any point
 leaves the last committed table whole, and of two writers that start from the
 same version one fails with ``ConcurrentCommit`` and loses nothing. The newest
@@ -29,6 +31,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,14 +50,53 @@ class DuplicateKeyError(ValueError):
     """A table would hold a key more than once."""
 
 
+class SchemaChangeError(ValueError):
+    """A column's new type cannot hold a value that the table has."""
+
+
 @dataclass
 class Manifest:
     version: int
     schema: T.StructType
-    parts: list[dict] = field(default_factory=list)  # {"path": relative, "slot": str}
+    parts: list[dict] = field(default_factory=list)  # {"path": relative, "slot": str, "columns": live ones as in its files}
+
+    def within(self, slots=None) -> list[dict]:
+        return [p for p in self.parts if slots is None or p["slot"] in slots]
+
+
+def same_columns(a: T.StructType, b: T.StructType) -> bool:
+    """Equal names and types in one order; whether a column may be null is not compared."""
+    return [(f.name, f.dataType) for f in a] == [(f.name, f.dataType) for f in b]
+
+
+def holds_all(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of the old type is one of the new."""
+    whole = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+    if old == new or isinstance(new, T.StringType) and isinstance(old, T.AtomicType):
+        return True
+    if old in whole and new in whole:
+        return whole[old] <= whole[new]
+    if isinstance(new, T.DecimalType):
+        digits = whole.get(old) if old in whole else old.precision - old.scale if isinstance(old, T.DecimalType) else None
+        return digits is not None and digits <= new.precision - new.scale and getattr(old, "scale", 0) <= new.scale
+    return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType)
 
-    def paths(self, slots=None) -> list[str]:
-        return [p["path"] for p in self.parts if slots is None or p["slot"] in slots]
+
+def column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def under_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` from ``df``: cast where the type differs, null where there is none."""
+    if same_columns(df.schema, schema):
+        return df
+    own = {f.name: f.dataType for f in df.schema}
+    return df.select(
+        *[
+            (column(f.name) if own.get(f.name) == f.dataType else column(f.name).cast(f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in schema
+        ]
+    )
 
 
 @dataclass
@@ -100,7 +142,9 @@ class Warehouse:
             return None
         v = known[-1] if version is None else version
         spec = json.loads(self._read_text(f"{self.path(layer, table)}/commits/{v:012d}.json"))
-        return Manifest(v, T.StructType.fromJson(spec["schema"]), spec["parts"])
+        columns = [T.StructType.fromJson(c) for c in spec["columns"]]
+        parts = [{**p, "columns": columns[p["columns"]]} for p in spec["parts"]]
+        return Manifest(v, T.StructType.fromJson(spec["schema"]), parts)
 
     def current_version(self, layer: str, table: str) -> int | None:
         known = self.versions(layer, table)
@@ -109,11 +153,16 @@ class Warehouse:
     def _commit(self, layer: str, table: str, base: Manifest | None, schema: T.StructType, parts: list[dict]) -> int:
         """Make ``parts`` the next version after ``base``; fails if that exists already."""
         version = (base.version if base else 0) + 1
+        names, columns, listed = set(schema.fieldNames()), {}, []
+        for p in parts:
+            live = T.StructType([f for f in p["columns"] if f.name in names])
+            listed.append({**p, "columns": columns.setdefault(live.json(), len(columns))})
+        spec = {"schema": schema.jsonValue(), "columns": [json.loads(c) for c in columns], "parts": listed}
         folder = f"{self.path(layer, table)}/commits"
         fs, tmp, jvm = self._hadoop(f"{folder}/.{uuid.uuid4().hex}.tmp")
         out = fs.create(tmp, False)
         try:
-            out.write(bytearray(json.dumps({"schema": schema.jsonValue(), "parts": parts}).encode()))
+            out.write(bytearray(json.dumps(spec).encode()))
         finally:
             out.close()
         hadoop = jvm.org.apache.hadoop
@@ -137,7 +186,7 @@ class Warehouse:
             df.write.parquet(path)
             has_rows = not self.spark.read.schema(df.schema).parquet(path).isEmpty()
             if has_rows:
-                return [{"path": name, "slot": WHOLE}]
+                return [{"path": name, "slot": WHOLE, "columns": df.schema}]
         else:
             # rows of a slot lie together where they are few; AQE splits a large slot between tasks
             marked = df.withColumn(SLOT, slot.cast("string")).hint("rebalance", F.col(SLOT))
@@ -145,19 +194,49 @@ class Warehouse:
             found = [s.getPath().getName() for s in self._list(path) if s.isDirectory()]
             slots = sorted(n.split("=", 1)[1] for n in found if n.startswith(f"{SLOT}="))
             if slots:
-                return [{"path": f"{name}/{SLOT}={s}", "slot": s} for s in slots]
+                return [{"path": f"{name}/{SLOT}={s}", "slot": s, "columns": df.schema} for s in slots]
         self._delete(path)
         return []
 
-    def _frame(self, layer: str, table: str, schema: T.StructType, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        base = self.path(layer, table)
-        return self.spark.read.schema(schema).parquet(*[f"{base}/{p}" for p in paths])
+    def _frame(self, layer: str, table: str, schema: T.StructType, parts: list[dict]) -> DataFrame:
+        """The rows of parts under a schema: one scan of those that have the same columns."""
+        alike: dict[str, list[dict]] = {}
+        for p in parts:
+            alike.setdefault(p["columns"].json(), []).append(p)
+        out: DataFrame | None = None
+        for own in alike.values():
+            paths = [f"{self.path(layer, table)}/{p['path']}" for p in own]
+            df = under_schema(self.spark.read.schema(own[0]["columns"]).parquet(*paths), schema)
+            out = df if out is None else out.union(df)
+        return self.spark.createDataFrame([], schema) if out is None else out
+
+    def _assert_castable(self, layer: str, table: str, schema: T.StructType, parts: list[dict]) -> None:
+        """Refuse a change of type that some value of the parts does not survive.
+
+        Types that hold all values of the old one need no look at the data; others
+        cost one count over the changed columns.
+        """
+        types = {f.name: f.dataType for f in schema}
+        alike: dict[str, list[dict]] = {}
+        for p in parts:
+            alike.setdefault(p["columns"].json(), []).append(p)
+        for own in alike.values():
+            changed = [f for f in own[0]["columns"] if f.name in types and not holds_all(f.dataType, types[f.name])]
+            if not changed:
+                continue
+            rows = self._frame(layer, table, T.StructType(changed), own)
+            lost = lambda f: F.count_if(column(f.name).isNotNull() & column(f.name).try_cast(types[f.name]).isNull())
+            try:
+                counts = rows.agg(*[lost(f).alias(str(k)) for k, f in enumerate(changed)]).first()
+            except AnalysisException as exc:
+                raise SchemaChangeError(f"{layer}/{table}: {exc}") from exc
+            bad = [f"{f.name} ({n} values)" for f, n in zip(changed, counts, strict=True) if n]
+            if bad:
+                raise SchemaChangeError(f"{layer}/{table}: old values do not fit the new type of {', '.join(bad)}")
 
     def _assert_unique(self, layer: str, table: str, schema: T.StructType, parts: list[dict], key: str) -> None:
         """One partially aggregated count on the key column of the parts about to be committed."""
-        rows = self._frame(layer, table, schema, [p["path"] for p in parts]).select(key).where(F.col(key).isNotNull())
+        rows = self._frame(layer, table, schema, parts).select(key).where(F.col(key).isNotNull())
         twice = rows.groupBy(key).count().where("count > 1").select(key).first()
         if twice is not None:
             for p in parts:
@@ -172,10 +251,11 @@ class Warehouse:
         """A table (S5), or its given slots; None when never published.
 
         Parts are read under the table's schema: a column that an old part
-        lacks is null there, one that the table dropped is not read.
+        lacks is null there, one that the table dropped is not read, one that
+        lies there in another type is cast.
         """
         m = self.manifest(layer, table, version)
-        return None if m is None else self._frame(layer, table, m.schema, m.paths(slots))
+        return None if m is None else self._frame(layer, table, m.schema, m.within(slots))
 
     def publish(
         self, layer: str, table: str, df: DataFrame, *, key: str | None = None, slot: Column | None = None
@@ -190,14 +270,17 @@ class Warehouse:
     def append(self, layer: str, table: str, df: DataFrame, *, key: str | None = None) -> int | None:
         """Add the rows of ``df`` (H1): old parts stay as they are.
 
-        The table takes the schema of ``df`` (K10). Nothing is written or
-        committed when there is no row and no change of schema.
+        The table takes the schema of ``df`` (K10); where old values do not fit
+        it, nothing is written and ``SchemaChangeError`` says which columns.
+        Nothing is written or committed either when there is no row and no
+        change of schema.
         """
         base = self.manifest(layer, table)
+        self._assert_castable(layer, table, df.schema, base.parts if base else [])
         parts = self._write_part(layer, table, df, None)
         if key and parts:
             self._assert_unique(layer, table, df.schema, parts, key)
-        if base is not None and not parts and base.schema.fieldNames() == df.schema.fieldNames():
+        if base is not None and not parts and same_columns(base.schema, df.schema):
             return None
         return self._commit(layer, table, base, df.schema, (base.parts if base else []) + parts)
 
@@ -209,10 +292,11 @@ class Warehouse:
         Parts of slots that are not replaced are neither read nor written.
         """
         base = self.manifest(layer, table)
+        kept = [p for p in (base.parts if base else []) if p["slot"] not in replaced]
+        self._assert_castable(layer, table, df.schema, kept)
         new = self._write_part(layer, table, df, slot)
         if key:
             self._assert_unique(layer, table, df.schema, new, key)
-        kept = [p for p in (base.parts if base else []) if p["slot"] not in replaced]
         return self._commit(layer, table, base, df.schema, kept + new)
 
     def publish_empty(self, layer: str, table: str) -> int | None:

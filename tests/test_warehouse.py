@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from caremarts.operators.incremental import incremental_append, sync_columns
 from caremarts.operators.scd2 import snapshot_table
 from caremarts.operators.upsert import load_table, replace_load
 from caremarts.plans.flow import update_fact
-from caremarts.warehouse import ConcurrentCommit, DuplicateKeyError, Warehouse
+from caremarts.warehouse import ConcurrentCommit, DuplicateKeyError, SchemaChangeError, Warehouse
 
 
 @pytest.fixture
@@ -114,6 +115,51 @@ def test_columns_follow_the_new_rows(wh, spark):
     assert got.columns == ["k", "added"] and {tuple(r) for r in got.collect()} == {(1, None), (2, 5)}
 
 
+def values(wh, layer="marts", table="f"):
+    return sorted(map(tuple, wh.read(layer, table).collect()), key=str)
+
+
+def test_a_type_that_changes_is_cast_in_old_parts(wh, spark):
+    wh.append("marts", "f", spark.createDataFrame([(1, 5, "1.25"), (2, None, "9.99")], "k int, v int, d string").selectExpr("k", "v", "cast(d as decimal(5,2)) d"))
+    wh.append("marts", "f", spark.sql("select 3 as k, 'x7' as v, cast(12345.678 as decimal(12,3)) as d"))
+    assert dict(wh.read("marts", "f").dtypes) == {"k": "int", "v": "string", "d": "decimal(12,3)"}
+    assert [(k, v, str(d)) for k, v, d in values(wh)] == [(1, "5", "1.250"), (2, None, "9.990"), (3, "x7", "12345.678")]
+    wh.append("marts", "f", spark.sql("select 4L as k, 'y' as v, cast(1 as decimal(12,3)) as d"))  # int to bigint
+    assert [r[0] for r in values(wh)] == [1, 2, 3, 4] and wh.read("marts", "f").where("k = 4 or v = '5'").count() == 2
+
+
+def test_a_type_that_old_values_do_not_fit_is_refused_before_the_commit(wh, spark):
+    wh.append("marts", "f", spark.createDataFrame([(1, "5"), (2, "x")], "k int, v string"))
+    files = part_files(wh, "marts", "f")
+    with pytest.raises(SchemaChangeError, match=r"v \(1 values\)"):
+        wh.append("marts", "f", spark.createDataFrame([(3, 7)], "k int, v int"))
+    with pytest.raises(SchemaChangeError):  # no cast at all
+        wh.append("marts", "f", spark.sql("select 3 as k, array('a') as v"))
+    assert part_files(wh, "marts", "f") == files and values(wh) == [(1, "5"), (2, "x")]
+    wh.publish("marts", "g", spark.createDataFrame([(1, "5")], "k int, v string"))
+    wh.append("marts", "g", spark.createDataFrame([(3, 7)], "k int, v int"))  # every value is a number
+    assert values(wh, table="g") == [(1, 5), (3, 7)]
+
+
+def test_a_dropped_column_does_not_come_back(wh, spark):
+    wh.append("marts", "f", spark.createDataFrame([(1, 10)], "k int, c int"))
+    wh.append("marts", "f", spark.createDataFrame([(2,)], "k int"))
+    wh.append("marts", "f", spark.createDataFrame([(3, "new")], "k int, c string"))
+    assert values(wh) == [(1, None), (2, None), (3, "new")]
+    assert len(wh.manifest("marts", "f").parts) == 3
+    none = spark.createDataFrame([], "k int")
+    assert wh.append("marts", "f", none) is not None and values(wh) == [(1,), (2,), (3,)]  # a schema alone commits
+
+
+def test_slots_that_stay_follow_the_schema_too(wh, spark):
+    slot = lambda: (F.col("k") % 2).cast("string")
+    wh.publish("raw", "t", spark.createDataFrame([(0, 1), (1, 2)], "k int, v int"), slot=slot())
+    wh.rewrite("raw", "t", spark.createDataFrame([(0, "a")], "k int, v string"), slot=slot(), replaced=["0"])
+    assert values(wh, "raw", "t") == [(0, "a"), (1, "2")]
+    old = spark.createDataFrame([(1, 5)], "k int, v int")
+    assert [tuple(r) for r in sync_columns(old, spark.createDataFrame([(2, "x")], "k int, v string")).collect()] == [(1, "5"), (2, "x")]
+
+
 def test_upsert_rewrites_only_the_slots_of_the_batch(wh, spark):
     rows = [(f"k{i}", i) for i in range(200)]
     table = spark.createDataFrame(rows, "id string, val int")
