@@ -25,7 +25,7 @@ from caremarts.operators.contracts import CONTRACTS, SOURCE_RENAMES
 from caremarts.operators.incremental import incremental_append
 from caremarts.operators.scd2 import snapshot_table
 from caremarts.operators.upsert import load_table
-from caremarts.operators.validate import Validation, ingest_summary, validate
+from caremarts.operators.validate import Validation, validate
 from caremarts.plans import ingest
 from caremarts.plans import intermediate as I
 from caremarts.plans import marts as M
@@ -154,8 +154,8 @@ def run_concurrently(tasks: dict[str, Callable[[], object]]) -> dict[str, object
 def run_ingest(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datetime, run: str) -> dict:
     """The six tables in loader order with one batch time.
 
-    A table's annotated rows are written once to the shared staging area, in
-    two partitions; the rejects, the batch and the summary are read from there.
+    A table's annotated rows are written once to the shared staging area and
+    counted as they are; the rejects and the batch are read from there.
     """
     mode = "replace" if cfg.reset else "upsert"
     prepared = ingest.prepared_sources(_sources(spark, cfg))
@@ -168,11 +168,7 @@ def run_ingest(spark: SparkSession, wh: Warehouse, cfg: FlowConfig, ts: dt.datet
         return v
 
     done = run_concurrently({t: (lambda t=t: one(t)) for t in ingest.TABLE_ORDER})
-    results: dict[str, Validation] = {t: done[t] for t in ingest.TABLE_ORDER}
-    return {
-        r["table_name"]: {"loaded": r["loaded"], "rejected": r["rejected"]}
-        for r in ingest_summary(results).collect()
-    }
+    return {t: done[t].counts() for t in ingest.TABLE_ORDER}
 
 
 def update_fact(
