@@ -157,7 +157,9 @@ def snapshot_providers(
     )
 
 
-def snapshot_table(wh: Warehouse, table: str, raw_providers: DataFrame, ts: dt.datetime, run: str) -> int | None:
+def snapshot_table(
+    wh: Warehouse, table: str, raw_providers: DataFrame, ts: dt.datetime, run: str, notes: dict | None = None
+) -> int | None:
     """Take a provider snapshot in the warehouse and commit it.
 
     Closed versions are only ever appended; the part of open versions is
@@ -169,7 +171,7 @@ def snapshot_table(wh: Warehouse, table: str, raw_providers: DataFrame, ts: dt.d
     if history is not None and delta.where(CHANGED).isEmpty():
         return None
     slot = F.when(F.col(VALID_TO).isNull(), OPEN_SLOT).otherwise(CLOSED_SLOT)
-    return wh.rewrite("snapshots", table, delta.drop(CHANGED), slot=slot, replaced=[OPEN_SLOT])
+    return wh.rewrite("snapshots", table, delta.drop(CHANGED), slot=slot, replaced=[OPEN_SLOT], notes=notes)
 
 
 def snapshot_first(raw_providers: DataFrame, ts: dt.datetime) -> DataFrame:

@@ -120,38 +120,100 @@ def load(
     raise ValueError(f"Unknown load mode: {mode!r} (use 'upsert' or 'replace')")
 
 
-#: Slots of a new raw table by the key's hash; a batch rewrites those it has keys of.
+#: The fewest slots of a raw table, and the bytes of a slot beyond which the table gets more.
 RAW_SLOTS = 16
+SLOT_BYTES = 128 << 20
 
 
 def key_slot(key: str, slots: int = RAW_SLOTS) -> Column:
-    """``<slots>-<bucket>``: the name says how many slots its table has."""
-    return F.concat(F.lit(f"{slots}-"), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(slots)).cast("string"))
+    """The key's slot by linear hashing: a table of ``slots`` + 1 differs in one slot, which is divided.
+
+    The hash modulo the next power of two; where the table has no such slot yet,
+    modulo the one before.
+    """
+    top = 1 << max(0, (slots - 1).bit_length())
+    h = F.xxhash64(F.col(f"`{key}`"))
+    high, low = F.pmod(h, F.lit(top)), F.pmod(h, F.lit(max(1, top // 2)))
+    return F.when(high < slots, high).otherwise(low).cast("string")
+
+
+def divided(old: int, new: int) -> set[str]:
+    """The slots of a table of ``old`` slots that lose keys to others when it gets ``new``."""
+    out = set()
+    for slot in range(old, new):
+        while slot >= old:
+            slot -= 1 << (slot.bit_length() - 1)
+        out.add(str(slot))
+    return out
+
+
+def slots_for(size: int, slot_bytes: int, least: int) -> int:
+    return max(least, -(-size // slot_bytes))
 
 
-def table_slots(wh: Warehouse, table: str, default: int) -> int:
-    """The number of slots that a raw table was divided into."""
-    m = wh.manifest("raw", table)
-    return int(m.parts[0]["slot"].split("-")[0]) if m and m.parts else default
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a frame's size; 0 where it has none."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
 
 
-def load_table(wh: Warehouse, table: str, batch: DataFrame, key: str, mode: str = "upsert", slots: int = RAW_SLOTS) -> int:
-    """Load a batch into a raw table (K1-K4) and commit the new version.
+def changed_rows(batch: DataFrame, existing: DataFrame, key: str, preserve: tuple[str, ...] = (INGESTED_AT,)) -> DataFrame:
+    """Rows of the batch that an upsert would insert, or that differ from the table's in a column it overwrites."""
+    columns = [c for c in batch.columns if c != key and c not in preserve]
+    old = existing.select(F.col(f"`{key}`").alias("__k"), *[F.col(f"`{c}`").alias(f"__o_{c}") for c in columns])
+    j = batch.join(old, F.col(f"`{key}`") == F.col("__k"), "left")
+    same = F.col("__k").isNotNull()
+    for c in columns:
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"`__o_{c}`"))
+    return j.where(~same).select(*[F.col(f"`{c}`") for c in batch.columns])
 
-    An upsert reads and rewrites the slots that the batch has keys of, and
-    leaves the others' files as they are; each slot is one full outer join of
-    unique keys. The key is asserted unique before the commit. ``slots`` holds
-    for a new or replaced table; an existing one keeps its own. ``batch`` should
-    be a stored frame: its slots are looked at first.
+
+def load_table(
+    wh: Warehouse,
+    table: str,
+    batch: DataFrame,
+    key: str,
+    mode: str = "upsert",
+    slots: int = RAW_SLOTS,
+    *,
+    slot_bytes: int = SLOT_BYTES,
+    notes: dict | None = None,
+) -> int:
+    """Load a batch into a raw table (K1-K4); the version that the table has then.
+
+    An upsert looks which slots hold rows that the batch inserts or changes, and
+    reads and rewrites those alone; where there are none, nothing is written or
+    committed. The table has as many slots as keep one at about ``slot_bytes``
+    (``slots`` at least): as it grows, slots are divided one by one in the same
+    commit, so a batch rewrites what it touches at any size. Each slot is one
+    full outer join of unique keys. The key is asserted unique before the commit.
+    ``batch`` should be a stored frame: its slots are looked at first.
     """
     if mode not in MODES:
         raise ValueError(f"Unknown load mode: {mode!r} (use 'upsert' or 'replace')")
-    if mode == "replace" or not wh.exists("raw", table):
+    known = wh.manifest("raw", table)
+    size = estimated_bytes(batch)
+    if mode == "replace" or known is None:
         existing = wh.read("raw", table)
         rows = batch if existing is None else replace_load(batch, existing)
-        return wh.publish("raw", table, rows, key=key, slot=key_slot(key, slots))
-    slot = key_slot(key, table_slots(wh, table, slots))
-    touched = sorted(r[0] for r in batch.select(slot.alias(SLOT)).distinct().collect())  # at most ``slots``
-    old = wh.read("raw", table, slots=touched)
-    new = upsert(old, batch, key, check_unique=False)  # the commit asserts it
-    return wh.rewrite("raw", table, new, slot=slot, replaced=touched, key=key)
+        n = slots_for(size, slot_bytes, slots)
+        return wh.publish("raw", table, rows, key=key, slot=key_slot(key, n), notes={**(notes or {}), "slots": n})
+    before = known.notes.get("slots")
+    if before is None:  # written by other means, undivided
+        new, n = upsert(wh.read("raw", table), batch, key, check_unique=False), slots_for(known.bytes + size, slot_bytes, slots)
+        return wh.publish("raw", table, new, key=key, slot=key_slot(key, n), notes={**(notes or {}), "slots": n})
+    slot = key_slot(key, before)
+    own = [r[0] for r in batch.select(slot.alias(SLOT)).distinct().collect()]  # at most ``before``
+    assert_known_columns(wh.read("raw", table, slots=[]), batch)
+    changed = changed_rows(batch, wh.read("raw", table, slots=own), key)
+    touched = {r[0] for r in changed.select(slot.alias(SLOT)).distinct().collect()}
+    if not touched:
+        return known.version
+    after = slots_for(known.bytes + size, slot_bytes, before)
+    touched |= divided(before, after)
+    old = wh.read("raw", table, slots=sorted(touched))
+    rows = batch if len(touched) >= before else batch.where(slot.isin(sorted(touched)))
+    new = upsert(old, rows, key, check_unique=False)  # the commit asserts it
+    return wh.rewrite(
+        "raw", table, new, slot=key_slot(key, after), replaced=sorted(touched), key=key, notes={**(notes or {}), "slots": after}
+    )

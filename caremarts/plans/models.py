@@ -137,3 +137,18 @@ MART_NAMES = (
     "dim_hospital_patient",
     "dim_severity",
 )
+
+#: The tables of the warehouse that each published model reads, as ``layer/table``.
+MART_READS = {
+    "int_claims_enriched": ("raw/inpatient_claims", "raw/outpatient_claims", "raw/beneficiary"),
+    "fct_claims": ("marts/int_claims_enriched",),
+    "dim_beneficiary": ("raw/beneficiary",),
+    "dim_provider": ("raw/providers", "raw/inpatient_claims", "raw/outpatient_claims"),
+    "dim_provider_history": ("snapshots/snap_provider_fraud",),
+    "fct_encounters": ("raw/diabetes_encounters",),
+    "dim_patient": ("raw/diabetes_encounters",),
+    "dim_admission_type": (),
+    "fct_hospital_admissions": ("raw/hospital_admissions",),
+    "dim_hospital_patient": ("raw/hospital_admissions",),
+    "dim_severity": (),
+}

@@ -3,11 +3,14 @@
 Each micro-batch runs the same steps as a batch ingest: prepare, validate
 against the table contract, quarantine the rejects, upsert the valid rows by
 natural key, and bring the incremental facts fed by that table up to date (H1).
-``foreachBatch`` is at-least-once; the upsert makes a replayed epoch a no-op
-(same keys, same values, first-seen time kept), the facts skip keys they have,
-and the epoch's own quarantine partition is rewritten. That partition carries
-the stream's id, which lives in its checkpoint, so a stream with a new
-checkpoint never touches the rejects of another.
+``foreachBatch`` is at-least-once. The raw table's manifest keeps a ledger: the
+last epoch of each stream that was loaded, committed together with its rows. A
+replayed epoch that stands there is not read, validated or loaded again; only the
+facts are looked at, and those that were built from the present versions are left
+alone. An epoch that changed no row leaves no commit, and its replay finds that it
+changes none. Rejects go into the epoch's own quarantine partition, which a replay
+before the commit rewrites. The stream's id lives in its checkpoint, so a stream
+with a new checkpoint never touches the ledger or the rejects of another.
 
 Columns come from the header of the files in the folder, in their own order and
 spelling; a file with another header fails the stream instead of being read by
@@ -84,8 +87,7 @@ def micro_batch(
     contract = CONTRACTS[table]
     renames = SOURCE_RENAMES.get(table, {})
 
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        name = f"stream-{stream_id(wh, checkpoint)}-epoch-{epoch_id}"
+    def load(batch: DataFrame, name: str, epochs: dict[str, int]) -> None:
         rows = batch.withColumn(
             MALFORMED_COL, F.when(too_long(MALFORMED_COL, len(columns)), F.col(MALFORMED_COL))
         ).withColumn(POSITION_COLS[2], F.monotonically_increasing_id())
@@ -93,11 +95,18 @@ def micro_batch(
         v = validate(PREPARE[table](na_token_recode(rows)), contract)
         v = v.over(wh.stage(name, table, v.annotated))
         wh.quarantine(table, v.rejected, name, replay=True)
-        load_table(wh, table, stamp(v.valid, clock()), contract.key)
+        load_table(wh, table, stamp(v.valid, clock()), contract.key, notes={"epochs": epochs})
+        wh.drop_staging(name)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        stream = stream_id(wh, checkpoint)
+        known = wh.manifest("raw", table)
+        epochs = known.notes.get("epochs", {}) if known else {}
+        if epochs.get(stream, -1) < epoch_id:
+            load(batch, f"stream-{stream}-epoch-{epoch_id}", {**epochs, stream: epoch_id})
         facts = facts_of(wh, table)
         if facts:
             update_facts(wh, Models(wh.spark, raw_reader(wh)), facts)
-        wh.drop_staging(name)
 
     return run
 

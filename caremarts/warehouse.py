@@ -58,7 +58,14 @@ class SchemaChangeError(ValueError):
 class Manifest:
     version: int
     schema: T.StructType
-    parts: list[dict] = field(default_factory=list)  # {"path": relative, "slot": str, "columns": live ones as in its files}
+    #: of each: path (relative), slot, bytes, columns (live ones, as in its files)
+    parts: list[dict] = field(default_factory=list)
+    #: what writers keep with a table from version to version: ``slots``, ``built_from``, ``epochs``
+    notes: dict = field(default_factory=dict)
+
+    @property
+    def bytes(self) -> int:
+        return sum(p["bytes"] for p in self.parts)
 
     def within(self, slots=None) -> list[dict]:
         return [p for p in self.parts if slots is None or p["slot"] in slots]
@@ -114,6 +121,10 @@ class Warehouse:
         fs, p, _ = self._hadoop(path)
         return list(fs.listStatus(p)) if fs.exists(p) else []
 
+    def _bytes(self, path: str) -> int:
+        fs, p, _ = self._hadoop(path)
+        return int(fs.getContentSummary(p).getLength())
+
     def _read_text(self, path: str) -> str:
         fs, p, jvm = self._hadoop(path)
         stream = fs.open(p)
@@ -144,20 +155,30 @@ class Warehouse:
         spec = json.loads(self._read_text(f"{self.path(layer, table)}/commits/{v:012d}.json"))
         columns = [T.StructType.fromJson(c) for c in spec["columns"]]
         parts = [{**p, "columns": columns[p["columns"]]} for p in spec["parts"]]
-        return Manifest(v, T.StructType.fromJson(spec["schema"]), parts)
+        return Manifest(v, T.StructType.fromJson(spec["schema"]), parts, spec["notes"])
 
     def current_version(self, layer: str, table: str) -> int | None:
         known = self.versions(layer, table)
         return known[-1] if known else None
 
-    def _commit(self, layer: str, table: str, base: Manifest | None, schema: T.StructType, parts: list[dict]) -> int:
-        """Make ``parts`` the next version after ``base``; fails if that exists already."""
+    def _commit(
+        self, layer: str, table: str, base: Manifest | None, schema: T.StructType, parts: list[dict], notes: dict | None = None
+    ) -> int:
+        """Make ``parts`` the next version after ``base``; fails if that exists already.
+
+        ``notes`` replace those of the same names; the others go on from ``base``.
+        """
         version = (base.version if base else 0) + 1
         names, columns, listed = set(schema.fieldNames()), {}, []
         for p in parts:
             live = T.StructType([f for f in p["columns"] if f.name in names])
             listed.append({**p, "columns": columns.setdefault(live.json(), len(columns))})
-        spec = {"schema": schema.jsonValue(), "columns": [json.loads(c) for c in columns], "parts": listed}
+        spec = {
+            "schema": schema.jsonValue(),
+            "columns": [json.loads(c) for c in columns],
+            "parts": listed,
+            "notes": {**(base.notes if base else {}), **(notes or {})},
+        }
         folder = f"{self.path(layer, table)}/commits"
         fs, tmp, jvm = self._hadoop(f"{folder}/.{uuid.uuid4().hex}.tmp")
         out = fs.create(tmp, False)
@@ -186,7 +207,7 @@ class Warehouse:
             df.write.parquet(path)
             has_rows = not self.spark.read.schema(df.schema).parquet(path).isEmpty()
             if has_rows:
-                return [{"path": name, "slot": WHOLE, "columns": df.schema}]
+                return [{"path": name, "slot": WHOLE, "bytes": self._bytes(path), "columns": df.schema}]
         else:
             # rows of a slot lie together where they are few; AQE splits a large slot between tasks
             marked = df.withColumn(SLOT, slot.cast("string")).hint("rebalance", F.col(SLOT))
@@ -194,7 +215,8 @@ class Warehouse:
             found = [s.getPath().getName() for s in self._list(path) if s.isDirectory()]
             slots = sorted(n.split("=", 1)[1] for n in found if n.startswith(f"{SLOT}="))
             if slots:
-                return [{"path": f"{name}/{SLOT}={s}", "slot": s, "columns": df.schema} for s in slots]
+                sizes = {s: self._bytes(f"{path}/{SLOT}={s}") for s in slots}
+                return [{"path": f"{name}/{SLOT}={s}", "slot": s, "bytes": sizes[s], "columns": df.schema} for s in slots]
         self._delete(path)
         return []
 
@@ -257,17 +279,31 @@ class Warehouse:
         m = self.manifest(layer, table, version)
         return None if m is None else self._frame(layer, table, m.schema, m.within(slots))
 
+    def up_to_date(self, layer: str, table: str, inputs: dict) -> bool:
+        """Whether the table was last written from exactly these input versions (``built_from``)."""
+        m = self.manifest(layer, table)
+        return m is not None and m.notes.get("built_from") == inputs
+
     def publish(
-        self, layer: str, table: str, df: DataFrame, *, key: str | None = None, slot: Column | None = None
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        *,
+        key: str | None = None,
+        slot: Column | None = None,
+        notes: dict | None = None,
     ) -> int:
         """The table becomes ``df`` (K6, K7, K9); ``key`` must be unique in it."""
         base = self.manifest(layer, table)
         parts = self._write_part(layer, table, df, slot)
         if key:
             self._assert_unique(layer, table, df.schema, parts, key)
-        return self._commit(layer, table, base, df.schema, parts)
+        return self._commit(layer, table, base, df.schema, parts, notes)
 
-    def append(self, layer: str, table: str, df: DataFrame, *, key: str | None = None) -> int | None:
+    def append(
+        self, layer: str, table: str, df: DataFrame, *, key: str | None = None, notes: dict | None = None
+    ) -> int | None:
         """Add the rows of ``df`` (H1): old parts stay as they are.
 
         The table takes the schema of ``df`` (K10); where old values do not fit
@@ -282,10 +318,18 @@ class Warehouse:
             self._assert_unique(layer, table, df.schema, parts, key)
         if base is not None and not parts and same_columns(base.schema, df.schema):
             return None
-        return self._commit(layer, table, base, df.schema, (base.parts if base else []) + parts)
+        return self._commit(layer, table, base, df.schema, (base.parts if base else []) + parts, notes)
 
     def rewrite(
-        self, layer: str, table: str, df: DataFrame, *, slot: Column, replaced: list[str], key: str | None = None
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        *,
+        slot: Column,
+        replaced: list[str],
+        key: str | None = None,
+        notes: dict | None = None,
     ) -> int:
         """Replace the slots ``replaced`` by the rows of ``df``; rows of other slots are added to them.
 
@@ -297,7 +341,32 @@ class Warehouse:
         new = self._write_part(layer, table, df, slot)
         if key:
             self._assert_unique(layer, table, df.schema, new, key)
-        return self._commit(layer, table, base, df.schema, kept + new)
+        return self._commit(layer, table, base, df.schema, kept + new, notes)
+
+    def replace_rows(
+        self, layer: str, table: str, rows: DataFrame, key: str, *, slot: Column, notes: dict | None = None
+    ) -> int:
+        """Delete the rows that have a key of ``rows`` and insert those (H2).
+
+        Only parts that hold such a key are read beyond the key column and
+        written again, by ``slot``; the table takes the schema of ``rows``.
+        """
+        base = self.manifest(layer, table)
+        keys = rows.select(key)
+        of_part = F.regexp_extract(F.col("_metadata.file_path"), "/(parts/.*)/[^/]*$", 1)
+        path = self.path(layer, table)
+        held = []
+        for p in {p["columns"].json(): p["columns"] for p in base.parts}.values():
+            own = [f"{path}/{q['path']}" for q in base.parts if q["columns"] == p]
+            scan = self.spark.read.schema(p).parquet(*own).select(F.col(key), of_part.alias("part"))
+            held += [r["part"] for r in scan.join(keys, key, "left_semi").select("part").distinct().collect()]
+        hit = [p for p in base.parts if p["path"] in held]
+        kept = [p for p in base.parts if p["path"] not in held]
+        self._assert_castable(layer, table, rows.schema, base.parts)
+        stay = self._frame(layer, table, rows.schema, hit).join(keys, key, "left_anti") if hit else None
+        new = self._write_part(layer, table, rows if stay is None else stay.select(*rows.columns).union(rows), slot)
+        self._assert_unique(layer, table, rows.schema, new, key)
+        return self._commit(layer, table, base, rows.schema, kept + new, notes)
 
     def publish_empty(self, layer: str, table: str) -> int | None:
         """Empty the table, keeping its schema (K4's truncate, K5); writes no data."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from caremarts.operators import quality as Q
 from caremarts.plans.flow import FlowConfig, run_flow
+from caremarts.plans.models import MART_READS, Models
 from caremarts.warehouse import Warehouse
 
 
@@ -63,9 +64,14 @@ def test_flow_end_to_end_modes(spark, tmp_path):
     assert all(n > 0 for n in counts.values()) and len(counts) == 10
     assert first.summary["tests"]["total"] == 98
     # idempotent rerun: same marts, history unchanged
+    store = Warehouse(spark, wh)
+    tables = [*(("raw", t) for t in first.summary["ingestion"]), ("snapshots", "snap_provider_fraud"), *(("marts", n) for n in MART_READS)]
+    versions = {t: store.current_version(*t) for t in tables}
     cfg.batch_ts = dt.datetime(2024, 1, 2)
     again = run_flow(spark, cfg)
     assert again.summary["mart_row_counts"] == counts
+    assert again.summary["tests"] == first.summary["tests"] and again.summary["ingestion"] == first.summary["ingestion"]
+    assert {t: store.current_version(*t) for t in tables} == versions  # nothing moved, so nothing was written
     # ingest only, then transform only
     only_ingest = run_flow(spark, FlowConfig(warehouse=wh, source=SF_SMOKE, transform=False, batch_ts=dt.datetime(2024, 1, 3)))
     assert set(only_ingest.summary["ingestion"]) == {
@@ -87,6 +93,25 @@ def test_flow_fails_on_error_tests(spark, tmp_path):
         run_flow(spark, FlowConfig(warehouse=str(tmp_path / "w"), source=SF_SMOKE, batch_ts=dt.datetime(2024, 1, 1)))
 
 
+@pytest.mark.skipif(not os.path.exists(SF_SMOKE), reason="test data not present")
+def test_models_read_what_they_are_said_to_read(spark):
+    """A model is skipped where the tables it is said to read have not moved."""
+    from caremarts.plans.registry import context
+
+    ctx = context(spark, SF_SMOKE)
+    for name, said in MART_READS.items():
+        read = set()
+
+        def raw(table, read=read):
+            read.add(f"raw/{table}")
+            return ctx.raw(table)
+
+        getattr(Models(spark, raw, snapshot=ctx.models.snapshot), name)
+        if name == "fct_claims":  # reads the published int_claims_enriched
+            said = MART_READS["int_claims_enriched"]
+        assert read == {t for t in said if t.startswith("raw/")}, name
+
+
 def test_missing_csv_source_raises(spark, tmp_path):
     from caremarts.sources.csv import read_source
 

@@ -86,3 +86,33 @@ def test_stream_reads_by_header_and_updates_the_fact(spark, tmp_path, table, mak
     (src / "c.csv").write_text(lines_of([spelled(table, make(**{key: 4}))], sorted(columns)))
     with pytest.raises(Exception):  # another header in the folder is refused
         start_file_ingest(spark, table, str(src), root, checkpoint=ckpt, columns=tuple(columns)).awaitTermination()
+
+
+def test_an_epoch_that_is_replayed_is_not_loaded_again(spark, tmp_path, monkeypatch):
+    from caremarts.streaming import ingest
+
+    src, root, ckpt = tmp_path / "in", str(tmp_path / "wh"), str(tmp_path / "ckpt")
+    src.mkdir()
+    rows = [spelled("hospital_admissions", hospital_row(case_id=i)) for i in (1, 2)]
+    (src / "a.csv").write_text(lines_of(rows, sorted(rows[0])))
+    start = lambda: start_file_ingest(spark, "hospital_admissions", str(src), root, checkpoint=ckpt)
+    with monkeypatch.context() as m:
+
+        def dies(*args, **kw):
+            raise RuntimeError("between load and facts")
+
+        m.setattr(ingest, "update_facts", dies)
+        with pytest.raises(Exception, match="between load and facts"):
+            start().awaitTermination()
+    wh = Warehouse(spark, root)
+    loaded = wh.manifest("raw", "hospital_admissions")
+    assert len(loaded.notes["epochs"]) == 1 and not wh.exists("marts", "fct_hospital_admissions")
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "load_table", dies)  # the replay must not get there
+        start().awaitTermination()
+    assert wh.current_version("raw", "hospital_admissions") == loaded.version
+    assert wh.read("marts", "fct_hospital_admissions").count() == 2
+    version = wh.current_version("marts", "fct_hospital_admissions")
+    (src / "b.csv").write_text(lines_of(rows, sorted(rows[0])))  # the next epoch brings known rows only
+    start().awaitTermination()
+    assert wh.current_version("marts", "fct_hospital_admissions") == version

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caremarts.operators.incremental import incremental_append, sync_columns
 from caremarts.operators.scd2 import snapshot_table
-from caremarts.operators.upsert import load_table, replace_load
+from caremarts.operators.upsert import divided, key_slot, load_table, replace_load
 from caremarts.plans.flow import update_fact
 from caremarts.warehouse import ConcurrentCommit, DuplicateKeyError, SchemaChangeError, Warehouse
 
@@ -177,6 +177,68 @@ def test_upsert_rewrites_only_the_slots_of_the_batch(wh, spark):
         load_table(wh, "t", spark.createDataFrame([("a", 1, 2)], "id string, val int, new int"), "id", "replace")
 
 
+def test_slots_are_divided_as_the_table_grows(wh, spark):
+    rows = lambda a, b: spark.range(a, b).selectExpr("concat('k', id) as id", "md5(cast(id as string)) as val")
+    size = lambda p: p["bytes"]
+    load_table(wh, "t", rows(0, 1000), "id", slots=2, slot_bytes=30_000)
+    for n in range(1000, 20_000, 1000):  # 20-fold
+        before = {p["path"] for p in wh.manifest("raw", "t").parts}
+        load_table(wh, "t", rows(n, n + 1000), "id", slots=2, slot_bytes=30_000)
+        assert before != {p["path"] for p in wh.manifest("raw", "t").parts}
+    m = wh.manifest("raw", "t")
+    assert m.notes["slots"] > 10 and len({p["slot"] for p in m.parts}) == m.notes["slots"]
+    assert max(map(size, m.parts)) < 3 * 30_000
+    assert wh.read("raw", "t").distinct().count() == 20_000
+    # a row is found in the slot that its key says, and a small batch rewrites no other
+    where = {r.id: r.s for r in wh.read("raw", "t").select("id", key_slot("id", m.notes["slots"]).alias("s")).collect()}
+    for p in m.parts[:5]:
+        own = wh.read("raw", "t", slots=[p["slot"]]).select("id").collect()
+        assert own and {where[r.id] for r in own} == {p["slot"]}
+    load_table(wh, "t", spark.createDataFrame([("k5", "new")], "id string, val string"), "id", slot_bytes=30_000)
+    after = wh.manifest("raw", "t").parts
+    assert len([p for p in after if p["path"] not in {q["path"] for q in m.parts}]) <= 2
+
+
+def test_divided_slots_and_linear_hashing(spark):
+    keys = [f"k{i}" for i in range(500)]
+    df = spark.createDataFrame([(k,) for k in keys], "id string")
+    at = lambda n: {r.id: r.s for r in df.select("id", key_slot("id", n).alias("s")).collect()}
+    for old, new in [(1, 2), (5, 6), (5, 13), (16, 17), (3, 64)]:
+        a, b = at(old), at(new)
+        assert set(a.values()) <= {str(i) for i in range(old)} and set(b.values()) <= {str(i) for i in range(new)}
+        assert {a[k] for k in keys if a[k] != b[k]} <= divided(old, new)
+
+
+def test_a_batch_that_changes_nothing_commits_nothing(wh, spark):
+    schema = "id string, val double, ingested_at timestamp"
+    rows = lambda day, *extra: spark.createDataFrame(
+        [("a", float("nan"), dt.datetime(2024, 1, day)), ("b", None, dt.datetime(2024, 1, day)), *extra], schema
+    )
+    load_table(wh, "t", rows(1), "id")
+    assert load_table(wh, "t", rows(2), "id") == 1 == wh.current_version("raw", "t")
+    assert load_table(wh, "t", rows(3, ("c", 1.0, dt.datetime(2024, 1, 3))), "id") == 2
+    assert sorted(r.ingested_at.day for r in wh.read("raw", "t").collect()) == [1, 1, 3]
+    wh.publish("raw", "u", spark.createDataFrame([("x", 1)], "id string, v int"))  # not divided by a load
+    load_table(wh, "u", spark.createDataFrame([("y", 2)], "id string, v int"), "id")
+    assert values(wh, "raw", "u") == [("x", 1), ("y", 2)] and wh.manifest("raw", "u").notes["slots"] == 16
+
+
+def test_replace_rewrites_only_parts_that_hold_the_keys(wh, spark):
+    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "k int, v string")
+    slot = lambda: key_slot("k", 4)
+    wh.publish("marts", "f", rows(range(40), "a"), key="k", slot=slot(), notes={"slots": 4})
+    wh.append("marts", "f", rows([50, 51], "a"), key="k")
+    wh.append("marts", "f", rows([60], "a"), key="k")
+    before = wh.manifest("marts", "f").parts
+    wh.replace_rows("marts", "f", rows([3, 51, 70], "b"), "k", slot=slot())
+    after = wh.manifest("marts", "f").parts
+    assert len([p for p in before if p in after]) == len(before) - 2  # one slot and one appended part
+    want = {**{i: "a" for i in [*range(40), 50, 60]}, 3: "b", 51: "b", 70: "b"}
+    assert dict(values(wh)) == want
+    wh.replace_rows("marts", "f", spark.createDataFrame([(60, 1, 2)], "k int, v int, w int").selectExpr("k", "cast(v as string) v", "w"), "k", slot=slot())
+    assert {r.k: (r.v, r.w) for r in wh.read("marts", "f").collect()}[60] == ("1", 2)
+
+
 def test_replace_load_refuses_unknown_columns(spark):
     old = spark.createDataFrame([("a", 1)], "id string, v int")
     with pytest.raises(ValueError, match="extra"):
