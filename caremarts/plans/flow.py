@@ -29,7 +29,7 @@ from caremarts.operators import quality as Q
 from caremarts.operators.contracts import CONTRACTS, SOURCE_RENAMES
 from caremarts.operators.incremental import incremental_append
 from caremarts.operators.scd2 import snapshot_table
-from caremarts.operators.upsert import estimated_bytes, key_slot, load_table, slots_for
+from caremarts.operators.upsert import key_slot, load_table, slots_for
 from caremarts.operators.validate import Validation, validate
 from caremarts.plans import ingest
 from caremarts.plans import intermediate as I
@@ -200,7 +200,8 @@ def update_fact(
     target = wh.read("marts", name)
     if target is None or full_refresh:
         rows, _ = incremental_append(source, None, key, transform)
-        n = slots_for(estimated_bytes(rows), FACT_SLOT_BYTES, 1)
+        read = [wh.manifest(*t.split("/")) for t in MART_READS.get(name, ())]  # a fact is about as large as its inputs
+        n = slots_for(sum(m.bytes for m in read if m), FACT_SLOT_BYTES, 1)
         wh.publish("marts", name, rows, key=key, slot=key_slot(key, n), notes={**notes, "slots": n})
     elif on_match == "replace":
         slots = wh.manifest("marts", name).notes.get("slots", 1)
