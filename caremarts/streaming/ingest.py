@@ -12,9 +12,9 @@ changes none. Rejects go into the epoch's own quarantine partition, which a repl
 before the commit rewrites. The stream's id lives in its checkpoint, so a stream
 with a new checkpoint never touches the ledger or the rejects of another.
 
-Columns come from the header of the files in the folder, in their own order and
-spelling; a file with another header fails the stream instead of being read by
-position.
+Columns come from the header of the first file in the folder, in their own order
+and spelling; a file with another header fails the stream, in the task that reads
+it, instead of being read by position. Large files are split between tasks.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from caremarts.operators import prepare as P
@@ -36,14 +35,11 @@ from caremarts.plans.ingest import stamp
 from caremarts.plans.models import Models
 from caremarts.session import checkpoint_dir
 from caremarts.sources.csv import (
-    MALFORMED_COL,
-    POSITION_COLS,
-    csv_options,
+    csv_rows,
     header,
     matching_files,
     na_token_recode,
-    text_schema,
-    too_long,
+    text_lines,
 )
 from caremarts.warehouse import Warehouse
 
@@ -69,11 +65,11 @@ def facts_of(wh: Warehouse, table: str) -> list[str]:
 
 
 def folder_columns(spark: SparkSession, source_dir: str) -> tuple[str, ...]:
-    """The header that all files of a folder share."""
-    found = {header(spark, f) for f in matching_files(spark, source_dir)}
-    if len(found) != 1:
-        raise ValueError(f"{source_dir}: files have {len(found)} different headers" if found else f"no files in {source_dir}")
-    return found.pop()
+    """The header of the first file of a folder; the tasks hold the others against it."""
+    files = matching_files(spark, source_dir)
+    if not files:
+        raise ValueError(f"no files in {source_dir}")
+    return header(spark, min(files))
 
 
 def stream_id(wh: Warehouse, checkpoint: str) -> str:
@@ -88,10 +84,7 @@ def micro_batch(
     renames = SOURCE_RENAMES.get(table, {})
 
     def load(batch: DataFrame, name: str, epochs: dict[str, int]) -> None:
-        rows = batch.withColumn(
-            MALFORMED_COL, F.when(too_long(MALFORMED_COL, len(columns)), F.col(MALFORMED_COL))
-        ).withColumn(POSITION_COLS[2], F.monotonically_increasing_id())
-        rows = rows.withColumnsRenamed({old: new for old, new in renames.items() if old in columns})
+        rows = csv_rows(batch, columns, in_splits=True).withColumnsRenamed({old: new for old, new in renames.items() if old in columns})
         v = validate(PREPARE[table](na_token_recode(rows)), contract)
         v = v.over(wh.stage(name, table, v.annotated))
         wh.quarantine(table, v.rejected, name, replay=True)
@@ -131,12 +124,7 @@ def start_file_ingest(
     wh = Warehouse(spark, warehouse)
     location = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/caremarts-stream-{table}"
     names = tuple(columns or folder_columns(spark, source_dir))
-    source = csv_options(spark.readStream.schema(text_schema(names)), multi_line=True).csv(source_dir)
-    stream = source.select(
-        "*",
-        F.col("_metadata.file_path").alias(POSITION_COLS[0]),
-        F.col("_metadata.file_block_start").alias(POSITION_COLS[1]),
-    )
+    stream = text_lines(spark.readStream, source_dir)
     now = clock or (lambda: dt.datetime.now(dt.UTC).replace(tzinfo=None))
     writer = (
         stream.writeStream.foreachBatch(micro_batch(wh, table, now, location, names))
