@@ -10,7 +10,8 @@ lowest rank, and every merge costs one vector step for the whole block.
 
 Cases: null and empty texts have no ids and decode to the empty text; repeated
 rows and equal texts get equal results; an empty table gives an empty table;
-a column named like an output column is replaced. Invalid lone surrogates
+a column named like an output column is replaced; a very long text is worked on whole, by itself.
+Invalid lone surrogates
 cannot occur in Spark strings.
 """
 

@@ -13,7 +13,7 @@ no pairs.
 
 Cases: null and empty texts have no spans; repeated rows get equal results;
 rows with a null id are kept; an empty table gives an empty table; columns
-named like output columns are replaced.
+named like output columns are replaced; a very long text is worked on whole, by itself.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Comparing is by lower-cased text with line ends and tabs as spaces.
 Cases: null and empty texts match nothing; items that are null or shorter than
 ``LEAST_CHARS`` characters are left out, since ordinary sentences would match
 them; repeated items are each reported; repeated rows are each reported, null
-ids as null; an empty benchmark or an empty table gives an empty result.
+ids as null; an empty benchmark or an empty table gives an empty result; columns
+beyond the named are not read, and ``without_leaks`` passes them on; a very long text is worked on whole, by itself.
 """
 
 from __future__ import annotations

@@ -19,7 +19,7 @@ one space; blocks are joined by one line feed in page order.
 Cases: null and empty pages have an empty text; markup may be cut off anywhere
 (an unfinished tag is dropped, open elements end with the page); pages without
 any content word have an empty text; repeated rows get equal results; an empty
-table gives an empty table; columns named like output columns are replaced.
+table gives an empty table; columns named like output columns are replaced; a very long text is worked on whole, by itself.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ Cases: null and empty texts have the fingerprint of no terms (all zeros); two
 texts whose subsets are all empty are like each other if all their terms agree;
 equal texts have equal fingerprints; ids that repeat are ordered by text, null
 ids come last; one document alone is its own next document; an empty table
-gives an empty table; other columns are not returned.
+gives an empty table; other columns are not returned; a very long text is worked on whole, by itself.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ with the vocabulary is broadcast or collected.
 Cases: null and empty texts are one end token; rows that repeat are scored
 each; null ids count as the empty id text in the split; without any training
 document all counts are zero and every model probability is uniform; an empty
-table gives an empty table; other columns are not returned.
+table gives an empty table; other columns are not returned; of words that are
+equally frequent, those of smaller hashes get a class of their own; a very long text is worked on whole, by itself.
 """
 
 from __future__ import annotations

@@ -22,7 +22,7 @@ Cases: null and empty texts, and texts of white space only, have an empty set
 and link with nothing; rows with a null id link with nothing and are not kept
 (their component is null); rows that repeat an id and text share a component;
 several texts under one id count as one document with the links of each;
-an empty table gives an empty table; other columns are not returned.
+an empty table gives an empty table; other columns are not returned; a very long text is worked on whole, by itself.
 """
 
 from __future__ import annotations

@@ -356,4 +356,5 @@ def without_repeats(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
+        (F.coalesce("n_removed", F.lit(0)) > 0).alias("has_repeats"),
     )
