@@ -7,6 +7,7 @@ cluster it owns ``spark.checkpoint.dir``, shuffle sizing and memory.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark import SparkConf
@@ -89,7 +90,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (tests, a laptop) is ``fallback`` installed and returned.
+    (tests, a laptop) is ``fallback`` installed and returned. A cluster's
+    executors would not see such a folder, so there it is an error.
     """
     current = spark.sparkContext.getCheckpointDir() or spark.conf.get(
         "spark.checkpoint.dir", None
@@ -98,6 +100,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is unset and no fallback was given")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is unset: name a folder that all executors share")
     os.makedirs(fallback, exist_ok=True)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
