@@ -238,3 +238,36 @@ def test_hospital_null_bed_grade_passes_duplicate_pair_quarantined(spark):
     v = hospital_valid(spark, [hospital_row(bed_grade=None), hospital_row(case_id=9), hospital_row(case_id=9)])
     assert v.valid.count() == 1
     assert v.rejected.count() == 2
+
+
+@pytest.mark.parametrize("table", sorted(CONTRACTS))
+def test_no_generated_method_is_too_large_to_be_compiled(spark, tmp_path, table):
+    """The JVM does not compile methods of more than 8,000 bytes."""
+    columns = list(CONTRACTS[table].columns)
+    text_frame(spark, [dict.fromkeys(columns, "1")], columns).write.parquet(str(tmp_path / "t"))
+    v = validate(spark.read.parquet(str(tmp_path / "t")), CONTRACTS[table])
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else code is generated as stages run
+    try:
+        plan = v.valid._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        found, sizes = debug.codegenStringSeq(plan).iterator(), []
+        while found.hasNext():
+            sizes.append(found.next()._3().maxMethodCodeSize())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sizes and max(sizes) < 8000
+
+
+def test_counts_come_from_the_write(spark, tmp_path):
+    rows = [{"Provider": f"P{i}", "PotentialFraud": "Yes"} for i in (1, 2, 3, 4, 4)]
+    v = validate(text_frame(spark, rows), CONTRACTS["providers"])
+    v.annotated.write.parquet(str(tmp_path / "t"))
+    stored = v.over(spark.read.parquet(str(tmp_path / "t")))
+    spark.sparkContext.setJobGroup("counts", "counts")
+    try:
+        counts = stored.counts()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts")) == 0
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert counts == {"loaded": 3, "rejected": 2} == {"loaded": stored.valid.count(), "rejected": stored.rejected.count()}
