@@ -50,7 +50,7 @@ TOP = 2000
 NO_LANG = "und"
 LEAST_SHARES, TASK_SHARES = 1024, 16  # see ``word_shares``
 FILTER_BITS = 1 << 26  # of the filter of frequent phrases: 8 MiB
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 6 << 20
 RANK_SALTS = 256
 
 #: A part of a stripe: its words joined by spaces (the empty word stands for none), and their counts.
@@ -214,6 +214,8 @@ def merged_stripes(
                 stripes = local_stripes(words, piece, lang, length, known.value if known else None, shares)
                 if stripes is not None:
                     yield stripes
+                    del stripes
+            pa.default_memory_pool().release_unused()  # else a worker keeps what its largest shard took
 
     # parts of a stripe meet by (lang, prefix, segment); its counts are summed where they are
     met = texts.mapInArrow(run, STRIPE).repartition("lang", "prefix", "segment")
