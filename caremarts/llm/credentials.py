@@ -2,14 +2,16 @@
 
 A scan of each whole text yields strong spans (an assignment to a secret's
 name, an access identifier, a long hexadecimal run) and weak parts: short
-identifiers, key-like strings and endpoints. Weak parts alone are noise. An
+identifiers (named ones and e-mail addresses), key-like strings and endpoints
+(urls, named hosts and IPv4 addresses). Weak parts alone are noise. An
 interval join in Spark links parts of one text whose scopes (``SCOPE`` code
 points on either side) meet, and a weak part is reported only if a
 complementary part, a key beside an identifier or an endpoint, is in its scope.
 
-Parts are keyed by the text's hash, so copies of a text are joined once; a
-text's parts spread over (text, bin) keys; the join is a semi join and emits
-no pairs.
+Texts are scanned once, and the spans written. Parts are keyed by the text's
+hash, so copies of a text are joined once; a text's parts spread over (text,
+bin) keys; the join is a semi join and emits no pairs. Only rows whose text has
+weak parts meet the result in a join, copies of one text spread by a salt.
 
 Cases: null and empty texts have no spans; repeated rows get equal results;
 rows with a null id are kept; an empty table gives an empty table; columns
@@ -27,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import map_pieces, texts
+from caremarts.llm.common import map_pieces, quoted, texts, written
 
 SCOPE = 200  # code points on either side of a part
+SALTS = 16  # tasks over which the copies of one text are spread when they take their links
 
 # The strong kinds' patterns and least lengths.
 ASSIGN = re.compile(
@@ -45,11 +48,13 @@ WEAK_ID = re.compile(
     r"""\b(?:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""",
     re.IGNORECASE | re.ASCII,
 )
+WEAK_MAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+", re.ASCII)
 WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 WEAK_ENDPOINT = re.compile(
     r"""\b(?:[a-z][a-z0-9+.-]{1,9}://[^\s"'<>]+|(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]+(?::\d+)?)""",
     re.ASCII,
 )
+WEAK_ADDRESS = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])(?::[0-9]+)?")
 KINDS = ("assign", "access", "hex", "weak_id", "weak_key", "weak_endpoint")
 CLASS = {"assign": "key", "access": "id", "hex": "key", "weak_id": "id", "weak_key": "key", "weak_endpoint": "endpoint"}
 
@@ -71,6 +76,11 @@ def key_like(token: str) -> bool:
     return entropy >= 3.0 and (kinds == 3 or (kinds == 2 and bool(re.search("[0-9]", token)) and entropy >= 3.3))
 
 
+def address(found: str) -> bool:
+    """Whether four numbers can be an IPv4 address."""
+    return all(int(n) < 256 for n in found.split(":")[0].split("."))
+
+
 def strong_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the strong kinds, each leftmost and non-overlapping."""
     out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
@@ -86,7 +96,10 @@ def weak_parts(text: str, strong: list[tuple[int, int, int]]) -> list[tuple[int,
     if not keys and not any(CLASS[KINDS[k]] == "key" for _, k, _ in strong):
         return []
     found = keys + [(m.start(), 3, m.end()) for m in WEAK_ID.finditer(text)]
+    if "@" in text:
+        found += [(m.start(), 3, m.end()) for m in WEAK_MAIL.finditer(text)]
     found += [(m.start(), 5, m.end()) for m in WEAK_ENDPOINT.finditer(text)]
+    found += [(m.start(), 5, m.end()) for m in WEAK_ADDRESS.finditer(text) if address(m[0])]
     taken, out, at = sorted((s, e) for s, _, e in strong), [], 0
     for s, k, e in sorted(found):
         while at < len(taken) and taken[at][1] <= s:
@@ -155,18 +168,35 @@ def linked_parts(scanned: DataFrame) -> DataFrame:
     return found.groupBy("text_key").agg(F.collect_list(F.struct("start", "ord", "end")).alias("linked"))
 
 
+def with_links(scanned: DataFrame) -> DataFrame:
+    """Add ``linked`` to a written scan (``text_key``, ``strong``, ``weak`` and other columns)."""
+    found = linked_parts(scanned.select("text_key", "strong", "weak"))
+    found = found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    some = scanned.where(F.size("weak") > 0).withColumn("salt", F.spark_partition_id() % SALTS)
+    empty = F.array().cast(SPANS)
+    some = some.join(found, ["text_key", "salt"], "left").withColumn("linked", F.coalesce("linked", empty))
+    none = scanned.where(F.size("weak") == 0).withColumn("linked", empty)
+    return none.unionByName(some.drop("salt"))
+
+
+def packed_scan(df: DataFrame, column: str, keep_text: bool) -> DataFrame:
+    """The scan of ``df``, written: its other columns in the struct ``row`` by place."""
+    others = [c for c in df.columns if c != column]
+    row = F.struct(F.lit(0).alias("n"), *[quoted(c).alias(f"c{i}") for i, c in enumerate(others)])
+    rows = df.select(row.alias("row"), quoted(column).alias("text"))
+    rows = rows.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
+    scanned = scan(rows, "text")
+    return written(scanned if keep_text else scanned.drop("text"), "secret-spans")
+
+
 def find_secrets(df: DataFrame, column: str = "text") -> DataFrame:
     """Replace the text by ``strong``, ``linked`` and ``spans`` (both, by start, then kind)."""
-    scanned = scan(df.withColumn("text_key", F.md5(F.coalesce(F.col(column), F.lit("")))), column)
-    rows = scanned.drop(column)
-    linked = linked_parts(scanned.select("text_key", "strong", "weak"))
-    empty = F.array().cast(SPANS)
-    return (
-        rows.join(linked, "text_key", "left")
-        .withColumn("linked", F.coalesce("linked", empty))
-        .withColumn("spans", F.array_sort(F.concat("strong", "linked")))
-        .drop("text_key", "weak")
-    )
+    others = [c for c in df.columns if c != column]
+    rows = with_links(packed_scan(df, column, False))
+    added = ("strong", "linked", "spans")
+    rows = rows.withColumn("spans", F.array_sort(F.concat("strong", "linked")))
+    kept = [F.col(f"row.c{i}").alias(c) for i, c in enumerate(others) if c.lower() not in added]
+    return rows.select(*kept, *added)
 
 
 def spelled(column: str):
@@ -186,27 +216,22 @@ def redact(df: DataFrame, column: str = "text", mark: str = "[secret]") -> DataF
 
     Overlapping spans are replaced together. A null text stays null.
     """
-    key = F.md5(F.coalesce(F.col(column), F.lit("")))
-    scanned = scan(df.select(F.col(column)).withColumn("text_key", key), column)
-    linked = linked_parts(scanned.select("text_key", "strong", "weak"))
-    joined = df.withColumn("_text_key", key).join(
-        linked.select(F.col("text_key").alias("_text_key"), F.col("linked").alias("_linked")), "_text_key", "left"
-    )
+    others = [c for c in df.columns if c != column]
+    joined = with_links(packed_scan(df, column, True))
 
     def setup():
         def each(piece: pa.RecordBatch) -> list:
             out = []
-            for text, linked in zip(piece.column(column).to_pylist(), piece.column("_linked").to_pylist()):
-                if text:
-                    spans = strong_spans(text) + [(p["start"], p["ord"], p["end"]) for p in linked or ()]
-                    text = replaced(text, [(s, e) for s, _, e in spans], mark)
-                out.append(text)
+            spans = zip(piece.column("strong").to_pylist(), piece.column("linked").to_pylist())
+            for text, (strong, linked) in zip(piece.column("text").to_pylist(), spans):
+                out.append(text and replaced(text, [(p["start"], p["end"]) for p in strong + linked], mark))
             return [out]
 
         return each
 
-    done = map_pieces(joined, column, [df.schema[column]], setup)
-    return done.select(*df.columns)
+    done = map_pieces(joined, "text", [joined.schema["text"]], setup)
+    place = {c: F.col(f"row.c{i}").alias(c) for i, c in enumerate(others)}
+    return done.select(*[place[c] if c in place else F.col("text").alias(c) for c in df.columns])
 
 
 def replaced(text: str, spans: list[tuple[int, int]], mark: str) -> str:

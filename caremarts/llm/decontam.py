@@ -14,9 +14,13 @@ Items are broadcast in blocks of at most ``BLOCK_BYTES`` of text, one pass over
 the documents for each block, so no broadcast grows with the benchmark.
 Comparing is by lower-cased text with line ends and tabs as spaces.
 
-Cases: null and empty texts match nothing; items that are null or shorter than
-``LEAST_CHARS`` characters are left out, since ordinary sentences would match
-them; repeated items are each reported; repeated rows are each reported, null
+Items of fewer than ``SHORT`` characters must be met unchanged and between word
+bounds, since with edits ordinary sentences would match them. ``least_chars``
+says which short items are searched at all: none by default, all that hold a
+letter or digit with 1 (as the registered query and the pipeline ask).
+
+Cases: null and empty texts match nothing; items that are null, shorter than
+``least_chars`` or short without a letter or digit are left out; repeated items are each reported; repeated rows are each reported, null
 ids as null; an empty benchmark or an empty table gives an empty result; columns
 beyond the named are not read, and ``without_leaks`` passes them on; a very long text is worked on whole, by itself.
 """
@@ -34,7 +38,8 @@ from pyspark.sql import types as T
 from caremarts.llm.common import map_pieces, quoted, texts
 
 BUDGET = 0.1
-LEAST_CHARS = 30
+SHORT = 30  # items of fewer characters are met unchanged, between word bounds
+LEAST_CHARS = SHORT
 BLOCK_BYTES = 1 << 20
 
 MATCH = T.ArrayType(
@@ -117,13 +122,19 @@ def masks_of(pattern: str) -> dict[str, int]:
     return dict(out)
 
 
+def bounded(text: str, first: int, end: int) -> bool:
+    """Whether no word of ``text`` goes on over either end of a span."""
+    goes_on = lambda i: 0 < i < len(text) and text[i - 1].isalnum() and text[i].isalnum()
+    return not goes_on(first) and not goes_on(end)
+
+
 class ItemBlock:
     """The automaton over the pieces of a block of items, and what verifying needs."""
 
     def __init__(self, items: list[tuple[int, str]], share: float):
         self.ids = [i for i, _ in items]
         self.items = [t for _, t in items]
-        self.budget = [int(share * len(t)) for t in self.items]
+        self.budget = [int(share * len(t)) if len(t) >= SHORT else 0 for t in self.items]
         self.masks = [masks_of(t) for t in self.items]
         self.reverse = [masks_of(t[::-1]) for t in self.items]
         places: dict[str, list[tuple[int, int, list]]] = defaultdict(list)
@@ -149,6 +160,8 @@ class ItemBlock:
         for last, (size, where) in self.automaton.iter(text):
             for n, at, parts in where:
                 first = last + 1 - size
+                if len(self.items[n]) < SHORT and not bounded(text, first, first + size):
+                    continue
                 if first - at not in begin[n] and self._upheld(text, first, parts):
                     begin[n].add(first - at)
         out = []
@@ -192,11 +205,13 @@ class ItemBlock:
         return [(a, b) for a, b in out]
 
 
-def blocks_of(items: DataFrame, column: str, item_id: str) -> list[DataFrame]:
+def blocks_of(items: DataFrame, column: str, item_id: str, least_chars: int = LEAST_CHARS) -> list[DataFrame]:
     """The items in blocks of about ``BLOCK_BYTES`` of text, dealt by their hash."""
     usable = items.select(
         quoted(item_id).cast("long").alias("item_id"), quoted(column).alias("text")
-    ).where(F.length("text") >= LEAST_CHARS)
+    )
+    size = F.length("text")
+    usable = usable.where((size >= least_chars) & ((size >= SHORT) | F.col("text").rlike("[\\p{L}\\p{N}]")))
     size = usable.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // BLOCK_BYTES)
     if n <= 1:
@@ -204,10 +219,12 @@ def blocks_of(items: DataFrame, column: str, item_id: str) -> list[DataFrame]:
     return [usable.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(n)) == i) for i in range(n)]
 
 
-def shared_blocks(items: DataFrame, column: str = "text", item_id: str = "item_id") -> list:
+def shared_blocks(
+    items: DataFrame, column: str = "text", item_id: str = "item_id", least_chars: int = LEAST_CHARS
+) -> list:
     """Broadcasts of the items, block by block."""
     out = []
-    for block in blocks_of(items, column, item_id):
+    for block in blocks_of(items, column, item_id, least_chars):
         rows = sorted((r["item_id"] is None, r["item_id"] or 0, folded(r["text"])) for r in block.collect())
         listed = [(None if null else i, t) for null, i, t in rows]
         out.append(items.sparkSession.sparkContext.broadcast(listed))
@@ -224,13 +241,13 @@ def matched(df: DataFrame, shared, column: str = "text", budget: float = BUDGET)
     return map_pieces(df, column, [T.StructField("matches", MATCH)], setup)
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """A row for each document and item met in it: distance and span (code points)."""
     found = [
         matched(docs.select("doc_id", "text"), shared)
         .select("doc_id", F.explode("matches").alias("m"))
         .select("doc_id", "m.*")
-        for shared in shared_blocks(items)
+        for shared in shared_blocks(items, least_chars=least_chars)
     ]
     if not found:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, distance int, start int, end int")
@@ -240,9 +257,11 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, column: str = "text") -> DataFrame:
+def without_leaks(
+    docs: DataFrame, items: DataFrame, column: str = "text", least_chars: int = LEAST_CHARS
+) -> DataFrame:
     """The rows of ``docs`` in which no item is met."""
     columns = [quoted(c) for c in docs.columns]
-    for shared in shared_blocks(items):
+    for shared in shared_blocks(items, least_chars=least_chars):
         docs = matched(docs, shared, column).where(F.size("matches") == 0).select(*columns)
     return docs

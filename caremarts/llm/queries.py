@@ -63,7 +63,7 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from caremarts.llm.decontam import leaks
 
-    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_chars=1)
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

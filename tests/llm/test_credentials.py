@@ -57,6 +57,11 @@ def test_base_spans_as_the_contract_reads(spark):
         (f"https://host.example/x {KEY}", 2),
         ("login=bob99 password=hunter22", 1),  # the strong span complements the weak one
         (f"{'x ' * 95}user: alice01 {KEY}", 2),  # across a bin's edge
+        (f"write to ann.lee@mail.example.org with {KEY}", 2),  # an e-mail address identifies
+        ("ann.lee@mail.example.org at 10.0.0.7", 0),  # no key
+        (f"10.0.0.7:8080 {KEY}", 2),
+        (f"10.0.0.777 1.2.3.4.5 {KEY}", 0),  # neither is an address
+        ("ann@mail.example.org password=hunter22", 1),
         ("the thing was worth whatever anyone wanted", 0),
     ],
 )
@@ -74,6 +79,15 @@ def test_copies_are_linked_alike_and_redacted(spark):
     assert safe[0] == "before [secret] [secret] after [secret] end" and safe[2] == "clean words only" and safe[3] is None
 
 
+def test_copies_spread_over_salts_keep_their_columns(spark):
+    text = f"at 10.1.2.3 {KEY} end"
+    docs = frame(spark, [text] * 40 + ["clean"] * 10).selectExpr("*", "doc_id * 2 as Linked", "'x' as weak").repartition(7)
+    safe = S.redact(docs)
+    assert safe.columns == docs.columns
+    rows = {r.doc_id: (r.text, r.Linked, r.weak) for r in safe.collect()}
+    assert rows == {i: ("at [secret] [secret] end" if i < 40 else "clean", i * 2, "x") for i in range(50)}
+
+
 def test_overlapping_spans_are_replaced_together():
     assert S.replaced("abcdefgh", [(1, 4), (2, 6), (7, 8)], "#") == "a#g#"
 

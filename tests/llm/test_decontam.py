@@ -102,3 +102,26 @@ def test_parts_lose_no_match(monkeypatch):
     found = [key(block.matches(D.folded(t))) for t in texts]
     monkeypatch.setattr(D.ItemBlock, "_upheld", staticmethod(lambda *_: True))  # every hit is searched
     assert any(found) and found == [key(block.matches(D.folded(t))) for t in texts]
+
+
+def test_short_items_are_met_unchanged_between_word_bounds(spark):
+    items = [(1, "too short"), (2, "Was it?"), (3, "..."), (4, ""), (5, None), (6, "a" * 29), (7, "b" * 30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [
+        "it is Too\nshort, really",
+        "it is too shorty",
+        "stoodtoo short",
+        "into short too  short",
+        "what was it? this... too short",
+        "was itx was it",
+        "a" * 29,
+        "a" * 28 + "x",
+        "b" * 29 + "x",
+    ]
+    found = sorted((r.doc_id, r.item_id, r.distance, r.start, r.end) for r in D.leaks(frame(spark, texts), bench, 1).collect())
+    assert {f[:2] for f in found if f[1] < 7} == {(0, 1), (4, 1), (4, 2), (6, 6)}
+    assert all(d == 0 and D.folded(texts[i])[a:b] == D.folded(dict(items)[n]) for i, n, d, a, b in found if n < 7)
+    assert {f[0] for f in found if f[1] == 7} == {8}  # an item of 30 characters keeps its edits
+    kept = D.without_leaks(frame(spark, texts), bench, least_chars=1)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 5, 7]
+    assert {r.item_id for r in D.leaks(frame(spark, texts), bench).collect()} == {7}
