@@ -1,16 +1,26 @@
 """Language-model scores by a log-bilinear model with noise-contrastive estimation (operator 6).
 
 Every token of every training document is counted. The most frequent words are
-classes of their own, all others share one class inside which a word's
-probability follows its smoothed count. The log-bilinear model predicts the
-class of a token from the two before it: each context position maps the
+classes of their own, all others share one class. The log-bilinear model predicts
+the class of a token from the two before it: each context position maps the
 predecessor's vector by its own matrix, the sum meets every class vector in a
 batched matrix product, and a softmax over all classes normalises it. Text
 probability is the product over its tokens and its end.
 
+Inside the shared class, words sorted by frequency lie in blocks of ``BLOCK``. A
+block's probability is its words' share of the smoothed counts; in the block each
+word has a vector and a bias of its own, which the predicted vector meets in a
+product over the block that a softmax normalises. So the vocabulary that has
+vectors grows with the corpus, up to ``KNOWN`` words (a bound on what is
+broadcast); words beyond keep the share of their smoothed counts.
+
 Training covers all training documents: each partition takes one pass over its
 own with noise-contrastive estimation (noise shared in a batch, drawn from the
 unigram counts), and the partitions' parameters are averaged, weighted by tokens.
+The parameters thus depend on how the input is partitioned. Then the tokens of each
+block are shuffled to it, with the two classes before them, and its vectors take one
+pass over them; a block of more than about ``SHARE`` tokens is learned in several
+tasks and averaged likewise.
 
 Counts of the most frequent words (``KNOWN`` at most) are broadcast; the
 tokens beyond them meet their counts in a shuffle join, so nothing that grows
@@ -26,6 +36,7 @@ equally frequent, those of smaller hashes get a class of their own; a very long
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +50,10 @@ KNOWN = 1 << 19  # words whose counts are broadcast, at most: 8 MiB
 DIM = 16
 NOISE = 96
 BATCH = 1536
+BLOCK = 256  # words of the shared class that are normalised together, at most 256
+BLOCK_NOISE = 32
+BLOCK_RATE = 0.1
+SHARE = 1 << 22  # training tokens of a block in one task, about
 RATE = 0.12
 RARE, END = 0, 1
 END_HASH = np.uint64(0xE2D0000000000001)
@@ -94,16 +109,26 @@ class Counts:
         self.class_count[RARE] = total - int(self.counts[own].sum())
         self.rare_distinct = distinct - int(own.sum())
         self.used = 2 + len(top)
-
-    def look(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count (-1: not among the most frequent) and class of each token hash."""
+        shared = np.flatnonzero(self.class_of[:-1] == RARE)
+        shared = shared[np.lexsort((self.tokens[shared], -self.counts[shared]))]
+        self.rank_of = np.full(len(self.tokens) + 1, -1, np.int64)
+        self.rank_of[shared] = np.arange(len(shared))
+        self.smoothed = self.counts[shared] + 1.0  # by rank
+        self.block = BLOCK
+        first = np.arange(0, len(shared), self.block)
+        self.block_mass = np.add.reduceat(self.smoothed, first) if len(first) else np.zeros(0)
+        self.blocks = len(first)
+        self.shares = np.ceil(self.block_mass / SHARE).astype(np.int64)  # tasks that learn a block
+
+    def look(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Count (-1: not among the most frequent), class, and rank in the shared class (-1: none) of each hash."""
         at = np.searchsorted(self.tokens, values)
         inside = np.minimum(at, max(0, len(self.tokens) - 1))
         hit = self.tokens[inside] == values if len(self.tokens) else np.zeros(len(values), bool)
         count = np.where(hit, self.counts[inside] if len(self.tokens) else 0, -1)
         kind = np.where(hit, self.class_of[inside], RARE)
         kind[values == END_HASH] = END
-        return count, kind
+        return count, kind, np.where(hit, self.rank_of[inside], -1)
 
 
 def fitted_counts(counted: DataFrame) -> Counts:
@@ -258,27 +283,191 @@ def fit(df: DataFrame, counts: Counts, column: str = "text") -> LogBilinear:
     return model
 
 
+class BlockWords:
+    """Vectors and biases of the words of the shared class, by rank."""
+
+    def __init__(self, counts: Counts):
+        n, self.block = len(counts.smoothed), counts.block
+        self.target = np.zeros((n, DIM), np.float16)
+        self.bias = np.log(counts.smoothed / np.repeat(counts.block_mass, self.block)[:n]).astype(np.float32)
+
+    def log_shares(self, block: int, hat: np.ndarray) -> np.ndarray:
+        """Log-probability of each word of a block, given it, for each predicted vector."""
+        own = slice(block * self.block, (block + 1) * self.block)
+        score = hat @ self.target[own].astype(np.float32).T + self.bias[own]
+        score -= score.max(1)[:, None]
+        return score - np.log(np.exp(score).sum(1))[:, None]
+
+    def log_words(self, ranks: np.ndarray, hat: np.ndarray) -> np.ndarray:
+        """Log-probability of each word, given its block; ``hat`` has a predicted vector for each."""
+        out = np.empty(len(ranks), np.float64)
+        order = np.argsort(ranks, kind="stable")
+        blocks, first = np.unique(ranks[order] // self.block, return_index=True)
+        for block, part in zip(blocks.tolist(), np.split(order, first[1:])):
+            for at in range(0, len(part), 1 << 14):
+                own = part[at : at + (1 << 14)]
+                out[own] = self.log_shares(block, hat[own])[np.arange(len(own)), ranks[own] % self.block]
+        return out
+
+
+class BlockTrainer:
+    """One pass of noise-contrastive estimation with Adagrad over the tokens of one block.
+
+    The predicted vectors stand; the words' vectors begin at zero and their
+    biases at the smoothed counts, so a word that is hardly met keeps its share.
+    """
+
+    def __init__(self, bias: np.ndarray):
+        n = len(bias)
+        self.bias, self.target = bias.copy(), np.zeros((n, DIM), np.float32)
+        self.memory = np.ones((n, DIM + 1), np.float32)
+        self.edges = np.cumsum(np.exp(bias.astype(np.float64)))
+        self.log_noise = bias + np.float32(math.log(BLOCK_NOISE))
+        self.rng, self.tokens = np.random.default_rng(n), 0
+
+    def step(self, place: np.ndarray, hat: np.ndarray) -> None:
+        self.tokens += len(place)
+        noise = np.minimum(np.searchsorted(self.edges, self.rng.random(BLOCK_NOISE)), len(self.bias) - 1)
+        shifted = self.bias - self.log_noise
+        real = np.einsum("bd,bd->b", hat, self.target[place]) + shifted[place]
+        fake = hat @ self.target[noise].T + shifted[noise]
+        g_real = -1 / (1 + np.exp(np.clip(real, -30, 30)))
+        g_fake = 1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+        pull = np.zeros((len(self.bias), len(place)), np.float32)  # what each token does to each word
+        pull[place, np.arange(len(place))] = g_real
+        np.add.at(pull, noise, g_fake.T.astype(np.float32))
+        grad = np.concatenate([pull @ hat, pull.sum(1)[:, None]], 1)
+        self.memory += grad**2
+        move = BLOCK_RATE * grad / np.sqrt(self.memory)
+        self.target -= move[:, :DIM]
+        self.bias -= move[:, DIM]
+
+    def packed(self) -> np.ndarray:
+        return np.concatenate([self.target, self.bias[:, None]], 1).ravel()
+
+
+def block_tokens(df: DataFrame, counts: Counts, column: str = "text") -> DataFrame:
+    """The training tokens of the shared class: a row for each block and piece of the texts.
+
+    ``place`` holds a byte for each token, its word's place in the block, ``pair``
+    four bytes, the classes before it. ``share`` spreads a block over tasks.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches):
+        counts = shared.value
+        k, size = counts.used, counts.block
+        for batch in batches:
+            for piece in pieces(batch, column, 8 << 20):
+                flat, ends, values = hashed_tokens(piece.column(column))
+                _, kind, rank = counts.look(values)
+                one, two = contexts(kind[flat], ends)
+                ranks = rank[flat]
+                at = np.flatnonzero(ranks >= 0)
+                at = at[np.argsort(ranks[at] // size, kind="stable")]
+                blocks, first = np.unique(ranks[at] // size, return_index=True)
+                place = (ranks[at] % size).astype(np.uint8)
+                pair = (one[at] * k + two[at]).astype(np.int32)
+                cut = lambda a: [x.tobytes() for x in np.split(a, first[1:])][: len(blocks)]
+                places, pairs = cut(place), cut(pair)
+                share = [zlib.crc32(p) % int(counts.shares[b]) for b, p in zip(blocks, pairs)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(blocks, pa.int32()), pa.array(share, pa.int32()), pa.array(places, pa.binary()), pa.array(pairs, pa.binary())],
+                    names=["block", "share", "place", "pair"],
+                )
+
+    return df.select(column).mapInArrow(run, "block int, share int, place binary, pair binary")
+
+
+def fit_blocks(df: DataFrame, counts: Counts, model: LogBilinear, column: str = "text") -> BlockWords:
+    """The vectors and biases of the shared class, each block trained on all of its tokens."""
+    words = BlockWords(counts)
+    if not counts.blocks:
+        return words
+    shared = df.sparkSession.sparkContext.broadcast((counts, model, words.bias))
+
+    def train(batches):
+        counts, model, bias = shared.value
+        k, size, key, trainer = counts.used, counts.block, None, None
+
+        def done():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "block": pa.array([key[0]], pa.int32()),
+                    "tokens": pa.array([trainer.tokens], pa.int64()),
+                    "value": pa.array([trainer.packed().astype(np.float32).tobytes()], pa.binary()),
+                }
+            )
+
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            for block, share, place, pair in rows:
+                if key != (block, share):
+                    if trainer is not None:
+                        yield from done()
+                    key = (block, share)
+                    trainer = BlockTrainer(bias[block * size : (block + 1) * size])
+                place, pair = np.frombuffer(place, np.uint8), np.frombuffer(pair, np.int32)
+                for at in range(0, len(place), BATCH):
+                    own = pair[at : at + BATCH]
+                    trainer.step(place[at : at + BATCH], model.predicted(own // k, own % k))
+        if trainer is not None:
+            yield from done()
+
+    def averaged(batches):
+        total: dict[int, list] = {}
+        for batch in batches:
+            for block, tokens, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                held = total.setdefault(block, [0, 0.0])
+                held[0] += tokens
+                held[1] = held[1] + tokens * np.frombuffer(value, np.float32).astype(np.float64)
+        for block, (tokens, value) in total.items():
+            value = (value / tokens).reshape(-1, DIM + 1)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "block": pa.array([block], pa.int32()),
+                    "target": pa.array([value[:, :DIM].astype(np.float16).tobytes()], pa.binary()),
+                    "bias": pa.array([value[:, DIM].astype(np.float32).tobytes()], pa.binary()),
+                }
+            )
+
+    rows = (
+        block_tokens(df, counts, column)
+        .repartition("block", "share")
+        .sortWithinPartitions("block", "share", "pair")
+        .mapInArrow(train, "block int, tokens long, value binary")
+        .repartition("block")
+        .mapInArrow(averaged, "block int, target binary, bias binary")
+        .toArrow()  # KNOWN words at most, 36 bytes each
+    )
+    for block, target, bias in zip(*(rows.column(i).to_pylist() for i in range(3))):
+        own = slice(block * words.block, (block + 1) * words.block)
+        words.target[own] = np.frombuffer(target, np.float16).reshape(-1, DIM)
+        words.bias[own] = np.frombuffer(bias, np.float32)
+    return words
+
+
 PARTS = (
     "row_key long, doc_id long, held_out boolean, n_tokens long, n_known long, "
     "log_known double, log_class double, n_rare long, log_rare double, open array<long>, times array<int>"
 )
 
 
-def scored_parts(df: DataFrame, counts: Counts, model: LogBilinear) -> DataFrame:
+def scored_parts(df: DataFrame, counts: Counts, model: LogBilinear, words: BlockWords) -> DataFrame:
     """What each text's scores need, but for the counts of its tokens beyond the broadcast ones.
 
     ``open`` lists those tokens and ``times`` how often each occurs.
     """
-    shared = df.sparkSession.sparkContext.broadcast((counts, model))
+    shared = df.sparkSession.sparkContext.broadcast((counts, model, words))
 
     def run(batches):
-        counts, model = shared.value
+        counts, model, words = shared.value
         k = counts.used
         log_z = np.full(k * k, np.nan, np.float32)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 flat, ends, values = hashed_tokens(piece.column("text"))
-                count, kind = counts.look(values)
+                count, kind, rank = counts.look(values)
                 if not counts.distinct:
                     count[:] = 0
                 n, kinds = count[flat], kind[flat]
@@ -295,6 +484,11 @@ def scored_parts(df: DataFrame, counts: Counts, model: LogBilinear) -> DataFrame
                 score = (score + model.bias[kinds] - log_z[pair]) / math.log(10)
                 logs = np.log10(np.maximum(n, 0) + 1.0)
                 rare, starts = kinds == RARE, ends[:-1]
+                inside = np.where(rare, logs, 0.0)
+                own = np.flatnonzero(rank[flat] >= 0)
+                ranks = rank[flat[own]]
+                shares = words.log_words(ranks, hat[back[own]]) / math.log(10)
+                inside[own] = shares + np.log10(counts.block_mass[ranks // counts.block])
                 add = lambda x: np.add.reduceat(x, starts)
                 owner = np.repeat(np.arange(len(starts)), np.diff(ends))
                 left = np.flatnonzero(n < 0)
@@ -311,7 +505,7 @@ def scored_parts(df: DataFrame, counts: Counts, model: LogBilinear) -> DataFrame
                         pa.array(add(logs)),
                         pa.array(add(score)),
                         pa.array(add(rare.astype(np.int64))),
-                        pa.array(add(np.where(rare, logs, 0.0))),
+                        pa.array(add(inside)),
                         item(values[pairs % len(values)].view(np.int64), pa.int64()),
                         item(times.astype(np.int32), pa.int32()),
                     ],
@@ -324,11 +518,21 @@ def scored_parts(df: DataFrame, counts: Counts, model: LogBilinear) -> DataFrame
 def score_texts(df: DataFrame, training: str) -> DataFrame:
     """Score every text of ``df`` (``doc_id``, ``text``); rows where ``training`` holds teach."""
     rows = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("held_out", ~F.expr(training))
-    learn = rows.where("not held_out")
+    return scored(rows, *taught(rows.where("not held_out")))
+
+
+def taught(learn: DataFrame) -> tuple[DataFrame, Counts, LogBilinear, BlockWords]:
+    """What the texts of ``learn`` teach: all counts (written), the most frequent ones, and the model's two levels."""
     counted = written(token_counts(learn), "lm-counts")
     counts = fitted_counts(counted)
     model = fit(learn, counts)
-    parts = written(scored_parts(rows.withColumn("row_key", F.monotonically_increasing_id()), counts, model), "lm-parts")
+    return counted, counts, model, fit_blocks(learn, counts, model)
+
+
+def scored(rows: DataFrame, counted: DataFrame, counts: Counts, model: LogBilinear, words: BlockWords) -> DataFrame:
+    """Score ``rows`` (``doc_id``, ``text``, ``held_out``) by what was taught."""
+    keyed = rows.withColumn("row_key", F.monotonically_increasing_id())
+    parts = written(scored_parts(keyed, counts, model, words), "lm-parts")
     waiting = parts.select("row_key", F.explode(F.arrays_zip("open", "times")).alias("t")).select(
         "row_key", F.col("t.open").alias("token"), F.col("t.times").alias("times")
     )

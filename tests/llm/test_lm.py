@@ -82,3 +82,54 @@ def test_odd_rows_empty_table_and_no_training(spark):
     assert L.lm_scores(docs.limit(0)).count() == 0
     untaught = L.score_texts(docs, "false").collect()
     assert {r.train_tokens for r in untaught} == {0} and {r.n_known for r in untaught} == {0}
+
+
+def test_scores_recomputed_token_by_token(spark, monkeypatch):
+    monkeypatch.setattr(L, "CLASSES", 20)  # most words share a class, in several blocks
+    monkeypatch.setattr(L, "BLOCK", 16)
+    texts = corpus(120)
+    rows = frame(spark, texts).selectExpr("doc_id", "coalesce(text, '') as text", "doc_id % 5 = 0 as held_out")
+    counted, counts, model, shared = L.taught(rows.where("not held_out"))
+    assert counts.blocks > 10 and np.abs(shared.target).max() > 0
+    seen = Counter(w for i, t in enumerate(texts) if i % 5 for w in [*words(t), None])
+    hashes = {w: L.END_HASH if w is None else int(L.hash_words(L.pa.array([w]))[0]) for t in texts for w in [*words(t), None]}
+    at = {int(v): i for i, v in enumerate(counts.tokens)}
+
+    def kind(w):
+        return L.END if w is None else int(counts.class_of[at[hashes[w]]]) if hashes[w] in at else L.RARE
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    rare_total = counts.class_count[L.RARE] + counts.rare_distinct + 1
+    got = {r.doc_id: r.score for r in L.scored(rows, counted, counts, model, shared).collect()}
+    for i, text in enumerate(texts):
+        one = two = L.END
+        want = 0.0
+        for w in [*words(text), None]:
+            hat = model.context[one] @ model.maps[0] + model.context[two] @ model.maps[1]
+            k = kind(w)
+            p = softmax(model.target @ hat + model.bias)[k]
+            if k == L.RARE and seen[w]:
+                rank = int(counts.rank_of[at[hashes[w]]])
+                own = slice(rank // L.BLOCK * L.BLOCK, (rank // L.BLOCK + 1) * L.BLOCK)
+                inside = softmax(shared.target[own].astype(np.float32) @ hat + shared.bias[own])[rank % L.BLOCK]
+                p *= inside * counts.smoothed[own].sum() / rare_total
+            elif k == L.RARE:
+                p /= rare_total
+            want += math.log10(p)
+            one, two = k, one
+        assert math.isclose(got[i], want, rel_tol=1e-4, abs_tol=1e-3), i
+    # the shared class: its words' shares, and one for the unseen, sum to one
+    assert math.isclose(counts.block_mass.sum() + 1, rare_total)
+
+
+def test_blocks_learned_in_several_tasks_help_on_held_out_texts(spark, monkeypatch):
+    monkeypatch.setattr(L, "CLASSES", 34)  # half of the words that follow by a rule share a class
+    monkeypatch.setattr(L, "SHARE", 2000)
+    rows = frame(spark, corpus()).selectExpr("doc_id", "coalesce(text, '') as text", "doc_id % 5 = 0 as held_out").repartition(6, "doc_id")
+    counted, counts, model, shared = L.taught(rows.where("not held_out"))
+    assert counts.block_mass.max() > 2 * L.SHARE
+    mean = lambda w: L.scored(rows, counted, counts, model, w).where("held_out").selectExpr("sum(score) / sum(n_tokens)").first()[0]
+    assert mean(shared) > mean(L.BlockWords(counts))  # those by the counts alone
