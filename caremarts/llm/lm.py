@@ -291,22 +291,29 @@ class BlockWords:
         self.target = np.zeros((n, DIM), np.float16)
         self.bias = np.log(counts.smoothed / np.repeat(counts.block_mass, self.block)[:n]).astype(np.float32)
 
-    def log_shares(self, block: int, hat: np.ndarray) -> np.ndarray:
-        """Log-probability of each word of a block, given it, for each predicted vector."""
-        own = slice(block * self.block, (block + 1) * self.block)
-        score = hat @ self.target[own].astype(np.float32).T + self.bias[own]
-        score -= score.max(1)[:, None]
-        return score - np.log(np.exp(score).sum(1))[:, None]
-
-    def log_words(self, ranks: np.ndarray, hat: np.ndarray) -> np.ndarray:
-        """Log-probability of each word, given its block; ``hat`` has a predicted vector for each."""
+    def log_words(self, ranks: np.ndarray, pair: np.ndarray, hat: np.ndarray) -> np.ndarray:
+        """Log-probability of each word, given its block; ``pair`` is its row of ``hat``.
+
+        A block meets each of its contexts once.
+        """
         out = np.empty(len(ranks), np.float64)
-        order = np.argsort(ranks, kind="stable")
+        order = np.lexsort((pair, ranks // self.block))
         blocks, first = np.unique(ranks[order] // self.block, return_index=True)
-        for block, part in zip(blocks.tolist(), np.split(order, first[1:])):
-            for at in range(0, len(part), 1 << 14):
-                own = part[at : at + (1 << 14)]
-                out[own] = self.log_shares(block, hat[own])[np.arange(len(own)), ranks[own] % self.block]
+        ends = [*first[1:].tolist(), len(order)]
+        pairs, places = pair[order], ranks[order] % self.block
+        for block, lo, end in zip(blocks.tolist(), first.tolist(), ends):
+            rows = slice(block * self.block, (block + 1) * self.block)
+            target, bias = self.target[rows].astype(np.float32).T, self.bias[rows]
+            for at in range(lo, end, 1 << 14):
+                own = slice(at, min(end, at + (1 << 14)))
+                new = np.ones(own.stop - at, bool)
+                np.not_equal(pairs[at + 1 : own.stop], pairs[at : own.stop - 1], out=new[1:])
+                context = np.cumsum(new) - 1
+                score = hat[pairs[own][new]] @ target
+                score += bias
+                score -= score.max(1)[:, None]
+                goal = score[context, places[own]]
+                out[order[own]] = goal - np.log(np.exp(score, out=score).sum(1))[context]
         return out
 
 
@@ -487,7 +494,7 @@ def scored_parts(df: DataFrame, counts: Counts, model: LogBilinear, words: Block
                 inside = np.where(rare, logs, 0.0)
                 own = np.flatnonzero(rank[flat] >= 0)
                 ranks = rank[flat[own]]
-                shares = words.log_words(ranks, hat[back[own]]) / math.log(10)
+                shares = words.log_words(ranks, back[own], hat) / math.log(10)
                 inside[own] = shares + np.log10(counts.block_mass[ranks // counts.block])
                 add = lambda x: np.add.reduceat(x, starts)
                 owner = np.repeat(np.arange(len(starts)), np.diff(ends))
