@@ -396,8 +396,15 @@ def fit_blocks(df: DataFrame, counts: Counts, model: LogBilinear, column: str =
     def train(batches):
         counts, model, bias = shared.value
         k, size, key, trainer = counts.used, counts.block, None, None
+        none = held = np.zeros(0, np.uint8), np.zeros(0, np.int32)  # tokens short of a batch
+
+        def learn(place, pair):
+            for at in range(0, len(place), BATCH):
+                own = pair[at : at + BATCH]
+                trainer.step(place[at : at + BATCH], model.predicted(own // k, own % k))
 
         def done():
+            learn(*held)
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([key[0]], pa.int32()),
@@ -413,11 +420,13 @@ def fit_blocks(df: DataFrame, counts: Counts, model: LogBilinear, column: str =
                     if trainer is not None:
                         yield from done()
                     key = (block, share)
-                    trainer = BlockTrainer(bias[block * size : (block + 1) * size])
-                place, pair = np.frombuffer(place, np.uint8), np.frombuffer(pair, np.int32)
-                for at in range(0, len(place), BATCH):
-                    own = pair[at : at + BATCH]
-                    trainer.step(place[at : at + BATCH], model.predicted(own // k, own % k))
+                    trainer, held = BlockTrainer(bias[block * size : (block + 1) * size]), none
+                more = np.frombuffer(place, np.uint8), np.frombuffer(pair, np.int32)
+                held = tuple(np.concatenate(x) for x in zip(held, more))
+                full = len(held[0]) // BATCH * BATCH
+                if full:
+                    learn(held[0][:full], held[1][:full])
+                    held = held[0][full:], held[1][full:]
         if trainer is not None:
             yield from done()
 
