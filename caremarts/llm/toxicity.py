@@ -2,11 +2,16 @@
 
 Words become sums of hashed embeddings (the word and its leading letters);
 filters of several widths slide over them, each filter keeps its maximum over
-the whole text, and a linear layer gives the logit. Training draws a sample of
-labelled rows bounded by ``TRAIN_TOXIC`` and ``TRAIN_CLEAN`` (texts are used
-whole), runs in one task on that sample, and corrects the logit for the
-sample's class balance. A part of the sample is held back to calibrate, for
-each language, the threshold from which a text is rejected.
+the whole text, and a linear layer gives the logit. Every labelled row is used:
+a fifth, drawn by a hash of the id, is held back to calibrate, for each
+language, the threshold from which a text is rejected, and all others teach.
+Training begins with some rows of both classes (about ``FIRST_TOXIC`` and
+``FIRST_CLEAN``; with fewer labels, all) in one task, passes over them a few
+times and corrects the logit for their class balance. The rows that are left
+then teach in ``ROUNDS`` rounds, each row in one of them: the tasks of a round
+go on from the same weights, each over its own rows, and a weight's new value
+is the mean of the tasks' values by the texts that moved it. Texts are used
+whole; what tasks return has the size of the weights.
 
 Scoring broadcasts the model, whose size is fixed by its parameters, and maps
 all texts. Scores depend on the text alone; the language only picks the
@@ -23,7 +28,7 @@ from __future__ import annotations
 
 import io
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import coded_words, crc_mod, map_pieces, mixed, quoted
+from caremarts.llm.common import coded_words, crc_mod, map_pieces, mixed, pieces, quoted
 
-TRAIN_TOXIC = 2000  # labelled rows of either class in the training sample, about
-TRAIN_CLEAN = 3000
+FIRST_TOXIC = 2000  # labelled rows of either class that teach first, in one task, about
+FIRST_CLEAN = 3000
+ROUNDS = 2  # in which the other rows teach, in many tasks
+TASK_ROWS = 1 << 14  # that teach in one task: it returns 5 MB of weights, however many rows it reads
+HELD = 5  # one of so many labelled rows calibrates
+GRID = 1 << 12  # thresholds are multiples of its inverse
 BUCKETS = 1 << 16
 DIM = 8
 WIDTHS = (1, 2, 3)
@@ -173,23 +182,66 @@ class TextCnn:
         )
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> TextCnn:
-    """Fit the classifier by Adagrad on the maxima's positions."""
-    net, rng = TextCnn.fresh(seed), np.random.default_rng(seed)
-    offsets, codes, words = coded_words(pa.array(texts))
-    features = word_features(words)
-    # a bucket that fewer than LEAST_DOCS texts share can only be learned by heart: it stays zero
-    holders = np.zeros(BUCKETS, np.int64)
-    for d in range(len(texts)):
-        holders[np.unique(features[np.unique(codes[offsets[d] : offsets[d + 1]])])] += 1
-    alive = holders >= LEAST_DOCS
-    net.table[~alive] = 0
-    params = [net.table, *net.convs, net.shift, net.dense]
-    memory = [np.full(p.shape, 1e-3, np.float32) for p in params]
-    bias_memory = 1e-3
-    epochs = int(np.clip(STEPS * BATCH / max(1, len(texts)), *EPOCHS))
-    for epoch in range(epochs):
-        order, rate = rng.permutation(len(texts)), RATE / (1 + 1.8 * epoch / epochs)
+class Learner:
+    """Adagrad on the maxima's positions.
+
+    ``holders`` counts the texts of each bucket: one that fewer than LEAST_DOCS
+    texts share can only be learned by heart, so it stays zero.
+    """
+
+    def __init__(self, net: TextCnn, memory: np.ndarray | None = None, holders: np.ndarray | None = None):
+        self.net = replace(net, table=net.table.copy(), convs=[c.copy() for c in net.convs], shift=net.shift.copy(), dense=net.dense.copy())
+        self.holders = np.zeros(BUCKETS, np.int64) if holders is None else holders.copy()
+        self.memory = [np.full(p.shape, 1e-3, np.float32) for p in self.params()]
+        if memory is not None:
+            self._unpack(self.memory, memory)
+
+    def params(self) -> list[np.ndarray]:
+        net = self.net
+        return [net.table, *net.convs, net.shift, net.dense, np.full(1, net.bias)]
+
+    @staticmethod
+    def _pack(arrays: list[np.ndarray]) -> np.ndarray:
+        """The arrays as rows of DIM numbers: a row for each bucket, then the others."""
+        rest = np.concatenate([x.ravel() for x in arrays[1:]])
+        rest = np.pad(rest, (0, -len(rest) % DIM)).reshape(-1, DIM)
+        return np.concatenate([arrays[0], rest]).astype(np.float64)
+
+    @staticmethod
+    def _unpack(arrays: list[np.ndarray], rows: np.ndarray) -> None:
+        arrays[0][:] = rows[:BUCKETS]
+        rest, at = rows[BUCKETS:].ravel(), 0
+        for x in arrays[1:]:
+            x[:] = rest[at : at + x.size].reshape(x.shape)
+            at += x.size
+
+    def packed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights and memory as rows of DIM numbers."""
+        return self._pack(self.params()), self._pack(self.memory)
+
+    def moved(self, weights: np.ndarray, memory: np.ndarray) -> None:
+        params = self.params()
+        self._unpack(params, weights)
+        self.net.bias = float(params[-1][0])
+        self._unpack(self.memory, memory)
+
+    def count(self, features: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> None:
+        for d in range(len(offsets) - 1):
+            self.holders[np.unique(features[np.unique(codes[offsets[d] : offsets[d + 1]])])] += 1
+
+    def learn(
+        self,
+        features: np.ndarray,
+        codes: np.ndarray,
+        offsets: np.ndarray,
+        toxic: np.ndarray,
+        order: np.ndarray,
+        rate: float,
+        weight: np.ndarray | None = None,
+        alive: np.ndarray | None = None,
+    ) -> None:
+        """One pass over the texts in ``order``, in batches."""
+        net = self.net
         for at in range(0, len(order), BATCH):
             docs = order[at : at + BATCH]
             own = np.concatenate([codes[offsets[d] : offsets[d + 1]] for d in docs])
@@ -198,7 +250,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> TextCnn:
             best, arg, flat = net.pooled(features[used], local, bounds, where=True)
             act = np.maximum(best, 0)
             p = 1 / (1 + np.exp(-np.clip(act @ net.dense + net.bias, -30, 30)))
-            err = ((p - toxic[docs]) / len(docs)).astype(np.float32)
+            err = p - toxic[docs] if weight is None else (p - toxic[docs]) * weight[docs]
+            err = (err / len(docs)).astype(np.float32)
             g_dense = act.T @ err + 1e-4 * net.dense
             g_best = np.where(best > 0, err[:, None] * net.dense, 0).astype(np.float32)
             g_convs = []
@@ -216,77 +269,173 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> TextCnn:
             hit = np.flatnonzero(np.abs(g_words[:-1]).sum(1))
             rows = features[used[hit]].ravel()
             g_rows = np.repeat(g_words[hit], features.shape[1], axis=0)
-            keep = alive[rows]
-            rows, g_rows = rows[keep], g_rows[keep]
+            if alive is not None:
+                keep = alive[rows]
+                rows, g_rows = rows[keep], g_rows[keep]
             touched, back = np.unique(rows, return_inverse=True)
             g_table = np.zeros((len(touched), DIM), np.float32)
             np.add.at(g_table, back, g_rows)
-            memory[0][touched] += g_table**2
-            net.table[touched] -= rate * g_table / np.sqrt(memory[0][touched])
-            for param, mem, grad in zip(params[1:], memory[1:], [*g_convs, g_best.sum(0), g_dense], strict=True):
+            self.memory[0][touched] += g_table**2
+            net.table[touched] -= rate * g_table / np.sqrt(self.memory[0][touched])
+            grads = [*g_convs, g_best.sum(0), g_dense]
+            for param, mem, grad in zip([*net.convs, net.shift, net.dense], self.memory[1:-1], grads, strict=True):
                 mem += grad**2
                 param -= rate * grad / np.sqrt(mem)
-            bias_memory += float(err.sum()) ** 2
-            net.bias -= rate * float(err.sum()) / math.sqrt(bias_memory)
-    return net
+            self.memory[-1] += float(err.sum()) ** 2
+            net.bias -= rate * float(err.sum()) / math.sqrt(self.memory[-1][0])
 
 
-def calibrate(net: TextCnn, texts: list[str], toxic: np.ndarray, weight: np.ndarray, langs: list[str]) -> None:
-    """For each language the threshold with the least weighted errors on held-back rows.
+def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Learner:
+    """Fit the classifier on a few texts that stand in memory."""
+    learner, rng = Learner(TextCnn.fresh(seed)), np.random.default_rng(seed)
+    offsets, codes, words = coded_words(pa.array(texts))
+    features = word_features(words)
+    learner.count(features, codes, offsets)
+    alive = learner.holders >= LEAST_DOCS
+    learner.net.table[~alive] = 0
+    epochs = int(np.clip(STEPS * BATCH / max(1, len(texts)), *EPOCHS))
+    for epoch in range(epochs):
+        rate = RATE / (1 + 1.8 * epoch / epochs)
+        learner.learn(features, codes, offsets, toxic, rng.permutation(len(texts)), rate, alive=alive)
+    return learner
 
-    The middle of the best interval is taken, kept within 0.1 to 0.9; a
-    language without both classes keeps ``DEFAULT_THRESHOLD``.
-    """
-    score = net.scores(pa.array(texts, pa.string()))
-    for lang in sorted(set(langs)):
-        own = np.array([x == lang for x in langs])
-        y, s, w = toxic[own] > 0, score[own], weight[own]
-        if not y.any() or y.all():
-            continue
-        cuts = np.unique(np.concatenate([[0.0], s, [1.0]]))
-        mids = (cuts[1:] + cuts[:-1]) / 2
-        cost = np.array([(w * ((s >= m) != y)).sum() for m in mids])
-        best = np.flatnonzero(cost <= cost.min() + 1e-9)
-        net.thresholds[lang] = float(np.clip(mids[best].mean(), 0.1, 0.9))
+
+STATE = "model binary, memory binary, holders binary"
 
 
-def _train_task(rows: list[tuple], toxic_share: float) -> TextCnn:
-    """Train on a sample of (text, lang, toxic, order), every fifth row held back to calibrate."""
-    rows = sorted(rows, key=lambda r: (r[3], r[0]))
-    y = np.array([r[2] for r in rows], np.float32)
+def _first_task(rows: list[tuple], toxic_share: float) -> Learner:
+    """Train on the first rows: (text, toxic, order)."""
+    rows = sorted(rows, key=lambda r: (r[2], r[0]))
+    y = np.array([r[1] for r in rows], np.float32)
     if not len(y) or y.min() == y.max():
-        net = TextCnn.fresh()
-        net.constant = float(toxic_share)
-        return net
-    held = np.arange(len(rows)) % 5 == 4
-    texts = [r[0] for r in rows]
-    net = train([t for t, h in zip(texts, held) if not h], y[~held])
-    drawn = float(y.mean())
-    odds = lambda p: math.log(p / (1 - p))
-    net.balance = odds(toxic_share) - odds(drawn)
-    weight = np.where(y > 0, toxic_share / drawn, (1 - toxic_share) / (1 - drawn))
-    calibrate(net, [t for t, h in zip(texts, held) if h], y[held], weight[held], [r[1] for r, h in zip(rows, held) if h])
-    return net
+        untaught = Learner(TextCnn.fresh())
+        untaught.net.constant = float(toxic_share)
+        return untaught
+    learner = train([r[0] for r in rows], y)
+    learner.net.balance = odds(toxic_share) - odds(float(y.mean()))
+    return learner
+
+
+def odds(p: float) -> float:
+    return math.log(p / (1 - p))
+
+
+def first_rows(rows: DataFrame, share: float) -> Learner | None:
+    """The learner after the first rows, taught in one task; none without rows."""
+
+    def run(batches):
+        found = []
+        for b in batches:
+            found += zip(*(b.column(c).to_pylist() for c in ("text", "toxic", "lot")))
+        learner = _first_task(found, share)
+        state = [learner.net.dumped(), learner.packed()[1].tobytes(), learner.holders.tobytes()]
+        yield pa.RecordBatch.from_pydict({c.split()[0]: pa.array([x], pa.binary()) for c, x in zip(STATE.split(", "), state)})
+
+    states = rows.select("text", "toxic", "lot").repartition(1).mapInArrow(run, STATE).collect()
+    if not states:
+        return None
+    state = states[0]
+    memory = np.frombuffer(state["memory"], np.float64).reshape(-1, DIM)
+    return Learner(TextCnn.loaded(state["model"]), memory, np.frombuffer(state["holders"], np.int64))
+
+
+def taught(learner: Learner, rows: DataFrame, share: float) -> Learner:
+    """The learner after one round over ``rows``, which every task takes up from where ``learner`` stands.
+
+    Each class weighs what it weighed among the first rows, so that the
+    balance of the model holds. A task returns the rows of weights that it
+    moved; their mean counts each task by the texts that hold the bucket (of
+    other weights, by all its texts).
+    """
+    start_weights, start_memory = learner.packed()
+    shared = rows.sparkSession.sparkContext.broadcast((learner.net, start_memory, learner.holders))
+    first = 1 / (1 + math.exp(learner.net.balance - odds(share)))
+    heavy = (np.float32((1 - first) / (1 - share)), np.float32(first / share))
+    numbers = [f"w{i}" for i in range(DIM)] + [f"m{i}" for i in range(DIM)]
+
+    def run(batches):
+        net, memory, _ = shared.value
+        own, rng, n = Learner(net, memory), np.random.default_rng(7), 0
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                toxic = piece.column("toxic").to_numpy().astype(np.float32)
+                offsets, codes, words = coded_words(piece.column("text"))
+                features = word_features(words)
+                own.count(features, codes, offsets)
+                own.learn(features, codes, offsets, toxic, rng.permutation(len(toxic)), RATE / 2.8, np.where(toxic > 0, heavy[1], heavy[0]))
+                n += len(toxic)
+        if n:
+            weights, memory = own.packed()
+            held = np.concatenate([own.holders, np.full(len(weights) - BUCKETS, n)])
+            at = np.flatnonzero(held)
+            both = np.concatenate([weights, memory], axis=1)[at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), pa.array(held[at]), *(pa.array(c.astype(np.float32)) for c in both.T)], names=["slot", "n", *numbers]
+            )
+
+    found = rows.select("text", "toxic").mapInArrow(run, "slot int, n long, " + ", ".join(f"{c} float" for c in numbers))
+    means = [(F.sum(F.col("n") * F.col(c).cast("double")) / F.sum("n")).alias(c) for c in numbers]
+    mean = found.groupBy("slot").agg(F.sum("n").alias("texts"), *means).toArrow()  # a row for each row of weights at most
+    shared.unpersist()
+    slot, texts = mean["slot"].to_numpy(), mean["texts"].to_numpy()
+    after = Learner(learner.net, start_memory, learner.holders)
+    bucket = slot < BUCKETS
+    after.holders[slot[bucket]] += texts[bucket]
+    kept = ~bucket | (after.holders[np.minimum(slot, BUCKETS - 1)] >= LEAST_DOCS)
+    both = np.stack([mean[c].to_numpy() for c in numbers], axis=1)
+    start_weights[slot[kept]] = both[kept, :DIM]
+    start_memory[slot[kept]] = both[kept, DIM:]
+    after.moved(start_weights, start_memory)
+    return after
+
+
+def calibrate(net: TextCnn, rows: DataFrame) -> None:
+    """For each language the threshold with the fewest errors on all held-back rows.
+
+    The middle of the best interval on a grid is taken, kept within 0.1 to 0.9;
+    a language without both classes keeps ``DEFAULT_THRESHOLD``.
+    """
+    cell = F.least(F.floor(F.col("score") * GRID), F.lit(GRID - 1)).cast("int")
+    counted = (
+        score(rows.select("text", "lang", "toxic"), net, lang=None)
+        .groupBy("lang", cell.alias("cell"))
+        .agg(F.sum("toxic").cast("long").alias("toxic"), F.count("*").alias("n"))
+        .toArrow()  # GRID rows of a language at most
+    )
+    langs, where, toxic, n = (counted[c].to_numpy(zero_copy_only=False) for c in ("lang", "cell", "toxic", "n"))
+    for lang in sorted(set(langs)):
+        own = langs == lang
+        bad, good = np.zeros(GRID + 1, np.int64), np.zeros(GRID + 1, np.int64)
+        np.add.at(bad, where[own] + 1, toxic[own])
+        np.add.at(good, where[own], n[own] - toxic[own])
+        if not bad.any() or not good.any():
+            continue
+        # from a threshold of k / GRID: toxic texts in lower cells pass, clean ones in its cell and higher are rejected
+        cost = np.cumsum(bad) + np.cumsum(good[::-1])[::-1]
+        net.thresholds[lang] = float(np.clip(np.flatnonzero(cost == cost.min()).mean() / GRID, 0.1, 0.9))
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     training: str = "true",
-    toxic_rows: int = TRAIN_TOXIC,
-    clean_rows: int = TRAIN_CLEAN,
+    toxic_rows: int = FIRST_TOXIC,
+    clean_rows: int = FIRST_CLEAN,
 ) -> TextCnn:
-    """Fit on about ``toxic_rows`` + ``clean_rows`` labelled rows drawn by a hash of their id.
+    """Fit on all labelled rows, beginning with about ``toxic_rows`` + ``clean_rows`` of them.
 
     ``training`` is an SQL condition on ``doc_id`` that says which labels may
-    teach. The draw shares are set by the class counts, so the sample is
-    bounded at any corpus size; its texts go to one task.
+    teach. Hashes of the id say which rows calibrate and which round a row
+    teaches in; every labelled text crosses the network once.
     """
+    lot = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    held = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(HELD)) == 0
+    turn = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(ROUNDS))
     known = (
         labels.where("doc_id is not null and toxic is not null")
         .where(training)
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg(F.max("toxic").cast("int").alias("toxic"))
         .where("toxic in (0, 1)")
     )
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
@@ -296,26 +445,21 @@ def fit(
     untaught.constant = share
     if not counts.get(0) or not counts.get(1):
         return untaught
-    lot = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rate = F.when(F.col("toxic") == 1, min(1.0, toxic_rows / counts[1])).otherwise(
-        min(1.0, clean_rows / counts[0])
-    )
-    drawn = known.withColumn("_lot", lot).where(F.col("_lot") < rate)
+    rates = [min(1.0, clean_rows / counts[0]), min(1.0, toxic_rows / counts[1])]
+    begins = lot < F.when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
     lang = F.coalesce("lang", F.lit("")) if "lang" in docs.columns else F.lit("")
-    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), lang.alias("_lang")).join(
-        F.broadcast(drawn), "doc_id"  # bounded: the sample's ids
-    )
-
-    def run(batches):
-        rows = []
-        for b in batches:
-            rows += zip(*(b.column(c).to_pylist() for c in ("_text", "_lang", "toxic", "_lot")))
-        net = _train_task(rows, share)
-        yield pa.RecordBatch.from_pydict({"model": pa.array([net.dumped()], pa.binary())})
-
-    columns = sample.select("_text", "_lang", F.col("toxic").cast("int").alias("toxic"), "_lot")
-    models = columns.repartition(1).mapInArrow(run, "model binary").collect()
-    return TextCnn.loaded(models[0]["model"]) if models else untaught  # no labelled document is here
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"), lot.alias("lot")).where(training)
+
+    first = known.where(~held).where(begins)
+    learner = first_rows(texts.join(F.broadcast(first), "doc_id"), share)  # bounded: the first rows' ids
+    if learner is None or learner.net.constant is not None:
+        return learner.net if learner else untaught  # no labelled document is here
+    if min(rates) < 1:
+        for i in range(ROUNDS):
+            rows = texts.where(~held & (turn == i)).join(known.where(~held & (turn == i) & ~begins).hint("merge"), "doc_id")
+            learner = taught(learner, rows.coalesce(math.ceil(total / ROUNDS / TASK_ROWS)), share)
+    calibrate(learner.net, texts.where(held).join(known.where(held).hint("merge"), "doc_id"))
+    return learner.net
 
 
 def score(df: DataFrame, net: TextCnn, column: str = "text", lang: str | None = "lang") -> DataFrame:

@@ -101,3 +101,34 @@ def test_odd_rows_and_empty_table(tables, spark):
     by_id = {r.doc_id: r.score for r in rows}
     assert by_id[1] == by_id[2] == by_id[3] and by_id[5] == by_id[6]
     assert X.score(odd.limit(0), net).count() == 0
+
+
+def test_rows_beyond_the_first_teach_and_calibrate(spark):
+    """A rude word that none of the first rows holds is learned from the others, in several tasks."""
+    rows = corpus(1500, seed=11)
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in rows], "doc_id long, text string, lang string").cache()
+    first = docs.selectExpr("doc_id", "pmod(xxhash64(doc_id, 2), 1 << 30) / double(1 << 30) as lot")
+    lot = {r.doc_id: r.lot for r in first.collect()}
+    toxic = [i for i, _, _, y in rows if y]
+    few = 60
+    late = {i for i in toxic if lot[i] >= few / len(toxic) and i % 2}
+    docs = docs.selectExpr("doc_id", "lang", "regexp_replace(text, 'xxxx', '') as text").collect()
+    said = [(r.doc_id, " ".join([*r.text.split()[:20], "latevilest"] if r.doc_id in late else r.text.split()), r.lang) for r in docs]
+    for word in ("vilething", "nastyone", "grobus", "grobix"):
+        said = [(i, t.replace(word, "plain") if i in late else t, g) for i, t, g in said]
+    docs = spark.createDataFrame(said, "doc_id long, text string, lang string").repartition(6)
+    labels = spark.createDataFrame([(i, y) for i, _, _, y in rows], "doc_id long, toxic int")
+    part = X.fit(docs, labels.where(labels.doc_id.isin([i for i in lot if i not in late])), toxic_rows=few, clean_rows=200)
+    net = X.fit(docs, labels, toxic_rows=few, clean_rows=200)
+    rude = pa.array([t for i, t, _ in said if i in late])
+    assert net.scores(rude).mean() > part.scores(rude).mean() + 0.2
+    assert set(net.thresholds) == {"en", "de"} and all(0.1 <= x <= 0.9 for x in net.thresholds.values())
+
+
+def test_thresholds_come_from_all_held_back_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(X, "calibrate", lambda net, rows: seen.append(rows.count()))
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in corpus(800)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, _, y in corpus(800)], "doc_id long, toxic int")
+    X.fit(docs, labels, toxic_rows=30, clean_rows=40)
+    assert seen == [docs.where("pmod(xxhash64(doc_id, 3), 5) = 0").count()]
