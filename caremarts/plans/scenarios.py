@@ -4,7 +4,8 @@ The second vintage is derived from the same extracts, as the seeded proofs
 do: claims are split by a stable hash bucket of ``ClaimID`` (bucket 0 arrives
 first, bucket 1 later), beneficiaries by a bucket of ``BeneID`` (late
 arrivals), and the five smallest providers labelled ``No`` flip to ``Yes``.
-Every function returns lazy DataFrames; nothing is collected.
+Every function returns lazy DataFrames; nothing is collected, and only
+``incremental_claims`` writes what several of its steps read.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from caremarts.plans import intermediate as I
 from caremarts.plans import marts as M
 from caremarts.plans import staging as S
 from caremarts.plans.ingest import INGESTED_AT_COL
+from caremarts.session import cut_lineage
 
 B1 = dt.datetime(2024, 1, 1)
 B2 = dt.datetime(2024, 2, 1)
@@ -83,6 +85,7 @@ class IncrementalRun:
     fct_b: DataFrame
     fct_new_b: DataFrame
     batch_b: DataFrame  # claims added in phase B (unified)
+    claims: DataFrame  # all claims (unified)
 
 
 def unified_claims(raw: Raw, claim_bucket: int | None = None) -> DataFrame:
@@ -97,12 +100,16 @@ def incremental_claims(raw: Raw, on_match: str = "skip", late_beneficiaries: boo
     """Phase A: claims of bucket 0 (and, with ``late_beneficiaries``, only
     beneficiaries of bucket 0) with a full refresh. Phase B: everything, with
     an incremental run of ``int_claims_enriched`` and then ``fct_claims``.
+
+    The raw tables and both states of ``int_claims_enriched`` are read by several
+    steps, as loaded and published tables are: each is written once.
     """
+    raw = {t: cut_lineage(raw(t)) for t in ("beneficiary", "inpatient_claims", "outpatient_claims")}.__getitem__
     bene_all = S.stg_beneficiary(raw("beneficiary"))
     bene_a = S.stg_beneficiary(bucket(raw("beneficiary"), "BeneID", 0)) if late_beneficiaries else bene_all
 
     unified_a = unified_claims(raw, 0)
-    enriched_a = I.int_claims_enriched(unified_a, bene_a)
+    enriched_a = cut_lineage(I.int_claims_enriched(unified_a, bene_a))
     fct_a = M.fct_claims(enriched_a)
 
     unified_b = unified_claims(raw, None)
@@ -113,10 +120,11 @@ def incremental_claims(raw: Raw, on_match: str = "skip", late_beneficiaries: boo
         lambda src: I.int_claims_enriched(src, bene_all),
         on_match=on_match,
     )
+    enriched_b = cut_lineage(enriched_b)
     fct_new_b, fct_b = incremental_append(
         enriched_b, fct_a, "claim_id", M.fct_claims, on_match=on_match
     )
-    return IncrementalRun(enriched_a, fct_a, enriched_b, fct_b, fct_new_b, unified_claims(raw, 1))
+    return IncrementalRun(enriched_a, fct_a, enriched_b, fct_b, fct_new_b, unified_claims(raw, 1), unified_b)
 
 
 # -- H4-H6, J8 -------------------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
@@ -78,12 +79,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` as a checkpoint in the shared folder: written once, read by all later steps."""
+    """``df`` written once as Parquet in the shared folder: later steps read the columns they need.
+
+    A checkpoint would run the last stage twice and keep whole rows, uncompressed.
+    """
+    spark = df.sparkSession
     try:
-        checkpoint_dir(df.sparkSession)
+        folder = checkpoint_dir(spark)
     except RuntimeError:  # no cluster named a folder: a laptop or a test
-        checkpoint_dir(df.sparkSession, fallback=tempfile.mkdtemp(prefix="caremarts-checkpoints-"))
-    return df.checkpoint()
+        folder = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="caremarts-checkpoints-"))
+    path = f"{folder}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
