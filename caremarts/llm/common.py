@@ -161,12 +161,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def prefiltered(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
-    """``df`` without most rows whose ``columns`` (long) are not in ``keys``, to spare their shuffle.
+def membership(keys: DataFrame, columns: list[str]) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """A test for tasks: which rows of a batch may have their ``columns`` (long) in ``keys``; none that has is missed.
 
-    A Bloom filter of ``FILTER_BITS``, whatever the input; where there are so
-    many keys that it lets everything pass, the join that must follow does all
-    the work.
+    A Bloom filter of ``FILTER_BITS``, whatever the input; with very many keys it lets everything pass.
     """
 
     def spots(batch: pa.RecordBatch) -> np.ndarray:
@@ -194,13 +192,27 @@ def prefiltered(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame
     )
     table = np.zeros(FILTER_BITS // 64, np.uint64)
     table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
-    shared = df.sparkSession.sparkContext.broadcast(table)
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    def passes(batch: pa.RecordBatch) -> np.ndarray:
+        at = spots(batch)
+        hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+        return hit.all(axis=1)
+
+    return passes
+
+
+def prefiltered(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` without most rows whose ``columns`` (long) are not in ``keys``, to spare their shuffle.
+
+    Where there are so many keys that everything passes (see ``membership``),
+    the join that must follow does all the work.
+    """
+    passes = membership(keys, columns)
 
     def passing(batches):
         for b in batches:
-            at = spots(b)
-            hit = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            yield b.filter(pa.array(hit.all(axis=1)))
+            yield b.filter(pa.array(passes(b)))
 
     return df.mapInArrow(passing, df.schema)
 

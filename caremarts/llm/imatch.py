@@ -15,6 +15,10 @@ The lexicon is broadcast: with LEAST_SHARE of the documents a term at least, it
 has at most (mean distinct terms of a document) / LEAST_SHARE entries of 8
 bytes, however many documents there are.
 
+The counts take two passes over the texts: a term of at least ``LEAST_SHARE`` of
+all documents has that share of one piece of them at least, so the first pass
+names the terms that have it somewhere, and only these are counted and shuffled.
+
 Copies are found by a 128-bit hash. Only rows whose hash repeats (and few others
 that a Bloom filter lets pass) are shuffled with their text, one row of a text for
 each task, and what they add beyond one is subtracted from the counts.
@@ -33,12 +37,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import coded_words, hash_words, map_pieces, mixed, pieces, prefiltered, quoted, written
+from caremarts.llm.common import coded_words, hash_words, map_pieces, membership, mixed, pieces, prefiltered, quoted, written
 
 LEAST_SHARE = 0.002
 MOST_SHARE = 0.1
@@ -47,6 +51,7 @@ RATES = (1 / 16, 1 / 64, 1 / 256, 1 / 1024)
 SUBSETS = 16
 FEW = 16  # below so many lexicon terms the densest subsets hold less than one on average
 PARTITION_BYTES = 24 << 20  # text sorted in one task
+COUNTED_BYTES = 16 << 20  # text whose terms are counted at once
 
 
 def distinct_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,18 +73,45 @@ def hashed(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text"))
 
 
-def document_frequencies(df: DataFrame, column: str = "text", repeated: DataFrame | None = None) -> DataFrame:
-    """(``term``, ``df``) over all distinct texts; a term is known by its 64-bit hash."""
+def piece_counts(piece: pa.RecordBatch, times: np.ndarray | None = None) -> pa.RecordBatch:
+    """(``term``, ``n``): in how many texts of the piece each term stands; a text counts ``times``, else once."""
+    owner, codes, values = distinct_terms(piece.column("text"))
+    n = np.zeros(len(values), np.int64)
+    np.add.at(n, codes, 1 if times is None else times[owner])
+    return pa.RecordBatch.from_pydict({"term": pa.array(values.view(np.int64)), "n": pa.array(n)})
+
+
+def common_somewhere(df: DataFrame, column: str, least: int, rows: int) -> DataFrame:
+    """(``term``): all terms of at least ``least`` of the ``rows`` texts, and few others.
+
+    A term that has its share ``least / rows`` of no piece of the texts cannot have it of all of them.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text", COUNTED_BYTES):
+                counts = piece_counts(piece)
+                often = counts.column("n").to_numpy() * rows >= least * piece.num_rows
+                yield counts.select(["term"]).filter(pa.array(often))
+
+    return df.select(F.coalesce(quoted(column), F.lit("")).alias("text")).mapInArrow(run, "term long").distinct()
+
+
+def document_frequencies(
+    df: DataFrame, column: str = "text", repeated: DataFrame | None = None, among: DataFrame | None = None
+) -> DataFrame:
+    """(``term``, ``df``) over all distinct texts; a term is known by its 64-bit hash.
+
+    With ``among`` (``term``) most terms that are not in it are left out before the shuffle.
+    """
     repeated = repeated_texts(df, column) if repeated is None else repeated
+    wanted = membership(among, ["term"]) if among is not None else None
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, "text", 16 << 20):
-                owner, codes, values = distinct_terms(piece.column("text"))
-                times = piece.column("times").to_numpy()[owner]
-                n = np.zeros(len(values), np.int64)
-                np.add.at(n, codes, times)
-                yield pa.RecordBatch.from_pydict({"term": pa.array(values.view(np.int64)), "n": pa.array(n)})
+            for piece in pieces(batch, "text", COUNTED_BYTES):
+                counts = piece_counts(piece, piece.column("times").to_numpy())
+                yield counts if wanted is None else counts.filter(pa.array(wanted(counts)))
 
     rows = df.select(F.coalesce(quoted(column), F.lit("")).alias("text"), F.lit(1).cast("long").alias("times"))
     beyond = (
@@ -96,11 +128,12 @@ def document_frequencies(df: DataFrame, column: str = "text", repeated: DataFram
 def lexicon(df: DataFrame, column: str = "text", least: float = LEAST_SHARE, most: float = MOST_SHARE) -> np.ndarray:
     """Sorted hashes of the terms in the band."""
     repeated = repeated_texts(df, column)
-    n = df.count() - (repeated.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
+    rows = df.count()
+    n = rows - (repeated.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
     lo, hi = max(2, math.ceil(least * n)), max(2, math.floor(most * n))
-    counted = document_frequencies(df, column, repeated)
-    rows = counted.where(F.col("df").between(lo, hi)).select("term").toArrow()
-    return np.sort(rows["term"].to_numpy().view(np.uint64))
+    counted = document_frequencies(df, column, repeated, common_somewhere(df, column, lo, rows))
+    found = counted.where(F.col("df").between(lo, hi)).select("term").toArrow()
+    return np.sort(found["term"].to_numpy().view(np.uint64))
 
 
 class Fingerprinter:
@@ -195,7 +228,6 @@ COLUMNS = [
     ("near_edited", pa.float64()),
     ("near_next", pa.float64()),
 ]
-EDGES = [("part", pa.int64()), ("first_text", pa.string()), ("last_text", pa.string())]
 RESULT = "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
@@ -205,75 +237,72 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - third] + following[:third]
 
 
-def compared(hashes: Fingerprinter, ids: list, own: list[str], following: list[str]) -> dict:
-    """Columns of the result for texts and the texts that follow them; digests are bytes."""
-    changed = [edited(a, b) for a, b in zip(own, following)]
-    fp, fp_next, fp_changed = (hashes(pa.array(x, pa.string())) for x in (own, following, changed))
-    return {
-        "doc_id": pa.array(ids, pa.int64()),
-        "n_chars": pa.array([len(t) for t in own], pa.int64()),
-        "edited_sha256": [hashlib.sha256(t.encode()).digest() for t in changed],
-        "fingerprint": packed(*fp),
-        "edited_fingerprint": packed(*fp_changed),
-        "near_edited": likeness(fp, fp_changed),
-        "near_next": likeness(fp, fp_next),
-    }
-
-
-def _rows(columns: dict) -> pa.RecordBatch:
-    n = len(columns["doc_id"])
-    kinds = COLUMNS + EDGES
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in kinds], names=[c for c, _ in kinds]
-    )
+def compared(hashes: Fingerprinter, ids: list, texts: list[str], at: np.ndarray) -> list:
+    """Columns of the result for the texts ``at``, each beside the one after it; digests are bytes."""
+    changed = [edited(texts[i], texts[i + 1]) for i in at]
+    short, whole = hashes(pa.array(texts, pa.string()))
+    own, following, new = (short[at], whole[at]), (short[at + 1], whole[at + 1]), hashes(pa.array(changed, pa.string()))
+    return [
+        [ids[i] for i in at],
+        [len(texts[i]) for i in at],
+        [hashlib.sha256(t.encode()).digest() for t in changed],
+        packed(*own),
+        packed(*new),
+        likeness(own, new),
+        likeness(own, following),
+    ]
+
+
+def parted(docs: DataFrame, parts: int) -> DataFrame:
+    """Add ``part``: about ``parts`` ranges of the id, of about as many rows each; it follows from the id alone."""
+    at = [i / parts for i in range(1, parts)]
+    bounds = sorted(set(docs.approxQuantile("doc_id", at, 1 / (4 * parts)))) if at else []
+    if not bounds:
+        return docs.withColumn("part", F.lit(0.0))
+    ranges = Bucketizer(splits=[-math.inf, *bounds, math.inf], inputCol="place", outputCol="part")
+    return ranges.transform(docs.withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf)))).drop("place")
+
+
+def first_texts(docs: DataFrame) -> DataFrame:
+    """(``part``, ``text``): for each part the first text of the part read after it; the last one meets the first again."""
+    spark = docs.sparkSession
+    firsts = docs.groupBy("part").agg(F.max("doc_id").alias("doc_id")).orderBy(F.col("part").desc()).collect()
+    before = [(before.part, r.doc_id) for before, r in zip([firsts[-1], *firsts], firsts)] if firsts else []
+    wanted = F.broadcast(spark.createDataFrame(before, "before double, first long"))  # a row for each part
+    met = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first")))
+    return met.groupBy(F.col("before").alias("part")).agg(F.min("text").alias("text"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """The registered result: each text beside its edited text and the next document.
 
     Documents are dealt by ranges of the id and read in descending order, so
-    a row's next document is the next row; only the last row of a partition
-    waits for the first text of the next one, and those rows (two texts a
-    partition) are matched afterwards.
+    a row's next document is the next row; behind the last row of a range
+    stands a copy of the first text of the next one.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shared = spark.sparkContext.broadcast(lexicon(docs))
-    down = [F.col("doc_id").desc_nulls_last(), F.col("text")]
-    dealt = docs.repartitionByRange(max(1, math.ceil(size / PARTITION_BYTES)), *down[:1]).sortWithinPartitions(*down)
+    parts = max(1, math.ceil(size / PARTITION_BYTES))
+    docs = parted(docs, parts)
+    behind = first_texts(docs).select(F.lit(None).cast("long").alias("doc_id"), "text", "part", F.lit(True).alias("behind"))
+    order = ["part", "behind", F.col("doc_id").desc_nulls_last(), "text"]
+    dealt = docs.withColumn("behind", F.lit(False)).unionByName(behind).repartitionByRange(parts, "part").sortWithinPartitions(*order)
 
     def run(batches):
-        hashes, first, carry = Fingerprinter(shared.value), None, None
+        hashes, carry = Fingerprinter(shared.value), None
         for batch in batches:
             for piece in pieces(batch, "text", 2 << 20):
-                ids, texts = piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()
-                if first is None:
-                    first = texts[0]
+                rows = [piece.column(c).to_pylist() for c in ("part", "doc_id", "text")]
                 if carry is not None:
-                    ids, texts = [carry[0], *ids], [carry[1], *texts]
-                carry = (ids[-1], texts[-1])
-                if len(ids) > 1:
-                    yield _rows(compared(hashes, ids[:-1], texts[:-1], texts[1:]))
-        if carry is not None:
-            part = TaskContext.get().partitionId()
-            yield _rows({"doc_id": [carry[0]], "part": [part], "first_text": [first], "last_text": [carry[1]]})
-
-    rows = written(dealt.mapInArrow(run, RESULT + ", part long, first_text string, last_text string"), "imatch-rows")
-    order = Window.orderBy("part")  # a row for each partition
-    edges = rows.where("part is not null")
-    lead = F.lead("first_text").over(order)
-    start = F.first("first_text").over(order)
-    waiting = edges.select("doc_id", "last_text", F.coalesce(lead, start).alias("next_text")).repartition(8)
-
-    def close(batches):
-        hashes = Fingerprinter(shared.value)
-        for batch in batches:
-            for piece in pieces(batch, "last_text", 2 << 20):
-                ids, own, following = (piece.column(c).to_pylist() for c in ("doc_id", "last_text", "next_text"))
-                yield pa.RecordBatch.from_pydict(
-                    {c: pa.array(v, k) for (c, k), v in zip(COLUMNS, compared(hashes, ids, own, following).values())}
-                )
-
-    whole = rows.where("part is null").select(*[c for c, _ in COLUMNS]).unionByName(waiting.mapInArrow(close, RESULT))
-    return whole.select(*[F.lower(F.hex(c)).alias(c) if k == pa.binary() else F.col(c) for c, k in COLUMNS])
+                    rows = [[before, *own] for before, own in zip(carry, rows)]
+                carry = [own[-1] for own in rows]
+                part, ids, texts = rows
+                at = np.flatnonzero(np.equal(part[1:], part[:-1]))
+                if len(at):
+                    values = compared(hashes, ids, texts, at)
+                    yield pa.RecordBatch.from_pydict({c: pa.array(v, k) for (c, k), v in zip(COLUMNS, values, strict=True)})
+
+    rows = dealt.mapInArrow(run, RESULT)
+    return rows.select(*[F.lower(F.hex(c)).alias(c) if k == pa.binary() else F.col(c) for c, k in COLUMNS])

@@ -111,3 +111,23 @@ def test_near_copies_of_the_largest_group_are_recognised(spark):
 def test_sixteen_subsets_of_every_rate():
     (one,) = M.packed(*M.Fingerprinter(np.zeros(0, np.uint64))(pa.array(["some text"])))
     assert len(one) == 2 * 16 * len(M.RATES) + 8
+
+
+def test_terms_that_are_rare_everywhere_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(M, "COUNTED_BYTES", 20_000)  # many pieces
+    texts = [*corpus(100), *[f"copy {i % 3}" for i in range(30)], None, ""]
+    df = {}
+    for t in set(texts) - {None}:
+        for w in set(words(t)):
+            df[w] = df.get(w, 0) + 1
+    docs = frame(spark, texts)
+    names = dict(zip(M.hash_words(pa.array(list(df))).view(np.int64).tolist(), df))
+    some = {names[r.term] for r in M.common_somewhere(docs, "text", 10, len(texts)).collect()}
+    assert {w for w, n in df.items() if n >= 10} <= some and len(some) < len(df) / 4
+    among = M.common_somewhere(docs, "text", 10, len(texts))
+    got = {names[r.term]: r.df for r in M.document_frequencies(docs, among=among).collect()}
+    assert some <= set(got) and len(got) < len(df) / 3 and all(df[w] == n for w, n in got.items())
+    least = 10 / len(set(texts) - {None})
+    assert {names[t] for t in M.lexicon(docs, least=least, most=0.5).view(np.int64).tolist()} == {
+        w for w, n in df.items() if 10 <= n <= len(set(texts) - {None}) // 2
+    }
