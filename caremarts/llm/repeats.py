@@ -24,6 +24,10 @@ its copies, where it shares the first digit with an unfinished one. Digits are
 64-bit hashes, grouped by shuffles with map-side counts. Bytes covered by a
 repeated window are removed.
 
+Passages of over 50 words can have less than DEPTH bytes, which are not removed. The
+same passes over words in place of bytes (``WORDS``, windows of 51) find the texts
+that hold such a passage that also stands elsewhere; ``has_passage`` says so.
+
 Cases: null and empty texts, and texts shorter than DEPTH bytes, lose nothing;
 a text that occurs again, as another row or as the same row repeated, loses
 everything if it has DEPTH bytes; windows never cross rows; overlapping repeats
@@ -42,19 +46,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caremarts.llm.common import map_pieces, mixed, pieces, prefiltered, written
+from caremarts.llm.common import coded_words, hash_words, map_pieces, mixed, pieces, prefiltered, written
 
 DEPTH = 400
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Sizes of a run of the operator, in bytes (windows, anchors) and suffixes (stretches, blocks)."""
+    """Sizes of a run of the operator, in bytes or words (windows, anchors) and suffixes (stretches, blocks)."""
 
     depth: int = DEPTH
     gram: int = DEPTH * 2 // 5
     stretch: int = 16
     block: int = 1 << 20
+    words: bool = False
 
     @property
     def span(self) -> int:
@@ -62,8 +67,12 @@ class Shape:
         return self.depth - self.gram + 1
 
 
+#: Windows of the least passage of over 50 words.
+WORDS = Shape(depth=51, gram=20, stretch=4, words=True)
+
+
 class Rolling:
-    """64-bit hashes of all windows of a byte array, by prefix sums of byte * base**place."""
+    """64-bit hashes of all windows of an array of bytes or word hashes, by prefix sums of letter * base**place."""
 
     def __init__(self, seed: int, shape: Shape):
         self.shape = shape
@@ -82,7 +91,8 @@ class Rolling:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.letter[data] * self.power[: len(data)], dtype=np.uint64)])
+            letter = data if self.shape.words else self.letter[data]
+            return np.concatenate([np.zeros(1, np.uint64), np.cumsum(letter * self.power[: len(data)], dtype=np.uint64)])
 
     def hashes(self, sums: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -109,6 +119,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def symbols(column: pa.Array, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes, or the words' hashes, of all texts one after another, and each text's offsets."""
+    if not shape.words:
+        return text_bytes(column)
+    offsets, codes, words = coded_words(column, lower=False)
+    return hash_words(words)[codes], offsets
+
+
 def blocks(offsets: np.ndarray, shape: Shape):
     """Ranges of bytes that hold at most ``block`` windows and cut no window: (first text, begin, end)."""
     at, n = 0, len(offsets) - 1
@@ -131,7 +149,7 @@ def runs(column: pa.Array, rolling: Rolling) -> dict[str, np.ndarray]:
     hash and ``fine`` that of all bytes the run's windows cover.
     """
     shape = rolling.shape
-    data, offsets = text_bytes(column)
+    data, offsets = symbols(column, shape)
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("row", "start", "end", "anchor", "coarse", "fine")}
     for first, last, begin, end in blocks(offsets, shape):
         n = end - begin - shape.depth + 1
@@ -251,7 +269,7 @@ def stretch_rows(texts: DataFrame, spans: DataFrame, width: int, shape: Shape) -
         rolling = Rolling(2 + (width == 1), shape)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                data, offsets = text_bytes(piece.column("text"))
+                data, offsets = symbols(piece.column("text"), shape)
                 lists = piece.column("spans")
                 row = pc.list_parent_indices(lists).to_numpy()
                 flat = lists.flatten()
@@ -336,9 +354,10 @@ def cut_texts(texts: DataFrame, spans: DataFrame, depth: int) -> DataFrame:
     return map_pieces(both, "text", CUT, setup).drop("text", "spans")
 
 
-def without_repeats(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
+def without_repeats(docs: DataFrame, shape: Shape = Shape(), words: Shape = WORDS) -> DataFrame:
     """The registered result: what is left of every text's bytes."""
     texts = keyed(docs)
+    passages = repeated_spans(texts, words).select("k1", "k2").distinct().withColumn("passage", F.lit(True))
     cut = cut_texts(texts, repeated_spans(texts, shape), shape.depth).select(
         "k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")
     )
@@ -350,11 +369,13 @@ def without_repeats(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.sha2(text, 256).alias("whole_sha256"),
     )
-    return whole.join(cut.dropDuplicates(["k1", "k2"]), ["k1", "k2"], "left").select(
+    found = whole.join(cut.dropDuplicates(["k1", "k2"]), ["k1", "k2"], "left").join(passages, ["k1", "k2"], "left")
+    return found.select(
         "doc_id",
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"),
         (F.coalesce("n_removed", F.lit(0)) > 0).alias("has_repeats"),
+        F.coalesce("passage", F.lit(False)).alias("has_passage"),
     )

@@ -80,3 +80,41 @@ def test_odd_rows_and_empty_table(spark):
     assert R.without_repeats(docs.limit(0)).count() == 0
     twice = docs.where("doc_id = 4")
     assert all(r.n_removed == r.n_bytes for r in R.without_repeats(twice.union(twice)).collect())
+
+
+def test_passages_of_over_fifty_words_are_told(spark):
+    rnd = random.Random(12)
+    make = lambda n: [f"{rnd.choice('abcdefgh')}{rnd.randrange(3000)}" for _ in range(n)]
+    passage = make(58)  # less than 400 bytes
+    assert len(" ".join(passage).encode()) < 400
+    texts = [
+        make(90) + passage + make(70),
+        make(10) + passage[4:55] + make(200),
+        passage[:50] + make(100),
+        make(3) + passage[8:],
+        make(300),
+        passage[:20],
+        [],
+    ]
+    texts = [*(" ".join(t) for t in texts), None, "\n ".join(make(30) + passage[2:54]), " ".join(passage).upper()]
+    windows = [{tuple(w[i : i + 51]) for i in range(len(w) - 50)} for w in ((t or "").split() for t in texts)]
+    want = [any(a & b for j, b in enumerate(windows) if i != j) for i, a in enumerate(windows)]
+    rows = {r.doc_id: r for r in R.without_repeats(frame(spark, texts)).collect()}
+    assert [rows[i].has_passage for i in range(len(texts))] == want and sum(want) == 3
+    assert not any(r.n_removed for r in rows.values())  # the contract's windows are of 400 bytes
+
+
+def test_passages_as_all_word_windows_give_them(spark):
+    rnd = random.Random(13)
+    make = lambda n: [rnd.choice("abcdefghijklmnop") for _ in range(n)]
+    shared = [make(rnd.randint(5, 30)) for _ in range(70)]
+    lists = [[w for _ in range(rnd.randint(1, 3)) for w in make(rnd.randint(0, 9)) + rnd.choice(shared)[rnd.randint(0, 9) :]] for _ in range(80)]
+    lists += [["z"] * 40, ["y"] * 9, lists[0]]
+    depth, held = 9, {}
+    for i, w in enumerate(lists):
+        for at in range(len(w) - depth + 1):
+            held.setdefault(tuple(w[at : at + depth]), []).append(i)
+    want = {i for own in held.values() if len(own) > 1 for i in own}
+    small = R.Shape(depth=depth, gram=4, stretch=2, block=50, words=True)
+    rows = R.without_repeats(frame(spark, [" ".join(w) for w in lists]), SMALL, small).collect()
+    assert {r.doc_id for r in rows if r.has_passage} == want and 10 < len(want) < len(lists) - 5
